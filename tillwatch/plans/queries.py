@@ -428,8 +428,9 @@ def r27_latest_balance(spark, sf_dir):
 
 @checked
 def r27_latest_json_balance(spark, sf_dir):
+    provider_log = roles.txn_log(spark, sf_dir).filter(F.col("event_type") == "purchase")
     return detail.latest_json_balance(
-        roles.txn_log(spark, sf_dir), "%REQUESTDATETIME%", balance_path="$.new_balance"
+        provider_log, "%REQUESTDATETIME%", balance_path="$.new_balance"
     )
 
 
