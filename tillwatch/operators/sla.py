@@ -33,15 +33,16 @@ def daily_growth(
         compared = daily.withColumn("before", before)
     else:
         in_day = Window.partitionBy("day").orderBy(F.asc_nulls_last("status"))
-        days = daily.groupBy("day").agg(
-            F.max_by("total_amount", F.struct(F.col("status").isNull(), F.col("status"))).alias("last")
-        )
-        days = days.withColumn("day_before", F.lag("last").over(Window.orderBy("day")))
+        # Whole rows are compared, so both branches need the same columns and share one shuffle.
+        last = F.max(F.struct(F.col("status").isNull(), "status", "total_amount", "txn_count"))
+        days = daily.groupBy("day").agg(last.alias("last"))
+        before_day = F.lag(F.col("last.total_amount")).over(Window.orderBy("day"))
+        days = days.select("day", before_day.alias("day_before"))
         placed = daily.withColumns(
             {"place": F.row_number().over(in_day), "in_day": F.lag("total_amount").over(in_day)}
         )
         before = F.when(F.col("place") == 1, F.col("day_before")).otherwise(F.col("in_day"))
-        compared = placed.join(days.drop("last"), "day").withColumn("before", before)
+        compared = placed.join(days, "day", "left").withColumn("before", before)
     change = (total - F.col("before")).cast("decimal(24,2)") * F.lit(100)
     growth = F.when(F.coalesce(F.col("before"), F.lit(0)) == 0, F.lit(0)).otherwise(
         F.round(F.try_divide(change, F.col("before").cast("decimal(22,2)")), 2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwatch.functions.clock import Span, instant, midnight, since_day, today
 from tillwatch.functions.text import contains_first, title_words
@@ -39,48 +39,46 @@ def latest_journals(
     statuses: DataFrame,
     as_of: datetime,
     *,
-    staff: Sequence[str],
+    staff: Sequence[int],
     closed: Sequence[str] = ("Closed", "Resolved"),
     ts: str = "created_on",
 ) -> DataFrame:
-    """The last journal entries of staff on closed tickets opened by others; ties all stay."""
-    written = journals.filter(since_day(as_of, REPORT_DAYS).covers(ts)).filter(
+    """The last journal entries of staff on closed tickets opened by others; ties all stay.
+
+    An entry older than its writer's last one on the same ticket cannot be the ticket's last, so
+    entries are first reduced to one row per ticket and writer, ``rows`` counting the ties. The joins
+    and the final window then see at most one row per ticket and staff address.
+    """
+    entries = journals.filter(since_day(as_of, REPORT_DAYS).covers(ts)).filter(
         F.col("user_id").isin(*staff)
     )
+    at_time = entries.groupBy(F.col("journalized_id").alias("ticket"), "user_id", ts).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    last = F.max(F.struct(F.col(ts).alias("at"), "rows")).alias("last")
+    written = at_time.groupBy("ticket", "user_id").agg(last).select("ticket", "user_id", "last.*")
     closed_ids = statuses.filter(F.col("name").isin(*closed)).select(F.col("id").alias("status_id"))
     tickets = (
         issues.filter(~F.col("author_id").isin(*staff) & F.col("category_id").isNull())
         .join(closed_ids, "status_id")
         .select(F.col("id").alias("ticket"), "subject")
     )
-    work = (
-        written.select("id", F.col("journalized_id").alias("ticket"), "user_id", ts)
-        .join(tickets, "ticket")
-        .join(emails.select("user_id", "address"), "user_id")
-        .select("ticket", F.col(ts).alias("at"), "subject", "address")
+    work = written.join(tickets, "ticket").join(emails.select("user_id", "address"), "user_id")
+    newest = F.max("at").over(Window.partitionBy("ticket"))
+    return (
+        work.withColumn("newest", newest)
+        .filter(F.col("at") == F.col("newest"))
+        .select("ticket", "at", "subject", "address", "rows")
     )
-    return latest_rows(work)
-
-
-def latest_rows(work: DataFrame) -> DataFrame:
-    """Rows of (ticket, at, ...) at the latest time of their ticket, ties included.
-
-    The latest time per ticket is an aggregate joined back on ticket *and* time, so the rows of one
-    busy ticket spread over tasks by their times.
-    """
-    latest = work.groupBy("ticket").agg(F.max("at").alias("at"))
-    return work.join(latest, ["ticket", "at"])
 
 
 def resolution_counts(
     resolved: DataFrame, as_of: datetime, agents: Mapping[str, str]
 ) -> DataFrame:
     """Resolved tickets per day and agent over the last 31 days, zeros included."""
-    counts = (
-        resolved.groupBy(
-            F.to_date("at").alias("date"), agent_of(F.col("address"), agents).alias("agent")
-        ).agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = resolved.groupBy(
+        F.to_date("at").alias("date"), agent_of(F.col("address"), agents).alias("agent")
+    ).agg(F.sum("rows").alias("n"))
     spine = agent_days(resolved, as_of, agents)
     return spine.join(counts, ["date", "agent"], "left").select(
         F.col("date").cast("string").alias("date"),
@@ -93,19 +91,20 @@ def resolution_pivot(
     resolved: DataFrame, as_of: datetime, agents: Mapping[str, str]
 ) -> DataFrame:
     """Today's rows per address and subject beside the agent's total, and a grand total row."""
-    rows = resolved.filter(today(as_of).covers("at")).select(
+    today_rows = resolved.filter(today(as_of).covers("at")).select(
         "address",
         title_words(F.col("subject")).alias("subject"),
         agent_of(F.col("address"), agents).alias("agent"),
+        "rows",
     )
     counts = (
-        rows.filter(F.col("agent").isNotNull())
+        today_rows.filter(F.col("agent").isNotNull())
         .groupBy("agent", "address", "subject")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("rows").alias("n"))
     )
     per_agent = counts.groupBy("agent").agg(F.sum("n").alias("total_resolved"))
     leaves = counts.join(per_agent, "agent").select("address", "total_resolved", "subject", "n")
-    grand = counts.agg(F.sum("n").alias("n")).filter(F.col("n").isNotNull())
+    grand = per_agent.agg(F.sum("total_resolved").alias("n")).filter(F.col("n").isNotNull())
     total = grand.select(
         F.lit("Grand Total").alias("address"),
         F.lit(None).cast("bigint").alias("total_resolved"),
@@ -122,7 +121,7 @@ def first_entries(
     statuses: DataFrame,
     as_of: datetime,
     *,
-    staff: Sequence[str],
+    staff: Sequence[int],
     ts: str = "start_date",
     entry_order: str = "id",
 ) -> DataFrame:
@@ -145,7 +144,7 @@ def first_entries(
         .select(F.col("id").alias("ticket"), F.col(ts).alias("at"), "subject", "author_id")
         .join(addresses, "author_id")
         .join(hours, "ticket")
-        .select("ticket", "at", "subject", "address", "hours")
+        .select("ticket", "at", "subject", "address", "hours", F.lit(1).cast("bigint").alias("rows"))
     )
 
 

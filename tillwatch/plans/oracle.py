@@ -46,7 +46,7 @@ log AS (
         || k || '"}'
       ELSE '<ResponseCode>' || k || '</ResponseCode>' || chr(10) || '<ResponseMessage>seen ' || k
         || '</ResponseMessage> Your new balance is ' || paid || ' TAKA.' END END AS response,
-    event_id % 1000 AS np_txn_request_id, event_type
+    event_id - event_id % 10 AS np_txn_request_id, event_type
   FROM log0)"""
 
 ORDERS = """fact AS (

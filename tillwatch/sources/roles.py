@@ -103,7 +103,7 @@ def txn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("create_date"),
         request.alias("request"),
         F.when(eid % 7 != 0, response).alias("response"),
-        (eid % 1000).alias("np_txn_request_id"),
+        (eid - eid % 10).alias("np_txn_request_id"),
         F.when(eid % 7 != 0, response).alias("response_text"),
         F.col("event_type"),
     )
