@@ -102,19 +102,27 @@ class Roles:
 def status_roles(
     success: Sequence[str] = ("SUCCESS",),
     reverse: Sequence[str] = ("REVERSE",),
-    failed: Sequence[str] = ("FAILED",),
-    **others: Column,
+    failed: Sequence[str] | Column = ("FAILED",),
+    dispute: Column | None = None,
+    hits: Column | None = None,
+    attempts: Column | None = None,
 ) -> Roles:
-    """The common case: roles by status, everything unlisted a dispute."""
+    """Roles by status. A dispute is any status not listed, unless ``dispute`` says otherwise."""
     status = F.col("status")
-    listed = (*success, *reverse, *failed)
-    roles = {
-        "success": status.isin(*success),
-        "reverse": status.isin(*reverse),
-        "failed": status.isin(*failed),
-        "dispute": ~status.isin(*listed),
-    }
-    return Roles(**(roles | others))
+    if isinstance(failed, Column):
+        if dispute is None:
+            raise ValueError("a condition for failed rows needs one for disputes")
+        failed_rows, listed = failed, ()
+    else:
+        failed_rows, listed = status.isin(*failed), (*success, *reverse, *failed)
+    return Roles(
+        success=status.isin(*success),
+        reverse=status.isin(*reverse),
+        failed=failed_rows,
+        dispute=~status.isin(*listed) if dispute is None else dispute,
+        hits=hits,
+        attempts=attempts,
+    )
 
 
 def service_health(
