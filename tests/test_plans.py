@@ -1,0 +1,168 @@
+"""What the executed plans must look like, whatever the size of the tables."""
+
+import re
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import AS_OF, cash
+from tillwatch.functions import clock
+from tillwatch.operators import cohort, detail, health, logs, sla
+
+COLUMNS = (
+    "id long, request_id string, create_date ts, update_date ts, status string, amount money, "
+    "bank_name string, description string, unused string"
+)
+LOG = "id long, request_id string, create_date ts, request string, response string, unused string"
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Tables in files, so that scans show what was pushed into them."""
+    root = tmp_path_factory.mktemp("plans")
+
+    def stored(name, schema, row):
+        schema = schema.replace(" ts", " timestamp_ntz").replace(" money", " decimal(18,2)")
+        spark.createDataFrame([row], schema).write.parquet(str(root / name))
+        return spark.read.parquet(str(root / name))
+
+    fact = stored("fact", COLUMNS, (1, "a", AS_OF, AS_OF, "FAILED", cash("1"), "b", "d", "u"))
+    log = stored("log", LOG, (1, "a", AS_OF, "r", "x", "u"))
+    return fact, log
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df):
+    """(columns read, filters pushed) of every file scan."""
+    jvm = df.sparkSession._jvm
+    text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    found = []
+    for part in re.split(r"\n\(\d+\) Scan parquet", text)[1:]:
+        part = part.split("\n\n")[0]
+        read = re.search(r"ReadSchema: struct<(.*)>", part)
+        pushed = re.search(r"PushedFilters: \[(.*)\]", part)
+        columns = re.findall(r"(\w+):", read.group(1)) if read else []
+        found.append((set(columns), pushed.group(1) if pushed else ""))
+    return found
+
+
+def test_spans_reach_the_scan_and_columns_are_pruned(tables):
+    fact, _ = tables
+    today = clock.today(AS_OF).settled(AS_OF, timedelta(minutes=5))
+    (columns, pushed), = scans(cohort.status_cohort(fact, today))
+    assert columns == {"create_date", "status", "amount"}
+    assert "GreaterThanOrEqual(create_date,2024-03-31T00:00)" in pushed
+    assert "LessThanOrEqual(create_date,2024-03-31T18:25)" in pushed
+
+
+def test_shifted_spans_are_pushed_too(tables):
+    fact, _ = tables
+    shifted = cohort.status_cohort(fact, clock.days_back(AS_OF, 3), shift=timedelta(hours=6))
+    (_, pushed), = scans(shifted)
+    assert "GreaterThanOrEqual(create_date,2024-03-27T18:00)" in pushed
+    assert "LessThan(create_date,2024-03-28T18:00)" in pushed
+
+
+def test_two_overlapping_spans_share_one_scan(tables):
+    fact, _ = tables
+    baseline = health.threshold_vs_today(fact, AS_OF, baseline_bad=F.col("status") != "SUCCESS")
+    board = health.service_health(fact, AS_OF, health.status_roles())
+    for report in (baseline, board):
+        (_, pushed), = scans(report)
+        assert "GreaterThanOrEqual(create_date," in pushed and "LessThanOrEqual(create_date," in pushed
+
+
+def test_services_on_one_table_share_one_scan(tables):
+    fact, _ = tables
+    yesterday = clock.yesterday(AS_OF)
+    services = [sla.ServiceTotal(f"s{n}", fact, yesterday, F.col("bank_name") == f"b{n}")
+                for n in range(5)]
+    assert len(scans(sla.daily_service_totals(services))) == 1
+    one = health.service_health(
+        fact, AS_OF, health.status_roles(), by="bank_name", members=("a", "b", "c"))
+    assert len(scans(one)) == 1
+
+
+def test_reconciliation_reads_its_table_once(tables):
+    fact, _ = tables
+    recon = fact.selectExpr(
+        "create_date", "status as service_name", "bank_name as txn_type",
+        "description as proposed_decision", "amount")
+    assert len(scans(cohort.reconciliation_rollups(recon))) == 1
+
+
+def joined_reports(fact, log):
+    span = clock.EVER
+    bank_log = log.selectExpr("id as np_txn_request_id", "response as response_text")
+    return {
+        "codes": logs.xml_code_cohort(fact, log, span, "day"),
+        "raw": logs.raw_response_cohort(fact, log, span, "day"),
+        "bank": logs.bank_response_cohort(fact, bank_log, span, "day", ts="create_date"),
+        "reasons": logs.reverse_reasons(fact, log),
+        "first": logs.first_response_per_request(
+            fact, log, span, columns=("status", "amount", "bank_name")),
+        "totals": cohort.cohort_with_entity_total(fact, span, "bank_name"),
+        "growth": sla.daily_growth(fact, clock.rolling(AS_OF, "dates")),
+        "top": cohort.top_reasons(fact, span, share=True),
+        "dimension": cohort.dimension_cohort(
+            fact, log.selectExpr("request_id as bank_name", "request as label"), "bank_name", "label",
+            span),
+    }
+
+
+def test_no_report_pairs_rows_without_a_key_or_runs_python(tables):
+    for name, report in joined_reports(*tables).items():
+        text = plan(report)
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "collect_"):
+            assert bad not in text, name
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Sides of unknown size, as on large tables."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_only_bounded_sides_are_broadcast(tables, no_broadcast):
+    for name, report in joined_reports(*tables).items():
+        broadcasts = plan(report).count("BroadcastExchange")
+        # The one hint is on the counts per action code: at most one row per known code and one more.
+        assert broadcasts == (1 if name == "reasons" else 0), name
+
+
+@pytest.mark.parametrize("name", ["codes", "raw", "totals", "top", "first"])
+def test_rows_are_combined_before_they_are_shuffled(tables, no_broadcast, name):
+    text = plan(joined_reports(*tables)[name])
+    for below in re.findall(r"Exchange hashpartitioning[^\n]*\n([^\n]*)", text):
+        assert re.search(r"Aggregate|WindowGroupLimit", below), below
+
+
+def test_first_answers_need_one_shuffle_per_table(tables, no_broadcast):
+    fact, log = tables
+    report = logs.first_response_per_request(
+        fact, log, clock.EVER, columns=("status", "amount", "bank_name"))
+    assert plan(report).count("Exchange hashpartitioning") == 2
+
+
+def test_top_n_is_cut_before_the_shuffle(tables):
+    fact, _ = tables
+    assert "WindowGroupLimit" in plan(cohort.top_reasons(fact, clock.EVER))
+    events = fact.selectExpr(
+        "id", "create_date as created_at", "status as level", "bank_name as event_name",
+        "description as message", "unused as details")
+    assert "TakeOrderedAndProject" in plan(detail.latest_events(events, "b"))
+
+
+def test_latest_values_are_found_without_a_shuffle_of_rows(tables):
+    fact, _ = tables
+    report = detail.latest_by_key_pivot(
+        fact, {"a": "x", "b": "y"}, key="bank_name", value="description")
+    assert "hashpartitioning" not in plan(report) and "Window" not in plan(report)

@@ -8,13 +8,13 @@ from datetime import timedelta
 from pyspark.sql import Column, functions as F
 
 from tillwatch.functions import fixed_values as fixed
-from tillwatch.functions.text import extract_last
+from tillwatch.functions.text import extract_last, marked
 
 
 def any_like(text: Column, patterns: Sequence[str]) -> Column:
     held = F.lit(False)
     for pattern in patterns:
-        held = held | F.ilike(text, F.lit(pattern))
+        held = held | marked(text, pattern)
     return held
 
 
@@ -49,14 +49,18 @@ def health_of_count(successes: Column) -> Column:
 def response_error(response: Column, otherwise: Column) -> Column:
     """The last ``message`` of a response, else its last ``error``, else ``otherwise``."""
     return F.coalesce(
-        extract_last(response, fixed.MESSAGE_FIELD, '"message":'),
-        extract_last(response, fixed.ERROR_FIELD, '"error":'),
+        extract_last(response, fixed.MESSAGE_KEY),
+        extract_last(response, fixed.ERROR_KEY),
         otherwise,
     )
 
 
+def credited(response: Column) -> Column:
+    return marked(response, fixed.CREDIT_MARKER)
+
+
 def response_status(response: Column, otherwise: Column) -> Column:
-    return F.when(F.ilike(response, F.lit(fixed.CREDIT_MARKER)), F.lit("SUCCESS")).otherwise(
+    return F.when(credited(response), F.lit("SUCCESS")).otherwise(
         response_error(response, otherwise)
     )
 

@@ -33,11 +33,11 @@ COUNTABLE_ATTEMPTS = (
     "%Something went wrong%",
 )
 
-# Patterns that pull one field out of a response.
-MESSAGE_FIELD = r'.*"message":\s*"([^"]+)"'
-ERROR_FIELD = r'.*"error":\s*"([^"]+)"'
-RESPONSE_MESSAGE_FIELD = r'.*"responseMessage":\s*"([^"]+)"'
-RECEIVER_WALLET_FIELD = r'.*"receiver_wallet_no":\s*"([^"]+)"'
+# Keys and patterns that pull one field out of a text.
+MESSAGE_KEY = '"message":'
+ERROR_KEY = '"error":'
+RESPONSE_MESSAGE_KEY = '"responseMessage":'
+RECEIVER_WALLET_KEY = '"receiver_wallet_no":'
 CODE_AND_MESSAGE = r"<ResponseCode>(.*?)</ResponseCode>.*?<ResponseMessage>(.*?)</ResponseMessage>"
 REQUEST_TIME_FIELD = r"requestDateTime=([0-9]+)"
 FIELD_32 = r'<field id="32" value="([^"]+)"'

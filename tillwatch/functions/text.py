@@ -13,31 +13,34 @@ def concat_skip_null(*parts: Column) -> Column:
 
 
 def extract(text: Column, pattern: str, group: int = 1) -> Column:
-    """One capture group, NULL without a match. ``.`` also stands for a line break."""
-    return F.nullif(F.regexp_extract(text, f"(?s){pattern}", group), F.lit(""))
+    """One capture group of the first match, NULL without a match. ``.`` also fits a line break."""
+    # regexp_extract gives '' without a match, and testing for that would run the pattern twice.
+    return F.get(F.regexp_extract_all(text, F.lit(f"(?s){pattern}"), F.lit(group)), 0)
 
 
-def extract_last(text: Column, pattern: str, hint: str) -> Column:
-    """The last match of a pattern that opens with ``.*``.
+def extract_last(text: Column, key: str) -> Column:
+    """The last non-empty quoted value of a ``key`` such as ``"message":``, NULL if there is none.
 
-    The anchor changes no result, but keeps the regex engine from trying every start position of a
-    long text; ``hint`` is a literal every match must hold, so most texts never reach the engine.
+    Cutting the text at the last key is a plain search. Only where no value follows that key does a
+    pattern look for an earlier one; its anchor keeps it from trying every start of a long text.
     """
-    return F.when(F.contains(text, F.lit(hint)), extract(text, f"^{pattern}"))
+    after_last = extract(F.substring_index(text, key, -1), r'^\s*"([^"]+)"')
+    earlier = extract(text, rf'^.*{re.escape(key)}\s*"([^"]+)"')
+    return F.when(F.contains(text, F.lit(key)), F.coalesce(after_last, earlier))
 
 
-def code_and_message(text: Column, pattern: str) -> Column:
-    """``code -> message`` from a pattern with two groups, NULL when it does not match.
+def marked(text: Column, pattern: str) -> Column:
+    """``ILIKE``, after a plain search for the longest literal piece of a pattern with several."""
+    pieces = [piece for piece in pattern.split("%") if piece and not set(piece) & {"_", "\\"}]
+    liked = F.ilike(text, F.lit(pattern))
+    if pattern.strip("%").count("%") == 0 or not pieces:
+        return liked
+    return F.contains(F.lower(text), F.lit(max(pieces, key=len).lower())) & liked
 
-    A group may match the empty text, so the test is the pattern itself.
-    """
-    dotall = f"(?s){pattern}"
-    return F.when(
-        F.regexp_like(text, F.lit(dotall)),
-        F.concat(
-            F.regexp_extract(text, dotall, 1), F.lit(" -> "), F.regexp_extract(text, dotall, 2)
-        ),
-    )
+
+def code_and_message(text: Column, pattern: str) -> Column:
+    """``code -> message`` from a pattern with two groups, NULL when it does not match."""
+    return F.concat(extract(text, pattern, 1), F.lit(" -> "), extract(text, pattern, 2))
 
 
 def between_markers(text: Column, before: str, after: str) -> Column:

@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.functions import fixed_values as fixed
-from tillwatch.functions.classify import card_action, response_error, response_status
+from tillwatch.functions.classify import card_action, credited, response_error, response_status
 from tillwatch.functions.clock import BUCKETS, NO_SHIFT, Span, bucket_text
 from tillwatch.functions.numbers import money
 from tillwatch.functions.text import code_and_message, extract, extract_last
@@ -44,10 +44,10 @@ def error_unique_users(
 ) -> DataFrame:
     """Distinct receiver wallets per error. Unanswered requests are not errors and are left out."""
     response = F.col("response")
-    rows = log.filter(span.covers(ts)).filter(~F.ilike(response, F.lit(fixed.CREDIT_MARKER)))
+    rows = log.filter(span.covers(ts)).filter(~credited(response))
     if where is not None:
         rows = rows.filter(where)
-    wallet = extract_last(F.col("request"), fixed.RECEIVER_WALLET_FIELD, '"receiver_wallet_no":')
+    wallet = extract_last(F.col("request"), fixed.RECEIVER_WALLET_KEY)
     dims = {"status": response_error(response, response)}
     return grouped_by_bucket(rows, ts, bucket, dims, [F.count_distinct(wallet).alias("user_count")])
 
@@ -122,8 +122,7 @@ def bank_response_cohort(
     shift: timedelta = NO_SHIFT,
     label_shift: timedelta | None = None,
     log_key: str = "np_txn_request_id",
-    pattern: str = fixed.RESPONSE_MESSAGE_FIELD,
-    hint: str = '"responseMessage":',
+    key: str = fixed.RESPONSE_MESSAGE_KEY,
 ) -> DataFrame:
     """Requests by status and by the message of the bank's answer, or by a fixed label without one.
 
@@ -134,7 +133,7 @@ def bank_response_cohort(
     if where is not None:
         rows = rows.filter(where)
     message = F.coalesce(
-        extract_last(F.col("response_text"), pattern, hint), F.lit(fixed.NO_BANK_LOG)
+        extract_last(F.col("response_text"), key), F.lit(fixed.NO_BANK_LOG)
     )
     answers = (
         log.filter(F.col(log_key).isNotNull())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -16,7 +17,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.functions import clock
 from tillwatch.functions import fixed_values as fixed
-from tillwatch.functions.classify import bank_in_time, bank_rail, countable_attempt, sync_phase, within
+from tillwatch.functions.classify import (
+    bank_in_time,
+    bank_rail,
+    countable_attempt,
+    credited,
+    sync_phase,
+    within,
+)
 from tillwatch.functions.clock import EVER
 from tillwatch.functions.text import concat_skip_null
 from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
@@ -96,21 +104,31 @@ def catalog(
 
 
 def run_reports(
-    reports: Mapping[str, Report], roots: Mapping[str, str], only: Iterable[str] | None = None
+    reports: Mapping[str, Report],
+    roots: Mapping[str, str],
+    only: Iterable[str] | None = None,
+    at_once: int = 4,
 ) -> dict[str, int | str]:
-    """Publish reports; the result gives each one's number of rows, or the error that stopped it."""
-    done: dict[str, int | str] = {}
-    for name in reports if only is None else only:
+    """Publish reports; the result gives each one's number of rows, or the error that stopped it.
+
+    Reports do not depend on each other, so a few of them are submitted at the same time and fill the
+    cluster while others wait for their last tasks.
+    """
+
+    def run(name: str) -> int | str:
         report = reports[name]
         try:
-            done[name] = publish(
+            return publish(
                 report.build(), name, roots[report.target], on_empty=report.on_empty,
                 order=report.order,
             )
         except (PySparkException, ValueError, KeyError) as error:
             LOGGER.warning("report %s was not published: %s", name, error)
-            done[name] = f"{type(error).__name__}: {error}"
-    return done
+            return f"{type(error).__name__}: {error}"
+
+    names = list(reports if only is None else only)
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(names, pool.map(run, names), strict=True))
 
 
 def published(tables: Tables, name: str, root: str) -> Callable[[], DataFrame]:
@@ -151,7 +169,7 @@ def _asked() -> Column:
 
 
 def _credited() -> Column:
-    return F.ilike("response", F.lit(fixed.CREDIT_MARKER))
+    return credited(F.col("response"))
 
 
 def _own_cash_out(settings: Settings) -> Column:

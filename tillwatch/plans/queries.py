@@ -8,9 +8,9 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.functions import clock
-from tillwatch.functions.classify import countable_attempt, sync_phase, within
+from tillwatch.functions.classify import countable_attempt, credited, sync_phase, within
 from tillwatch.functions.clock import EVER
-from tillwatch.functions.fixed_values import CREDIT_MARKER, HEX_REQUEST, PROFILE_MISSING
+from tillwatch.functions.fixed_values import HEX_REQUEST, PROFILE_MISSING
 from tillwatch.functions.text import concat_skip_null
 from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
 from tillwatch.sources import roles
@@ -79,7 +79,7 @@ def r01_threshold_lagged(spark, sf_dir):
 def r01_threshold_log(spark, sf_dir):
     return health.threshold_vs_today(
         roles.txn_log(spark, sf_dir), NOW,
-        baseline_bad=asked() & ~F.ilike("response", F.lit(CREDIT_MARKER)),
+        baseline_bad=asked() & ~credited(F.col("response")),
     )
 
 
@@ -499,7 +499,7 @@ def r31_weekly_satisfaction(spark, sf_dir):
         sla.Satisfaction("Money In", txn, F.concat(F.col("vendor_name"), F.lit(" IN")),
                          quick(minutes=5), where=status.isin("FAILED", "SUCCESS")),
         sla.Satisfaction("Super QR Payment", log, F.lit("Super QR Payment"),
-                         F.ilike("response", F.lit(CREDIT_MARKER)), where=asked(),
+                         credited(F.col("response")), where=asked(),
                          attempt=countable_attempt(F.col("response"))),
     ]
     return sla.weekly_satisfaction(services, clock.previous_week(NOW))
