@@ -8,6 +8,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tillwatch.functions.numbers import MONEY
 
@@ -18,8 +19,15 @@ OPERATORS = ("GP", "BL", "ROBI", "AIRTEL", "TT")
 AGENTS = {f"agent{n}": f"AGENT_{n}" for n in range(5)}
 
 
+# Schemas by path, as a catalog would keep them: only the first read opens the files' footers.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
