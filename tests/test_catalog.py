@@ -1,5 +1,6 @@
 """Every published report over one small payments business."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -305,6 +306,15 @@ def test_bills_and_support(report):
     assert report("packages_today")[0][2:] == (99.0, "PURCHASED", 2, 198.0, "PURCHASED(99.00tk package)")
 
 
+def test_looking_for_answers_near_their_requests_changes_nothing(business, run):
+    reports, _, _ = run
+    near = replace(SETTINGS, answer_slack=timedelta(hours=1))
+    narrowed = catalog(business, AS_OF, near)
+    for name in ("rocket_out_today_codes", "nagad_out_month_responses", "transfer_today_reasons",
+                 "card_out_today_reasons"):
+        assert rows(narrowed[name].build()) == rows(reports[name].build())
+
+
 def test_one_failing_report_does_not_stop_the_others(business, run, tmp_path):
     reports, _, _ = run
     broken = dict(business)

@@ -139,6 +139,27 @@ def test_text_helpers(frame):
     assert values(parts, classify.with_suffix(F.col("a"), F.col("b"))) == [None]
 
 
+def test_a_marker_search_equals_ilike(frame):
+    texts = ["{NPSB transfer CREDIT}", "npsb transfer credit", "}NPSB transfer credit{", "{x}", "", None,
+             "{\nNPSB transfer credit\n}", "a_b-c", "aXb-c"]
+    df = frame("t string", [(text_,) for text_ in texts])
+    for pattern in ("%{%NPSB transfer credit%}%", "%npsb%", "%", "a_b%c", "{%}", "%{%x%}"):
+        wanted = values(df, F.ilike(F.col("t"), F.lit(pattern)))
+        assert values(df, text.marked(F.col("t"), pattern)) == wanted
+        negated = values(df, ~text.marked(F.col("t"), pattern))
+        assert negated == [None if held is None else not held for held in wanted]
+
+
+def test_the_last_value_of_a_key(frame):
+    df = frame("t string", [
+        ('"k": "a", "k": "b"',), ('"k": "a", "k": null',), ('"k": "a", "k": ""',), ('"k":\n "a"',),
+        ('"k" : "a"',), ('"k": "open',), ("none",), (None,),
+    ])
+    assert values(df, text.extract_last(F.col("t"), '"k":')) == [
+        "b", "a", "a", "a", None, None, None, None,
+    ]
+
+
 def test_code_and_message_may_be_empty(frame):
     df = frame("t string", [
         ("<ResponseCode></ResponseCode>\n<ResponseMessage>none</ResponseMessage>",),

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import AS_OF, cash, rows
 from tillwatch.sources import reports
@@ -22,6 +23,13 @@ def test_publish_replaces_the_whole_report(spark, frame, root):
     assert rows(reports.read_report(spark, "r", root)) == [("c", 1.5)]
 
 
+def test_rows_are_published_in_order(spark, frame, root):
+    names = [f"n{n:03d}" for n in range(200)]
+    reports.publish(small(frame, *names).repartition(4), "r", root, order=[F.desc("name")])
+    found = [row["name"] for row in reports.read_report(spark, "r", root).collect()]
+    assert found == names[::-1]
+
+
 def test_an_empty_result_follows_its_policy(spark, frame, root):
     reports.publish(small(frame, "old"), "r", root)
     empty = small(frame)

@@ -2,6 +2,9 @@
 
 Joins are on request ids. Both sides are reduced to distinct (id, label) rows first, with map-side
 combining, so an id that fills a third of the log reaches the join as a handful of rows.
+
+A log keeps all answers ever given. Where answers are known to lie within some time of their request,
+``log_span`` says so, and the scan skips the rest; without it the whole log is searched.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from tillwatch.functions import fixed_values as fixed
 from tillwatch.functions.classify import card_action, credited, response_error, response_status
 from tillwatch.functions.clock import BUCKETS, NO_SHIFT, Span, bucket_text
 from tillwatch.functions.numbers import money
-from tillwatch.functions.text import code_and_message, extract, extract_last
+from tillwatch.functions.text import code_and_message, extract, extract_last, marked
 from tillwatch.operators.cohort import grouped_by_bucket
 
 
@@ -52,6 +55,14 @@ def error_unique_users(
     return grouped_by_bucket(rows, ts, bucket, dims, [F.count_distinct(wallet).alias("user_count")])
 
 
+def _answers(
+    log: DataFrame, request_marker: str | None, log_span: Span | None, log_ts: str = "create_date"
+) -> DataFrame:
+    """The log rows that may answer: of the marked requests, and of the given time."""
+    answers = log if log_span is None else log.filter(log_span.covers(log_ts))
+    return answers if request_marker is None else answers.filter(marked(F.col("request"), request_marker))
+
+
 def _distinct_labels(
     fact: DataFrame, log: DataFrame, span: Span, bucket: str, label: Column, ts: str
 ) -> DataFrame:
@@ -78,12 +89,13 @@ def xml_code_cohort(
     *,
     where: Column | None = None,
     request_marker: str | None = None,
+    log_span: Span | None = None,
     pattern: str = fixed.CODE_AND_MESSAGE,
     ts: str = "create_date",
 ) -> DataFrame:
     """Distinct requests per ``code -> message`` found in the provider's markup."""
     fact = fact if where is None else fact.filter(where)
-    asked = log if request_marker is None else log.filter(F.ilike("request", F.lit(request_marker)))
+    asked = _answers(log, request_marker, log_span)
     label = code_and_message(F.col("response"), pattern)
     pairs = _distinct_labels(fact, asked, span, bucket, label, ts)
     return _requests_per_label(pairs, bucket, "code_message")
@@ -97,15 +109,16 @@ def raw_response_cohort(
     *,
     where: Column | None = None,
     request_marker: str | None = None,
+    log_span: Span | None = None,
     hidden_marker: str = fixed.SENSITIVE_MARKER,
     ts: str = "create_date",
 ) -> DataFrame:
     """Distinct unsuccessful requests per full response text."""
     bad = fact.filter(F.col("status") != "SUCCESS")
     bad = bad if where is None else bad.filter(where)
-    asked = log.filter(~F.ilike("response", F.lit(hidden_marker)))
-    if request_marker is not None:
-        asked = asked.filter(F.ilike("request", F.lit(request_marker)))
+    asked = _answers(log, request_marker, log_span).filter(
+        ~marked(F.col("response"), hidden_marker)
+    )
     pairs = _distinct_labels(bad, asked, span, bucket, F.col("response"), ts)
     return _requests_per_label(pairs, bucket, "response")
 
@@ -177,6 +190,7 @@ def reverse_reasons(
     span: Span | None = None,
     status: str = "REVERSE",
     request_marker: str = fixed.CARD_REQUEST,
+    log_span: Span | None = None,
     entity: str = "bank_name",
     ts: str = "create_date",
 ) -> DataFrame:
@@ -190,7 +204,7 @@ def reverse_reasons(
     if span is not None:
         reversed_rows = reversed_rows.filter(span.covers(ts))
     code = F.get_json_object("response", "$.actionCode")
-    answers = log.filter(F.ilike("request", F.lit(request_marker))).select(
+    answers = _answers(log, request_marker, log_span).select(
         "request_id", code.alias("action_code")
     )
     rows = (
@@ -228,6 +242,7 @@ def first_response_per_request(
     statuses: tuple[str, ...] = ("REVERSE", "UNKNOWN", "REVERSIBLE"),
     columns: tuple[str, ...] = ("status", "amount", "bank_swift_code", "channel"),
     request_marker: str | None = None,
+    log_span: Span | None = None,
     log_order: str = "id",
     ts: str = "create_date",
 ) -> DataFrame:
@@ -237,7 +252,7 @@ def first_response_per_request(
     Both reductions leave the rows hashed by request id, so the join adds no shuffle.
     """
     failed = fact.filter(span.covers(ts) & F.col("status").isin(*statuses))
-    asked = log if request_marker is None else log.filter(F.ilike("request", F.lit(request_marker)))
+    asked = _answers(log, request_marker, log_span)
     first_rows = failed.groupBy("request_id").agg(
         F.min(F.struct(ts, *columns)).alias("row")
     )

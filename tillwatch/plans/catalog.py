@@ -55,6 +55,8 @@ class Settings:
     balance_gateway: str = "%"
     wallet_balance_gateway: str = "%"
     reseller_gateway: str = "%"
+    # How long before its request an answer may be logged at most; None searches the whole log.
+    answer_slack: timedelta | None = None
     # Support staff: user ids, and address key -> agent name in order of precedence.
     staff: tuple[int, ...] = ()
     agents: Mapping[str, str] = field(default_factory=dict)
@@ -156,6 +158,13 @@ def _settled_month(as_of: datetime, lag: timedelta = MINUTES_5) -> clock.Span:
     return _month(as_of).settled(as_of, lag)
 
 
+def _answers_of(span: clock.Span | None, settings: Settings) -> clock.Span | None:
+    """Where the answers to the requests of ``span`` are logged."""
+    if span is None or span.start is None or settings.answer_slack is None:
+        return None
+    return clock.Span(start=span.start - settings.answer_slack)
+
+
 def _is(column: str, *values: str) -> Column:
     return F.col(column).isin(*values)
 
@@ -418,7 +427,7 @@ def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str
         return Report(
             lambda: logs.xml_code_cohort(
                 tables["wallet_out"], tables["wallet_out_log"], span, bucket, where=rocket,
-                request_marker=settings.markup_gateway,
+                request_marker=settings.markup_gateway, log_span=_answers_of(span, settings),
             ),
             (bucket, F.desc("request_count")),
         )
@@ -427,7 +436,7 @@ def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str
         return Report(
             lambda: logs.raw_response_cohort(
                 tables["wallet_out"], tables["wallet_out_log"], span, bucket, where=nagad,
-                request_marker=settings.json_gateway,
+                request_marker=settings.json_gateway, log_span=_answers_of(span, settings),
             ),
             (F.desc(bucket), F.desc("request_count")),
         )
@@ -485,7 +494,7 @@ def _transfer(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
         return Report(
             lambda: logs.first_response_per_request(
                 tables["bank_transfer"], tables["bank_log"], span, bucket,
-                request_marker=settings.transfer_gateway,
+                request_marker=settings.transfer_gateway, log_span=_answers_of(span, settings),
             ),
             (F.desc("request_id"),),
         )
@@ -528,7 +537,10 @@ def _card(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Repo
 
     def reasons(bucket, span=None) -> Report:
         return Report(
-            lambda: logs.reverse_reasons(tables["card_out"], tables["bank_log"], bucket, span=span),
+            lambda: logs.reverse_reasons(
+                tables["card_out"], tables["bank_log"], bucket, span=span,
+                log_span=_answers_of(span, settings),
+            ),
             (F.desc("id"),),
         )
 

@@ -63,14 +63,12 @@ def publish(
     The report is computed once, into a staging folder; only a complete result replaces the old one,
     so a failed run leaves the published report as it was. ``on_empty`` says what an empty result
     does: ``keep`` leaves the old report, ``zero_row`` publishes one row of zeros, ``replace``
-    publishes the empty report.
+    publishes the empty report. ``order`` sorts the rows as they are published.
     """
     if on_empty not in ("keep", "zero_row", "replace"):
         raise ValueError(f"unknown policy for an empty report: {on_empty}")
     spark = report.sparkSession
     rows = normalise(report)
-    if order:
-        rows = rows.orderBy(*order)
     staging = f"{root}/_staging/{name}"
     rows.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(rows.schema).parquet(staging)
@@ -80,7 +78,8 @@ def publish(
     if count == 0 and on_empty == "zero_row":
         staged = zero_row(rows)
         count = 1
-    staged.write.mode("overwrite").parquet(f"{root}/{name}")
+    final = staged.orderBy(*order) if order else staged
+    final.write.mode("overwrite").parquet(f"{root}/{name}")
     return count
 
 
