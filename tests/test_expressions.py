@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import at, cash, rows
+from conftest import at, cash
 from tillwatch.functions import classify, fixed_values as fixed, numbers, text
 
 
@@ -132,8 +132,9 @@ def test_text_helpers(frame):
     ]
     objects = frame("t string", [("{}",), ("{\n}",), ("{",), ("x{}",), (None,)])
     assert values(objects, text.looks_like_object(F.col("t"))) == [True, True, False, False, None]
-    titles = frame("t string", [("  pay   FAILED again ",)])
-    assert values(titles, text.title_words(F.col("t"))) == ["Pay Failed Again"]
+    words = ["  pay   FAILED again ", "they're x-ray 3d\tlast\nline", "été-ÉTÉ", "", "a", "-b c_d"]
+    titles = frame("t string", [(word,) for word in words])
+    assert values(titles, text.title_words(F.col("t"))) == [" ".join(w.title().split()) for w in words]
     parts = frame("a string, b string", [("x", None)])
     assert values(parts, text.concat_skip_null(F.col("a"), F.lit("-"), F.col("b"))) == ["x-"]
     assert values(parts, classify.with_suffix(F.col("a"), F.col("b"))) == [None]

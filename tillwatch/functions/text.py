@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column, functions as F
 
 
+_MARK = "\u0001 "
+
+
 def concat_skip_null(*parts: Column) -> Column:
     """Concatenation that reads NULL as empty text; ``F.concat`` gives NULL instead."""
     return F.concat(*[F.coalesce(part.cast("string"), F.lit("")) for part in parts])
@@ -64,8 +67,11 @@ def two_decimals(number: Column) -> Column:
 
 
 def title_words(text: Column) -> Column:
-    """Capitalised words joined by single spaces."""
-    return F.trim(F.regexp_replace(F.initcap(text), r"\s+", " "))
+    """Words joined by single blanks, every letter after a non-letter in upper case."""
+    # initcap knows blanks as word ends only, so a marked blank is put behind every other one.
+    parted = F.regexp_replace(text, r"(?<=\P{L})(?=\p{L})", _MARK)
+    titled = F.replace(F.initcap(parted), F.lit(_MARK), F.lit(""))
+    return F.trim(F.regexp_replace(titled, r"(?U)\s+", " "))
 
 
 def contains_first(text: Column, labels: dict[str, str]) -> Column:

@@ -20,9 +20,10 @@ from tillwatch.functions.classify import (
     registration_status,
     service_direction,
     wallet_status,
+    with_suffix,
 )
 from tillwatch.functions.clock import BUCKETS, EVER, NO_SHIFT, Span, moved
-from tillwatch.functions.numbers import money, rows_where
+from tillwatch.functions.numbers import money, percent, rows_where
 from tillwatch.functions.text import concat_skip_null
 
 Dims = Sequence[str] | Mapping[str, Column]
@@ -196,14 +197,9 @@ def top_reasons(
     if not share:
         return top
     totals = counts.groupBy(bucket).agg(F.sum("txn_count").alias("bucket_count"))
-    pct = F.round(
-        F.try_divide(
-            F.col("txn_count").cast("decimal(20,0)") * 100, F.col("bucket_count").cast("decimal(20,0)")
-        ),
-        2,
-    )
+    share_of = F.round(percent(F.col("txn_count"), F.col("bucket_count")), 2)
     return top.join(totals, bucket).select(
-        bucket, "description", "txn_count", pct.alias("percentage")
+        bucket, "description", "txn_count", share_of.alias("percentage")
     )
 
 
@@ -264,7 +260,7 @@ def cohort_with_entity_total(
         counted="status",
     )
     total = F.sum("total_amount").over(Window.partitionBy(entity))
-    label = F.concat(F.col(entity), F.lit(" (Total: "), total.cast("string"), F.lit(")"))
+    label = with_suffix(F.col(entity), F.concat(F.lit("Total: "), total.cast("string")))
     return daily.select("day", label.alias(entity), "status", "txn_count", "total_amount")
 
 
@@ -338,7 +334,7 @@ def event_counts(
 
 def cashback_cohort(
     cashback: DataFrame,
-    as_of_span: Span,
+    span: Span,
     bucket: str = "hour",
     *,
     range_on: str = "update_date",
@@ -351,7 +347,7 @@ def cashback_cohort(
     """
     read = cashback.withColumn("text_time", F.col(at).try_cast("timestamp_ntz"))
     ranged = "text_time" if range_on == at else range_on
-    rows = read.filter(as_of_span.covers(ranged))
+    rows = read.filter(span.covers(ranged))
     dims = ["txn_status"]
     if only_failed:
         rows = rows.filter(F.col("txn_status") == "FAILED")
@@ -385,7 +381,8 @@ def package_sales(
 ) -> DataFrame:
     """Sold packages by price and status, with the price times the number sold."""
     sold = status_cohort(
-        purchases, span, bucket, dims=("amount", "status"), where=where, ts="created_at", counted=counted, amount=None,
+        purchases, span, bucket, dims=("amount", "status"), where=where, ts="created_at",
+        counted=counted, amount=None,
     )
     value = F.col("amount") * F.col("txn_count").cast("decimal(20,0)")
     sold = sold.withColumn("total_amount", value)

@@ -14,7 +14,13 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.functions import fixed_values as fixed
-from tillwatch.functions.classify import card_action, credited, response_error, response_status
+from tillwatch.functions.classify import (
+    card_action,
+    credited,
+    response_error,
+    response_status,
+    with_suffix,
+)
 from tillwatch.functions.clock import BUCKETS, NO_SHIFT, Span, bucket_text
 from tillwatch.functions.numbers import money
 from tillwatch.functions.text import code_and_message, extract, extract_last, marked
@@ -216,19 +222,16 @@ def reverse_reasons(
     per_entity = both.groupBy(entity).agg(F.sum("n").alias("entity_rows"))
     per_meaning = both.groupBy("meaning").agg(F.sum("n").alias("meaning_rows"))
 
-    def labelled(name: str, count: str) -> Column:
-        return F.concat(F.col(name), F.lit(" ("), F.col(count).cast("string"), F.lit(")"))
-
     return (
         rows.join(F.broadcast(per_meaning), "meaning")
         .join(per_entity, entity, "left")
         .select(
             "id",
             bucket_text(bucket, ts).alias(bucket),
-            labelled(entity, "entity_rows").alias(f"{entity}_with_count"),
+            with_suffix(F.col(entity), F.col("entity_rows")).alias(f"{entity}_with_count"),
             "status",
             "action_code",
-            labelled("meaning", "meaning_rows").alias("meaning_with_count"),
+            with_suffix(F.col("meaning"), F.col("meaning_rows")).alias("meaning_with_count"),
         )
     )
 

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwatch.functions.clock import Span, instant, midnight, since_day, today
+from tillwatch.functions.clock import instant, midnight, since_day, today
 from tillwatch.functions.text import contains_first, title_words
 
 REPORT_DAYS = 30

@@ -12,7 +12,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwatch.functions import clock
@@ -124,7 +123,7 @@ def run_reports(
                 report.build(), name, roots[report.target], on_empty=report.on_empty,
                 order=report.order,
             )
-        except (PySparkException, ValueError, KeyError) as error:
+        except Exception as error:  # whatever stops one report must not stop the others
             LOGGER.warning("report %s was not published: %s", name, error)
             return f"{type(error).__name__}: {error}"
 

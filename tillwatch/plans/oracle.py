@@ -539,7 +539,7 @@ FROM fact JOIN customer ON c_custkey = custkey GROUP BY ALL""",
 SELECT max(v) FILTER (o = 'AIRTEL') AS airtel, max(v) FILTER (o = 'GP') AS grameenphone,
   max(v) FILTER (o = 'BL') AS banglalink, max(v) FILTER (o = 'TT') AS teletalk,
   max(v) FILTER (o = 'ROBI') AS robi FROM latest WHERE place = 1""",
-    "r12_newest_stamp": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS date_time FROM events",
+    "r12_as_of_stamp": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS date_time FROM events",
     "r13_bank_response_cohort": bank_response(
         (f"{ORDERS}, {LINES}", "fact", "lines", "request_id", "response"),
         day("f.create_date"), "TRUE"),

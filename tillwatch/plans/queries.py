@@ -250,7 +250,8 @@ def r11_latest_by_key_pivot(spark, sf_dir):
 
 
 @checked
-def r12_newest_stamp(spark, sf_dir):
+def r12_as_of_stamp(spark, sf_dir):
+    """The clock of a replayed table."""
     return detail.newest_stamp(roles.txn(spark, sf_dir))
 
 
