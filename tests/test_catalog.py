@@ -199,7 +199,8 @@ def run(spark, business, tmp_path_factory):
     earlier = spark.createDataFrame(DECODED, "day string, hour string, wallet string, status string")
     publish(earlier, "qr_failed_users", roots["main"])
     reports = catalog(
-        business, AS_OF, SETTINGS, decoded=published(business, "qr_failed_users", roots["main"])
+        business, AS_OF, SETTINGS, decoded=published(business, "qr_failed_users", roots["main"]),
+        work=str(base / "work"),
     )
     return reports, run_reports(reports, roots), roots
 
@@ -306,6 +307,35 @@ def test_bills_and_support(report):
     assert report("packages_today")[0][2:] == (99.0, "PURCHASED", 2, 198.0, "PURCHASED(99.00tk package)")
 
 
+def test_shared_summaries_change_nothing(business, run):
+    reports, _, _ = run
+    alone = catalog(business, AS_OF, SETTINGS)
+    summed = [name for name in reports
+              if name.startswith(("card_in_", "wallet_out_", "recharge_today_duration"))]
+    assert len(summed) == 9
+    for name in (*summed, "recharge_today", "recharge_month_amount", "recharge_today_failed_amount"):
+        assert rows(alone[name].build()) == rows(reports[name].build()), name
+
+
+def test_recharge_reports(report):
+    assert report("recharge_today") == [
+        ("18", "CHECKOUT", "GP", 1, 20.0), ("18", "SUCCESS", "GP", 1, 10.0),
+    ]
+    assert report("recharge_month_count") == [
+        ("2024-03-26", "FAILED  (BL)", 1), ("2024-03-26", "SUCCESS  (TT)", 1),
+        ("2024-03-30", "SUCCESS  (BL)", 1), ("2024-03-31", "CHECKOUT  (GP)", 1),
+        ("2024-03-31", "SUCCESS  (GP)", 1),
+    ]
+    assert report("recharge_today_failed_amount") == [("18", "CHECKOUT", "GP", 20.0)]
+    assert report("recharge_today_duration") == [
+        ("18", "1 min or less", 1), ("18", "greater then 1 hour", 1),
+    ]
+    assert report("recharge_today_duration_vendor") == [
+        ("18", "1 min or less", "ROBI - (1 min or less)", 1),
+        ("18", "greater than 1 hour", "AIRTEL - (greater than 1 hour)", 1),
+    ]
+
+
 def test_looking_for_answers_near_their_requests_changes_nothing(business, run):
     reports, _, _ = run
     near = replace(SETTINGS, answer_slack=timedelta(hours=1))

@@ -11,6 +11,7 @@ from conftest import AS_OF, rows
 from tillwatch.functions import clock
 from tillwatch.functions.clock import EVER
 from tillwatch.operators import cohort, detail, logs, sla, support
+from tillwatch.operators.summary import cohort_from_summary, hourly_summary
 
 N = 3000
 
@@ -187,8 +188,10 @@ def test_tickets_of_one_busy_issue(spark):
         newest[ticket] = max(newest.get(ticket, at), at)
     wanted = Counter((day(at), f"A{user}") for _, ticket, user, at in work if at == newest[ticket])
     resolved = support.latest_journals(
-        spark.createDataFrame(journals, "id long, journalized_id long, user_id long, created_on timestamp_ntz"),
-        spark.createDataFrame(issues, "id long, author_id long, status_id long, category_id long, subject string"),
+        spark.createDataFrame(
+            journals, "id long, journalized_id long, user_id long, created_on timestamp_ntz"),
+        spark.createDataFrame(
+            issues, "id long, author_id long, status_id long, category_id long, subject string"),
         spark.createDataFrame(emails, "user_id long, address string"),
         spark.createDataFrame(statuses, "id long, name string"), AS_OF, staff=staff)
     agents = {f"agent{n}": f"A{n}" for n in range(5)}
@@ -227,6 +230,22 @@ def test_clock_and_rows_moved_together_change_nothing(business):
     assert here == there
 
 
+def test_cohorts_of_one_summary_equal_their_own_readings(business):
+    _, _, fact_df, _ = business
+    spans = {
+        "settled": clock.today(AS_OF).settled(AS_OF, timedelta(minutes=5)),
+        "instant": clock.rolling(AS_OF, "instant", 1), "days": clock.last_days(AS_OF, 2, 1), "ever": EVER,
+    }
+    shift = timedelta(hours=6)
+    for moved in (timedelta(0), shift):
+        summary = hourly_summary(fact_df, spans, ("status", "bank_name"), shift=moved)
+        for name, span in spans.items():
+            for bucket in ("hour", "day"):
+                own = cohort.status_cohort(fact_df, span, bucket, shift=moved, counted="status")
+                summed = cohort_from_summary(summary, name, bucket, counted="status")
+                assert rows(summed) == rows(own), (name, bucket, moved)
+
+
 def test_bucket_counts_add_up(business):
     _, _, fact_df, _ = business
     span = clock.rolling(AS_OF, "instant", 2)

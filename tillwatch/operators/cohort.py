@@ -29,7 +29,7 @@ from tillwatch.functions.text import concat_skip_null
 Dims = Sequence[str] | Mapping[str, Column]
 
 
-def _named(dims: Dims) -> dict[str, Column]:
+def named_dims(dims: Dims) -> dict[str, Column]:
     if isinstance(dims, Mapping):
         return dict(dims)
     return {name: F.col(name) for name in dims}
@@ -45,7 +45,7 @@ def grouped_by_bucket(
 ) -> DataFrame:
     """Group by narrow bucket keys and dimensions, then write the bucket labels."""
     buckets = (buckets,) if isinstance(buckets, str) else tuple(buckets)
-    named = _named(dims)
+    named = named_dims(dims)
     keys = [BUCKETS[b].key(moved(ts, shift)).alias(f"key_{b}") for b in buckets]
     grouped = rows.groupBy(*keys, *[column.alias(name) for name, column in named.items()])
     result = grouped.agg(*aggregates)

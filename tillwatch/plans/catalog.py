@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,12 +22,14 @@ from tillwatch.functions.classify import (
     bank_rail,
     countable_attempt,
     credited,
+    duration_label,
     sync_phase,
     within,
 )
 from tillwatch.functions.clock import EVER
 from tillwatch.functions.text import concat_skip_null
 from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
+from tillwatch.operators.summary import cohort_from_summary, hourly_summary
 from tillwatch.sources.reports import publish, read_report
 
 LOGGER = logging.getLogger(__name__)
@@ -86,10 +89,42 @@ class Report:
     covers: int = 1
 
 
+class Summary:
+    """A small aggregate that several reports are summed from.
+
+    With a folder it is computed once, written there, and read by all of them. Without one each
+    report computes what it needs of it.
+    """
+
+    def __init__(self, build: Callable[[], DataFrame], path: str | None):
+        self._build = build
+        self._path = path
+        self._written: DataFrame | None = None
+        self._lock = Lock()
+
+    def __call__(self) -> DataFrame:
+        if self._path is None:
+            return self._build()
+        with self._lock:
+            if self._written is None:
+                summary = self._build()
+                summary.write.mode("overwrite").parquet(self._path)
+                reader = summary.sparkSession.read.schema(summary.schema)
+                self._written = reader.parquet(self._path)
+        return self._written
+
+
 def catalog(
-    tables: Tables, as_of: datetime, settings: Settings, decoded: Callable[[], DataFrame] | None = None
+    tables: Tables,
+    as_of: datetime,
+    settings: Settings,
+    decoded: Callable[[], DataFrame] | None = None,
+    work: str | None = None,
 ) -> dict[str, Report]:
-    """Every report at ``as_of``. ``decoded`` supplies the earlier report whose ids are decoded."""
+    """Every report at ``as_of``. ``decoded`` supplies the earlier report whose ids are decoded.
+
+    ``work`` is a shared folder for the summaries that reports have in common.
+    """
     groups = (
         _baselines, _health, _recharge, _wallet_in, _wallet_out, _bank, _transfer, _card, _qr, _balances,
         _summaries, _registration, _events, _sales, _messages, _support,
@@ -97,6 +132,8 @@ def catalog(
     reports: dict[str, Report] = {}
     for group in groups:
         reports |= group(tables, as_of, settings)
+    for group in (_recharge_cohorts, _wallet_out_cohorts, _card_in_cohorts):
+        reports |= group(tables, as_of, work)
     if decoded is not None:
         reports["qr_inactive_users"] = Report(
             lambda: detail.decode_and_enrich(decoded(), tables["profile"]), target="users"
@@ -290,28 +327,14 @@ def _health(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Re
 
 
 def _recharge(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
-    label = concat_skip_null(F.col("status"), F.lit("  ("), F.col("mobile_operator"), F.lit(")"))
-    by_label = {"status_operator": label}
-    by_operator = ("status", "mobile_operator")
     today, month = _settled_today(as_of), _settled_month(as_of)
     calendar_month = _calendar_month(as_of)
 
     def table() -> DataFrame:
         return tables["recharge"]
 
-    def cohorts(span, bucket, **options) -> Report:
-        return Report(lambda: cohort.status_cohort(table(), span, bucket, **options), (bucket,))
-
-    def bad(span, bucket, **options) -> Report:
-        return Report(
-            lambda: cohort.not_success_breakdown(table(), span, bucket, **options), (bucket,)
-        )
-
-    def durations(span, bucket, by=None) -> Report:
-        longest = fixed.LONGEST_DURATION if by else fixed.LONGEST_DURATION_RECHARGE
-        return Report(
-            lambda: cohort.duration_cohort(table(), span, bucket, by=by, longest=longest), (bucket,)
-        )
+    def bad(span, bucket) -> Report:
+        return Report(lambda: cohort.not_success_breakdown(table(), span, bucket), (bucket,))
 
     def reasons(span, bucket, **options) -> Report:
         return Report(
@@ -329,24 +352,10 @@ def _recharge(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
         "airtel": "AIRTEL", "grameenphone": "GP", "banglalink": "BL", "teletalk": "TT", "robi": "ROBI"
     }
     return {
-        "recharge_today": cohorts(today, "hour", dims=by_operator, counted="status"),
-        "recharge_month": cohorts(month, "day", counted="status"),
-        "recharge_today_count": cohorts(today, "hour", dims=by_label, amount=None),
-        "recharge_month_count": cohorts(calendar_month, "day", dims=by_label, amount=None),
-        "recharge_today_amount": cohorts(today, "hour", dims=by_label),
-        "recharge_month_amount": cohorts(
-            calendar_month, "day", dims=by_label, where=_is("status", "SUCCESS")
-        ),
-        "recharge_today_failed": bad(today, "hour", dims=by_operator),
-        "recharge_today_failed_amount": bad(today, "hour", dims=by_operator, measure="amount"),
         "recharge_today_breakdown": bad(today, "hour"),
         "recharge_month_breakdown": bad(calendar_month, "day"),
         "recharge_vendors": Report(lambda: detail.latest_by_key_pivot(table(), operators)),
         "report_time": Report(lambda: detail.as_of_stamp(table().sparkSession, as_of)),
-        "recharge_today_duration": durations(today, "hour"),
-        "recharge_month_duration": durations(month, "day"),
-        "recharge_today_duration_vendor": durations(today, "hour", "vendor_name"),
-        "recharge_today_duration_operator": durations(today, "hour", "mobile_operator"),
         "recharge_today_reasons": reasons(today, "hour"),
         "recharge_month_reasons": reasons(month, "day", monthly=True, counted="txn_id"),
         "cashback_today": cashback(today, "hour"),
@@ -357,6 +366,62 @@ def _recharge(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
     }
 
 
+def _recharge_cohorts(tables: Tables, as_of: datetime, work: str | None) -> dict[str, Report]:
+    """Twelve reports over one reading of the recharges."""
+    spans = {
+        "today": _settled_today(as_of),
+        "month": _settled_month(as_of),
+        "calendar_month": _calendar_month(as_of),
+    }
+
+    def build() -> DataFrame:
+        dims = {name: F.col(name) for name in ("status", "mobile_operator", "vendor_name")}
+        dims["duration"] = duration_label(F.col("create_date"), F.col("update_date"))
+        return hourly_summary(tables["recharge"], spans, dims)
+
+    summary = Summary(build, work and f"{work}/recharge_hourly")
+    label = concat_skip_null(F.col("status"), F.lit("  ("), F.col("mobile_operator"), F.lit(")"))
+    by_label = {"status_operator": label}
+    by_operator = ("status", "mobile_operator")
+    bad = ~_is("status", "SUCCESS")
+
+    def cohorts(span, bucket, **options) -> Report:
+        return Report(lambda: cohort_from_summary(summary(), span, bucket, **options), (bucket,))
+
+    def durations(span, bucket, by=None) -> Report:
+        duration = F.col("duration")
+        if by is None:
+            # This report spells its last class differently.
+            spelled = F.when(
+                duration == fixed.LONGEST_DURATION, F.lit(fixed.LONGEST_DURATION_RECHARGE)
+            ).otherwise(duration)
+            return cohorts(span, bucket, dims={"duration": spelled}, amount_name=None)
+        named = concat_skip_null(F.col(by), F.lit(" - ("), duration, F.lit(")"))
+        dims = {"duration": duration, f"{by}_duration": named}
+        return cohorts(span, bucket, dims=dims, amount_name=None)
+
+    return {
+        "recharge_today": cohorts("today", "hour", dims=by_operator, counted="status"),
+        "recharge_month": cohorts("month", "day", counted="status"),
+        "recharge_today_count": cohorts("today", "hour", dims=by_label, amount_name=None),
+        "recharge_month_count": cohorts("calendar_month", "day", dims=by_label, amount_name=None),
+        "recharge_today_amount": cohorts("today", "hour", dims=by_label),
+        "recharge_month_amount": cohorts(
+            "calendar_month", "day", dims=by_label, where=_is("status", "SUCCESS")
+        ),
+        "recharge_today_failed": cohorts(
+            "today", "hour", dims=by_operator, where=bad, amount_name=None
+        ),
+        "recharge_today_failed_amount": cohorts(
+            "today", "hour", dims=by_operator, where=bad, count_name=None
+        ),
+        "recharge_today_duration": durations("today", "hour"),
+        "recharge_month_duration": durations("month", "day"),
+        "recharge_today_duration_vendor": durations("today", "hour", "vendor_name"),
+        "recharge_today_duration_operator": durations("today", "hour", "mobile_operator"),
+    }
+
+
 def _wallet_in(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
     started = ("ORDER_ERR", "INITIATED", "CHECKOUT")
     known = ("SUCCESS", "FAILED", "REFUNDED")
@@ -409,18 +474,7 @@ def _wallet_in(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
 
 
 def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
-    both = _is("financial_institute", "ROCKET", "NAGAD")
     rocket, nagad = _is("financial_institute", "ROCKET"), _is("financial_institute", "NAGAD")
-    settled_days = clock.rolling(as_of, "dates").settled(as_of, MINUTES_5)
-
-    def cohorts(span, bucket) -> Report:
-        return Report(
-            lambda: cohort.status_cohort(
-                tables["wallet_out"], span, bucket, dims=("financial_institute", "status"),
-                where=both, counted="status",
-            ),
-            (bucket,),
-        )
 
     def codes(span, bucket) -> Report:
         return Report(
@@ -441,8 +495,6 @@ def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str
         )
 
     return {
-        "wallet_out_today": cohorts(clock.today(as_of), "hour"),
-        "wallet_out_month": cohorts(settled_days, "day"),
         "rocket_out_today_codes": codes(clock.today(as_of), "hour"),
         "rocket_out_month_codes": codes(_settled_month(as_of), "day"),
         "nagad_out_today_responses": responses(clock.today(as_of), "hour"),
@@ -450,6 +502,27 @@ def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str
     }
 
 
+def _wallet_out_cohorts(tables: Tables, as_of: datetime, work: str | None) -> dict[str, Report]:
+    spans = {
+        "today": clock.today(as_of), "month": clock.rolling(as_of, "dates").settled(as_of, MINUTES_5)
+    }
+    dims = ("financial_institute", "status")
+    both = _is("financial_institute", "ROCKET", "NAGAD")
+    summary = Summary(
+        lambda: hourly_summary(tables["wallet_out"], spans, dims, where=both),
+        work and f"{work}/wallet_out_hourly",
+    )
+
+    def cohorts(span, bucket) -> Report:
+        return Report(
+            lambda: cohort_from_summary(summary(), span, bucket, dims=dims, counted="status"), (bucket,)
+        )
+
+    return {
+        "wallet_out_today": cohorts("today", "hour"), "wallet_out_month": cohorts("month", "day")
+    }
+
+
 def _bank(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
     local = {"ts": "issue_time", "shift": LOCAL}
     interbank = _is("txn_request_type", "CASH_OUT") & _is("channel", "BEFTN")
@@ -526,14 +599,6 @@ def _transfer(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
 def _card(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
     today = clock.today(as_of)
 
-    def card_in(span, bucket, by_card=False) -> Report:
-        dims = ("card_type", "status") if by_card else ("status",)
-        where = _is("status", "SUCCESS") if by_card else None
-        return Report(
-            lambda: cohort.status_cohort(tables["card_in"], span, bucket, dims=dims, where=where),
-            (F.desc(bucket),), target="cards",
-        )
-
     def reasons(bucket, span=None) -> Report:
         return Report(
             lambda: logs.reverse_reasons(
@@ -544,10 +609,6 @@ def _card(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Repo
         )
 
     return {
-        "card_in_today": card_in(today, "hour"),
-        "card_in_month": card_in(_calendar_month(as_of), "day"),
-        "card_in_today_card": card_in(today, "hour", by_card=True),
-        "card_in_month_card": card_in(_calendar_month(as_of), "day", by_card=True),
         "card_out_today": Report(
             lambda: cohort.status_cohort(
                 tables["card_out"], today, "hour", dims=("bank_name", "status"), counted="status"
@@ -567,6 +628,28 @@ def _card(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Repo
     }
 
 
+def _card_in_cohorts(tables: Tables, as_of: datetime, work: str | None) -> dict[str, Report]:
+    spans = {"today": clock.today(as_of), "month": _calendar_month(as_of)}
+    summary = Summary(
+        lambda: hourly_summary(tables["card_in"], spans, ("status", "card_type")),
+        work and f"{work}/card_in_hourly",
+    )
+
+    def cohorts(span, bucket, dims=("status",), where=None) -> Report:
+        return Report(
+            lambda: cohort_from_summary(summary(), span, bucket, dims=dims, where=where),
+            (F.desc(bucket),), target="cards",
+        )
+
+    by_card = {"dims": ("card_type", "status"), "where": _is("status", "SUCCESS")}
+    return {
+        "card_in_today": cohorts("today", "hour"),
+        "card_in_month": cohorts("month", "day"),
+        "card_in_today_card": cohorts("today", "hour", **by_card),
+        "card_in_month_card": cohorts("month", "day", **by_card),
+    }
+
+
 def _qr(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
     today, month = _settled_today(as_of), _settled_month(as_of)
     finished_days = clock.through_day(_month(as_of), as_of, 1)

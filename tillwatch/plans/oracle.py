@@ -506,6 +506,14 @@ ORACLE = {
     "r05_status_cohort_day_hour": cohort(
         TXN, "txn", f"{day(SHIFTED)} AS day, {hour(SHIFTED)} AS hour", ["status"],
         f"CAST({SHIFTED} AS DATE) = {DAY} - 3", COUNT_AND_TOTAL),
+    "r05_cohorts_from_summary": f"WITH {TXN} " + " UNION ALL ".join(
+        f"""SELECT '{report}' AS report, {bucket} AS bucket, status, {COUNT_AND_TOTAL}
+FROM txn WHERE {where} GROUP BY {bucket}, status"""
+        for report, bucket, where in (
+            ("today", hour(), TODAY),
+            ("month", day(), f"{CALENDAR_MONTH} AND mobile_operator = 'GP'"),
+            ("ever", day(), "TRUE"),
+        )),
     "r05_status_cohort_history": cohort(
         ORDERS, "fact", f"{day()} AS day", ["status"], "TRUE", COUNT_AND_TOTAL),
     "r06_not_success_breakdown": cohort(

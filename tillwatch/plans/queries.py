@@ -13,8 +13,9 @@ from tillwatch.functions.clock import EVER
 from tillwatch.functions.fixed_values import HEX_REQUEST, PROFILE_MISSING
 from tillwatch.functions.text import concat_skip_null
 from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
+from tillwatch.operators.summary import cohort_from_summary, hourly_summary
 from tillwatch.sources import roles
-from tillwatch.sources.reports import normalise
+from tillwatch.sources.reports import label_union, normalise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +180,23 @@ def r05_status_cohort_day_hour(spark, sf_dir):
     )
 
 
+@checked
+def r05_cohorts_from_summary(spark, sf_dir):
+    """Three cohorts of different spans, buckets and dimensions over one reading of the table."""
+    spans = {"today": TODAY_SETTLED, "month": CALENDAR_MONTH, "ever": EVER}
+    hourly = hourly_summary(roles.txn(spark, sf_dir), spans, ("status", "mobile_operator"))
+
+    def part(span, bucket, **options):
+        found = cohort_from_summary(hourly, span, bucket, **options)
+        return found.withColumnRenamed(bucket, "bucket")
+
+    return label_union({
+        "today": part("today", "hour"),
+        "month": part("month", "day", where=F.col("mobile_operator") == "GP"),
+        "ever": part("ever", "day"),
+    }, "report")
+
+
 @checked
 def r05_status_cohort_history(spark, sf_dir):
     return cohort.status_cohort(roles.orders_fact(spark, sf_dir), EVER, "day")
