@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.llm import decontam, html_extract, imatch, langid, mixing, neardup, pii, quality, secrets, toxicity
@@ -19,6 +19,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+def number_of_kind(kind: int) -> Column:
+    """How many base spans of a kind a row has."""
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 @query
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every use of every document in a mixture at 95 % of the sources' largest entropy."""
@@ -60,8 +65,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base secrets and linked credential parts of all documents."""
     found = secrets.report(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{kind}")
-              for n, kind in enumerate(secrets.BASE_KINDS)]
+    counts = [number_of_kind(n).alias(f"n_{kind}") for n, kind in enumerate(secrets.BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base"), secrets.KINDS), 256).alias("base_sha256"),
                         spans_text(F.col("spans"), secrets.KINDS).alias("spans"))
 
@@ -71,8 +75,7 @@ def op7_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans of personal data and what the random field adds, of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.train(docs))
-    counts = [F.size(F.filter("base", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{kind}")
-              for n, kind in enumerate(pii.KINDS)]
+    counts = [number_of_kind(n).alias(f"n_{kind}") for n, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base"), pii.KINDS), 256).alias("base_sha256"),
                         spans_text(F.concat("base", "added"), pii.KINDS).alias("spans"))
 
