@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from conftest import AS_OF, at, cash, rows
-from tillwatch.plans.catalog import Settings, catalog, published, run_reports
+from tillwatch.plans.catalog import NEEDED, Settings, catalog, published, run_reports
 from tillwatch.sources.reports import publish, read_report
 from tillwatch.sources.tables import FileTable, Tables
 
@@ -14,6 +14,8 @@ SETTINGS = Settings(
     unicode_channels=("text",), plain_channels=("otp",), staff=(1, 2),
     agents={"ann": "ANN", "bob": "BOB"}, unanswered_since=datetime(2024, 1, 1),
     tags_from=datetime(2024, 1, 1), tags_to=datetime(2024, 12, 31),
+    markup_gateway="%", json_gateway="%", transfer_gateway="%", balance_gateway="%",
+    wallet_balance_gateway="%", reseller_gateway="%",
 )
 
 SCHEMAS = {
@@ -345,6 +347,27 @@ def test_looking_for_answers_near_their_requests_changes_nothing(business, run):
         assert rows(narrowed[name].build()) == rows(reports[name].build())
 
 
+@pytest.mark.parametrize("setting", sorted(NEEDED))
+def test_a_missing_setting_is_an_error_by_name(business, setting):
+    without = replace(SETTINGS, **{setting: None})
+    with pytest.raises(ValueError, match=f"settings are missing: {setting} .*{NEEDED[setting][0]}"):
+        catalog(business, AS_OF, without)
+    reports = catalog(business, AS_OF, without, without=NEEDED[setting])
+    assert not set(NEEDED[setting]) & set(reports)
+
+
+def test_every_needed_setting_belongs_to_known_reports(business):
+    reports = catalog(business, AS_OF, SETTINGS)
+    assert {name for names in NEEDED.values() for name in names} <= set(reports)
+
+
+def test_summaries_of_two_catalogs_do_not_meet(business, tmp_path):
+    work = str(tmp_path / "work")
+    for as_of in (AS_OF, AS_OF - timedelta(days=1)):
+        catalog(business, as_of, SETTINGS, work=work)["recharge_today"].build().collect()
+    assert len(list((tmp_path / "work").iterdir())) == 2
+
+
 def test_one_failing_report_does_not_stop_the_others(business, run, tmp_path):
     reports, _, _ = run
     broken = dict(business)

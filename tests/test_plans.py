@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, cash
 from tillwatch.functions import clock
 from tillwatch.operators import cohort, detail, health, logs, sla
+from tillwatch.operators.summary import cohorts_from_summary, hourly_summary
 
 COLUMNS = (
     "id long, request_id string, create_date ts, update_date ts, status string, amount money, "
@@ -81,7 +82,14 @@ def test_services_on_one_table_share_one_scan(tables):
     yesterday = clock.yesterday(AS_OF)
     services = [sla.ServiceTotal(f"s{n}", fact, yesterday, F.col("bank_name") == f"b{n}")
                 for n in range(5)]
-    assert len(scans(sla.daily_service_totals(services))) == 1
+    (_, pushed), = scans(sla.daily_service_totals(services))
+    assert "GreaterThanOrEqual(create_date,2024-03-30T00:00)" in pushed and "LessThanOrEqual(create_date," in pushed
+    shifted = [*services, sla.ServiceTotal("late", fact, yesterday, shift=timedelta(hours=6))]
+    (_, pushed), = scans(sla.daily_service_totals(shifted))
+    assert "GreaterThanOrEqual(create_date,2024-03-29T18:00)" in pushed
+    judged = [sla.Satisfaction("f", fact, F.col("bank_name"), F.col("status") == s, F.col("amount") > 0) for s in "abc"]
+    (_, pushed), = scans(sla.weekly_satisfaction(judged, clock.previous_week(AS_OF)))
+    assert "GreaterThanOrEqual(create_date," in pushed
     one = health.service_health(
         fact, AS_OF, health.status_roles(), by="bank_name", members=("a", "b", "c"))
     assert len(scans(one)) == 1
@@ -117,7 +125,9 @@ def joined_reports(fact, log):
 def test_no_report_pairs_rows_without_a_key_or_runs_python(tables):
     for name, report in joined_reports(*tables).items():
         text = plan(report)
-        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "collect_"):
+        # A request's hours or days are collected: as many as the span has at most.
+        collected = "collect_list" if name in ("codes", "raw") else "collect_"
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", collected):
             assert bad not in text, name
 
 
@@ -145,6 +155,19 @@ def test_rows_are_combined_before_they_are_shuffled(tables, no_broadcast, name):
         assert re.search(r"Aggregate|WindowGroupLimit", below), below
 
 
+def test_the_fact_of_a_log_join_is_shuffled_once(tables, no_broadcast):
+    for name, shuffles in (("codes", 4), ("raw", 4), ("bank", 4)):
+        assert plan(joined_reports(*tables)[name]).count("Exchange hashpartitioning") <= shuffles, name
+
+
+def test_cohorts_of_a_summary_read_the_fact_once(tables):
+    fact, _ = tables
+    spans = {"today": clock.today(AS_OF), "month": clock.rolling(AS_OF, "dates")}
+    hourly = hourly_summary(fact, spans, ("status",))
+    report = cohorts_from_summary(hourly, {"a": ("today", "hour", None), "b": ("month", "day", None)})
+    assert len(scans(report)) == 1 and plan(report).count("Exchange hashpartitioning") == 2
+
+
 def test_first_answers_need_one_shuffle_per_table(tables, no_broadcast):
     fact, log = tables
     report = logs.first_response_per_request(

@@ -1,4 +1,6 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,38 @@ def test_a_failed_run_leaves_the_old_report(spark, frame, root):
     assert rows(reports.read_report(spark, "r", root)) == [("old", 1.5)]
 
 
+def leftovers(root):
+    return len(list(Path(root, "r", "versions").iterdir()))
+
+
+def test_a_failure_after_some_rows_are_written_leaves_the_old_report(spark, frame, root):
+    reports.publish(small(frame, "old"), "r", root)
+    rows_ok = spark.range(0, 1000, 1, 4).selectExpr("cast(id as string) as name", "id as n")
+    broken = rows_ok.selectExpr("name", "1 / (n - 900) as amount")  # the last task of the write fails
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        reports.publish(broken, "r", root)
+    assert rows(reports.read_report(spark, "r", root)) == [("old", 1.5)]
+    assert leftovers(root) == 1
+
+
+def test_a_reader_sees_the_old_report_until_the_new_one_is_whole(spark, frame, root):
+    reports.publish(small(frame, "old"), "r", root)
+    before = reports.read_report(spark, "r", root)
+    reports.publish(small(frame, "new"), "r", root)
+    assert rows(before) == [("old", 1.5)]  # opened before, still readable
+    assert rows(reports.read_report(spark, "r", root)) == [("new", 1.5)]
+    reports.publish(small(frame, "newer"), "r", root)
+    assert leftovers(root) == 2
+
+
+def test_two_runs_at_once_do_not_meet(spark, frame, root):
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(reports.publish, small(frame, *[n] * 50).repartition(3), "r", root) for n in "ab"]
+        assert [run.result() for run in runs] == [50, 50]
+    found = rows(reports.read_report(spark, "r", root))
+    assert found in ([("a", 1.5)] * 50, [("b", 1.5)] * 50)
+
+
 def test_normalise_writes_dates_as_text_and_keeps_times(frame):
     df = frame("d date, t ts, m money, n long", [(date(2024, 3, 1), AS_OF, cash("2.50"), 3)])
     assert rows(reports.normalise(df)) == [("2024-03-01", AS_OF, 2.5, 3)]

@@ -24,7 +24,8 @@ def test_stream_windows_equal_the_batch_counts(spark, frame, tmp_path):
 
     def run():
         stream = spark.readStream.schema(SCHEMA).parquet(source)
-        windows = live_status(stream, status_roles(), by=("operator",), slide=timedelta(minutes=30))
+        windows = live_status(stream, status_roles(), by=("operator",), slide=timedelta(minutes=30),
+                              lateness=timedelta(minutes=5))
         query = publish_stream(
             windows, name, out, checkpoint_root=f"{tmp_path}/progress", once=True
         )
@@ -49,6 +50,27 @@ def test_stream_windows_equal_the_batch_counts(spark, frame, tmp_path):
     assert found.count() >= 6
 
 
+def test_a_late_row_counts_within_the_lateness_and_is_dropped_beyond_it(spark, frame, tmp_path):
+    schema = "create_date ts, status string, amount money, operator string"
+
+    def row(minutes):
+        return (AS_OF + timedelta(minutes=minutes), "SUCCESS", cash("1"), "A")
+
+    def first_window(lateness):
+        root = f"{tmp_path}/{lateness}"
+        for batch in ([row(5), row(50)], [row(6)], [row(200)]):  # the second row of the window comes late
+            frame(schema, batch).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+            windows = live_status(stream, status_roles(), slide=timedelta(minutes=30), lateness=timedelta(minutes=lateness))
+            publish_stream(windows, f"late_{lateness}_{uuid.uuid5(uuid.NAMESPACE_URL, root).hex}", f"{root}/out",
+                           checkpoint_root=f"{root}/progress", once=True).awaitTermination()
+        found = spark.read.parquet(f"{root}/out/*").orderBy("window_start").first()
+        return found["success"]
+
+    assert first_window(60) == 2
+    assert first_window(5) == 1
+
+
 class Session:
     def __init__(self, folder):
         self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}

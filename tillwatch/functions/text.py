@@ -43,7 +43,9 @@ def marked(text: Column, pattern: str) -> Column:
 
 def code_and_message(text: Column, pattern: str) -> Column:
     """``code -> message`` from a pattern with two groups, NULL when it does not match."""
-    return F.concat(extract(text, pattern, 1), F.lit(" -> "), extract(text, pattern, 2))
+    # The text is searched once; both groups are cut out of the matched piece.
+    piece = F.regexp_substr(text, F.lit(f"(?s){pattern}"))
+    return F.concat(extract(piece, pattern, 1), F.lit(" -> "), extract(piece, pattern, 2))
 
 
 def between_markers(text: Column, before: str, after: str) -> Column:

@@ -181,9 +181,10 @@ def decode_and_enrich(
         "status",
         (digits.cast("bigint") - F.lit(offset)).alias("user_id"),
     )
+    # Only the wanted users' profiles are grouped.
     found = profile.select(
         F.col(key).alias("user_id"), F.struct(*columns.values()).alias("profile")
-    )
+    ).join(wanted.select("user_id"), "user_id", "left_semi")
     found = found.groupBy("user_id").agg(F.max("profile").alias("profile"))
     return wanted.join(found, "user_id", "left").select(
         *keep,

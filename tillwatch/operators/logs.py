@@ -72,12 +72,18 @@ def _answers(
 def _distinct_labels(
     fact: DataFrame, log: DataFrame, span: Span, bucket: str, label: Column, ts: str
 ) -> DataFrame:
-    """(id, bucket, label), each combination once, for the ids on both sides."""
-    requests = fact.filter(span.covers(ts)).select(
-        "request_id", BUCKETS[bucket].key(F.col(ts)).alias("key_bucket")
+    """(id, bucket, label), each combination once, for the ids on both sides.
+
+    The buckets of one id are collected: there are at most as many as the span has hours or days, and
+    the fact is shuffled once. Labels are not bounded, so they stay rows.
+    """
+    requests = fact.filter(span.covers(ts)).groupBy("request_id").agg(
+        F.collect_set(BUCKETS[bucket].key(F.col(ts))).alias("buckets")
+    )
+    responses = log.select("request_id", label.alias("label")).distinct()
+    return requests.join(responses, "request_id").select(
+        "request_id", F.explode("buckets").alias("key_bucket"), "label"
     )
-    responses = log.select("request_id", label.alias("label"))
-    return requests.distinct().join(responses.distinct(), "request_id")
 
 
 def _requests_per_label(pairs: DataFrame, bucket: str, name: str) -> DataFrame:
@@ -140,14 +146,21 @@ def bank_response_cohort(
     ts: str = "issue_time",
     shift: timedelta = NO_SHIFT,
     label_shift: timedelta | None = None,
+    log_span: Span | None = None,
+    log_ts: str | None = None,
     log_key: str = "np_txn_request_id",
     key: str = fixed.RESPONSE_MESSAGE_KEY,
 ) -> DataFrame:
     """Requests by status and by the message of the bank's answer, or by a fixed label without one.
 
     The log is counted per (request, message) before the left join, so repeated answers arrive as a
-    multiplier instead of as rows. The bank name is joined to the final small groups.
+    multiplier instead of as rows. The bank name is joined to the final small groups. ``log_span`` bounds
+    the time ``log_ts`` at which the answers were logged.
     """
+    if log_span is not None:
+        if log_ts is None:
+            raise ValueError("a span of the log needs the log's time column")
+        log = log.filter(log_span.covers(log_ts))
     rows = requests.filter(span.covers(ts, shift))
     if where is not None:
         rows = rows.filter(where)

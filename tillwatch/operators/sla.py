@@ -93,11 +93,27 @@ def daily_service_totals(services: Sequence[ServiceTotal]) -> DataFrame:
                 )
             )
         anyone = reduce(lambda a, b: a | b, [service.rows() for service in group])
-        wide = group[0].fact.filter(anyone).agg(*aggregates)
+        hull = _hull([(service.span, service.ts, service.shift) for service in group])
+        wide = group[0].fact.filter(hull).filter(anyone).agg(*aggregates)
         parts.append(wide.select(F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _hull(spans: Sequence[tuple[Span, str, timedelta]]) -> Column:
+    """Plain bounds around the spans of one table, for the scan: an OR of conditions prunes nothing.
+
+    Spans on different columns have no common bound.
+    """
+    if len({ts for _, ts, _ in spans}) > 1:
+        return F.lit(True)
+
+    def stored(span: Span, shift: timedelta) -> Span:
+        ends = {name: getattr(span, name) for name in ("start", "after", "before", "upto")}
+        return Span(**{name: end if end is None else end - shift for name, end in ends.items()})
+
+    return reduce(Span.hull, [stored(span, shift) for span, _, shift in spans]).covers(spans[0][1])
+
+
 @dataclass(frozen=True)
 class Satisfaction:
     """How one service of a family is judged: which rows are attempts and which went well."""
@@ -116,21 +132,29 @@ def weekly_satisfaction(services: Sequence[Satisfaction], week: Span) -> DataFra
     """Attempts and satisfied attempts per service, with family and grand totals.
 
     Percentages of the totals are computed from the summed counts. Without attempts there is none.
+    Services on the same table share one scan: a row is counted under each service that it belongs to.
     """
-    parts = []
+    tables: dict[int, list[Satisfaction]] = {}
     for judged in services:
-        rows = judged.fact.filter(week.covers(judged.ts, judged.shift))
-        if judged.where is not None:
-            rows = rows.filter(judged.where)
-        attempt = F.lit(True) if judged.attempt is None else judged.attempt
-        parts.append(
-            rows.groupBy(judged.service.alias("service"))
-            .agg(
-                F.count_if(attempt).alias("total_attempt"),
-                F.count_if(judged.satisfied).alias("satisfactory"),
-            )
-            .select(F.lit(judged.family).alias("family"), "*")
-        )
+        tables.setdefault(id(judged.fact), []).append(judged)
+    parts = []
+    for group in tables.values():
+        entries = []
+        for judged in group:
+            held = week.covers(judged.ts, judged.shift)
+            held = held if judged.where is None else held & judged.where
+            attempt = F.lit(True) if judged.attempt is None else judged.attempt
+            entries.append(F.when(held, F.struct(
+                F.lit(judged.family).alias("family"),
+                judged.service.cast("string").alias("service"),
+                attempt.alias("attempt"),
+                judged.satisfied.alias("good"),
+            )))
+        hull = _hull([(week, judged.ts, judged.shift) for judged in group])
+        counted = group[0].fact.filter(hull).select(F.inline(F.array_compact(F.array(*entries))))
+        parts.append(counted.groupBy("family", "service").agg(
+            F.count_if("attempt").alias("total_attempt"), F.count_if("good").alias("satisfactory")
+        ))
     counts = reduce(DataFrame.unionByName, parts)
     level = (
         F.when(F.grouping("family") == 1, "total")

@@ -72,3 +72,32 @@ def cohort_from_summary(
     ).agg(*aggregates)
     label = BUCKETS[bucket].label(F.col(f"key_{bucket}")).alias(bucket)
     return grouped.select(label, *grouped.columns[1:])
+
+
+def cohorts_from_summary(
+    summary: DataFrame,
+    cohorts: Mapping[str, tuple[str, str, Column | None]],
+    *,
+    dims: Dims = ("status",),
+    label: str = "report",
+) -> DataFrame:
+    """Several cohorts (name -> span, bucket, condition) in one pass over the summary.
+
+    Each row of the summary is counted under every cohort that it belongs to; the bucket is text in a
+    column ``bucket``, for the cohorts may differ in it.
+    """
+    named = named_dims(dims)
+    entries = []
+    for name, (span, bucket, where) in cohorts.items():
+        held = F.col(f"in_{span}") if where is None else F.col(f"in_{span}") & where
+        entries.append(F.when(held, F.struct(
+            F.lit(name).alias(label),
+            BUCKETS[bucket].label(F.col(f"key_{bucket}")).alias("bucket"),
+            *[column.alias(dim) for dim, column in named.items()],
+            "rows",
+            "money",
+        )))
+    rows = summary.select(F.inline(F.array_compact(F.array(*entries))))
+    return rows.groupBy(label, "bucket", *named).agg(
+        F.sum("rows").alias("txn_count"), F.sum("money").alias("total_amount")
+    )

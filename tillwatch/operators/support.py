@@ -18,16 +18,18 @@ def agent_of(address: Column, agents: Mapping[str, str]) -> Column:
     return contains_first(address, dict(agents))
 
 
-def agent_days(rows: DataFrame, as_of: datetime, agents: Mapping[str, str]) -> DataFrame:
-    """Every agent on each of the last 31 days."""
+def agent_days(
+    rows: DataFrame, as_of: datetime, agents: Mapping[str, str], days: int = REPORT_DAYS
+) -> DataFrame:
+    """Every agent on today and each of the ``days`` before."""
     last = midnight(as_of)
-    days = F.sequence(
-        instant(last - timedelta(days=REPORT_DAYS)).cast("date"), instant(last).cast("date")
+    dates = F.sequence(
+        instant(last - timedelta(days=days)).cast("date"), instant(last).cast("date")
     )
     names = F.array(*[F.lit(name) for name in dict.fromkeys(agents.values())])
     return (
         rows.sparkSession.range(0, 1, 1, 1)
-        .select(F.explode(days).alias("date"))
+        .select(F.explode(dates).alias("date"))
         .select("date", F.explode(names).alias("agent"))
     )
 
@@ -40,6 +42,7 @@ def latest_journals(
     as_of: datetime,
     *,
     staff: Sequence[int],
+    days: int = REPORT_DAYS,
     closed: Sequence[str] = ("Closed", "Resolved"),
     ts: str = "created_on",
 ) -> DataFrame:
@@ -49,7 +52,7 @@ def latest_journals(
     entries are first reduced to one row per ticket and writer, ``rows`` counting the ties. The joins
     and the final window then see at most one row per ticket and staff address.
     """
-    entries = journals.filter(since_day(as_of, REPORT_DAYS).covers(ts)).filter(
+    entries = journals.filter(since_day(as_of, days).covers(ts)).filter(
         F.col("user_id").isin(*staff)
     )
     at_time = entries.groupBy(F.col("journalized_id").alias("ticket"), "user_id", ts).agg(
@@ -73,13 +76,13 @@ def latest_journals(
 
 
 def resolution_counts(
-    resolved: DataFrame, as_of: datetime, agents: Mapping[str, str]
+    resolved: DataFrame, as_of: datetime, agents: Mapping[str, str], days: int = REPORT_DAYS
 ) -> DataFrame:
     """Resolved tickets per day and agent over the last 31 days, zeros included."""
     counts = resolved.groupBy(
         F.to_date("at").alias("date"), agent_of(F.col("address"), agents).alias("agent")
     ).agg(F.sum("rows").alias("n"))
-    spine = agent_days(resolved, as_of, agents)
+    spine = agent_days(resolved, as_of, agents, days)
     return spine.join(counts, ["date", "agent"], "left").select(
         F.col("date").cast("string").alias("date"),
         "agent",
@@ -97,21 +100,24 @@ def resolution_pivot(
         agent_of(F.col("address"), agents).alias("agent"),
         "rows",
     )
+    # One aggregate gives the leaves, each agent's total and the grand total.
+    level = F.grouping_id("agent", "address", "subject")
     counts = (
         today_rows.filter(F.col("agent").isNotNull())
-        .groupBy("agent", "address", "subject")
-        .agg(F.sum("rows").alias("n"))
+        .rollup("agent", "address", "subject")
+        .agg(F.sum("rows").alias("n"), level.alias("level"))
+        .filter(F.col("level").isin(0, 3, 7) & F.col("n").isNotNull())
     )
-    per_agent = counts.groupBy("agent").agg(F.sum("n").alias("total_resolved"))
-    leaves = counts.join(per_agent, "agent").select("address", "total_resolved", "subject", "n")
-    grand = per_agent.agg(F.sum("total_resolved").alias("n")).filter(F.col("n").isNotNull())
-    total = grand.select(
-        F.lit("Grand Total").alias("address"),
-        F.lit(None).cast("bigint").alias("total_resolved"),
-        F.lit("").alias("subject"),
-        "n",
+    # An agent's rows are as many as its addresses' subjects of one day.
+    agent_rows = Window.partitionBy("agent")
+    total = F.max(F.when(F.col("level") == 3, F.col("n"))).over(agent_rows)
+    grand = F.col("level") == 7
+    return counts.withColumn("total_resolved", total).filter(F.col("level") != 3).select(
+        F.when(grand, F.lit("Grand Total")).otherwise(F.col("address")).alias("address"),
+        F.when(~grand, F.col("total_resolved")).alias("total_resolved"),
+        F.when(grand, F.lit("")).otherwise(F.col("subject")).alias("subject"),
+        F.col("n").alias("ticket_count"),
     )
-    return leaves.unionByName(total).withColumnRenamed("n", "ticket_count")
 
 
 def first_entries(
@@ -122,6 +128,7 @@ def first_entries(
     as_of: datetime,
     *,
     staff: Sequence[int],
+    days: int = REPORT_DAYS,
     ts: str = "start_date",
     entry_order: str = "id",
 ) -> DataFrame:
@@ -129,11 +136,13 @@ def first_entries(
 
     Journals only multiply rows that are reduced to the first again, so they are not read.
     """
-    opened = issues.filter(since_day(as_of, REPORT_DAYS).covers(ts)).filter(
+    opened = issues.filter(since_day(as_of, days).covers(ts)).filter(
         F.col("author_id").isin(*staff)
     )
     known = statuses.select(F.col("id").alias("status_id")).distinct()
-    hours = entries.groupBy(F.col("issue_id").alias("ticket")).agg(
+    # Only the entries of the opened issues are grouped.
+    mine = opened.select(F.col("id").alias("issue_id"))
+    hours = entries.join(mine, "issue_id", "left_semi").groupBy(F.col("issue_id").alias("ticket")).agg(
         F.min_by("hours", entry_order).alias("hours")
     )
     addresses = emails.groupBy(F.col("user_id").alias("author_id")).agg(
@@ -149,13 +158,13 @@ def first_entries(
 
 
 def operation_hours(
-    first: DataFrame, as_of: datetime, agents: Mapping[str, str]
+    first: DataFrame, as_of: datetime, agents: Mapping[str, str], days: int = REPORT_DAYS
 ) -> DataFrame:
     """Hours per day and agent over the last 31 days, summed and then rounded up."""
     spent = first.groupBy(
         F.to_date("at").alias("date"), agent_of(F.col("address"), agents).alias("agent")
     ).agg(F.ceil(F.sum(F.col("hours").cast("decimal(18,4)"))).cast("bigint").alias("n"))
-    spine = agent_days(first, as_of, agents)
+    spine = agent_days(first, as_of, agents, days)
     return spine.join(spent, ["date", "agent"], "left").select(
         F.col("date").cast("string").alias("date"),
         "agent",

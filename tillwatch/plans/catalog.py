@@ -7,9 +7,10 @@ them. A report that fails is noted and leaves its published version alone; the o
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from threading import Lock
 
@@ -43,25 +44,30 @@ Tables = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Settings:
-    """What differs between deployments. Markers are LIKE patterns on logged requests."""
+    """What differs between deployments. Markers are LIKE patterns on logged requests.
+
+    A setting that is None has to be given, unless the reports of ``NEEDED`` that read it are left out.
+    """
 
     # Message channels: unicode texts and plain texts are billed by different segment lengths.
-    unicode_channels: tuple[str, ...] = ()
-    plain_channels: tuple[str, ...] = ()
+    unicode_channels: tuple[str, ...] | None = None
+    plain_channels: tuple[str, ...] | None = None
     billed_operator: str = "BANGLALINK"
     billed_senders: tuple[str, ...] = ("70", "72", "67")
     # Provider endpoints in request logs.
-    markup_gateway: str = "%"
-    json_gateway: str = "%"
-    transfer_gateway: str = "%"
-    balance_gateway: str = "%"
-    wallet_balance_gateway: str = "%"
-    reseller_gateway: str = "%"
+    markup_gateway: str | None = None
+    json_gateway: str | None = None
+    transfer_gateway: str | None = None
+    balance_gateway: str | None = None
+    wallet_balance_gateway: str | None = None
+    reseller_gateway: str | None = None
     # How long before its request an answer may be logged at most; None searches the whole log.
     answer_slack: timedelta | None = None
+    # The column of bank answers that says when they were logged, if there is one.
+    bank_answer_time: str | None = None
     # Support staff: user ids, and address key -> agent name in order of precedence.
-    staff: tuple[int, ...] = ()
-    agents: Mapping[str, str] = field(default_factory=dict)
+    staff: tuple[int, ...] | None = None
+    agents: Mapping[str, str] | None = None
     # Fixed dates.
     unanswered_since: datetime = datetime(2025, 4, 1)
     tags_from: datetime = datetime(2025, 1, 1)
@@ -78,6 +84,21 @@ class Settings:
     lookup_event: str = "wallet-lookup-api-v2"
 
 
+#: Settings without a default, and the reports that read them.
+NEEDED: Mapping[str, tuple[str, ...]] = {
+    "unicode_channels": ("messages_today", "messages_month", "messages_bill"),
+    "plain_channels": ("messages_today", "messages_month", "messages_bill"),
+    "markup_gateway": ("rocket_out_today_codes", "rocket_out_month_codes"),
+    "json_gateway": ("nagad_out_today_responses", "nagad_out_month_responses"),
+    "transfer_gateway": ("transfer_month_reasons", "transfer_today_reasons"),
+    "balance_gateway": ("balance_robi_airtel",),
+    "wallet_balance_gateway": ("balance_nagad",),
+    "reseller_gateway": ("balance_reseller",),
+    "staff": ("tickets_resolved", "tickets_resolved_today", "hours_spent", "hours_spent_today"),
+    "agents": ("tickets_resolved", "tickets_resolved_today", "hours_spent", "hours_spent_today"),
+}
+
+
 @dataclass(frozen=True)
 class Report:
     """One published report. ``covers`` is the number of monitoring statements it answers."""
@@ -92,13 +113,13 @@ class Report:
 class Summary:
     """A small aggregate that several reports are summed from.
 
-    With a folder it is computed once, written there, and read by all of them. Without one each
-    report computes what it needs of it.
+    With a folder it is computed once, written there under a name of its own (the clock and a run id),
+    and read by all of them. Without one each report computes what it needs of it.
     """
 
-    def __init__(self, build: Callable[[], DataFrame], path: str | None):
+    def __init__(self, build: Callable[[], DataFrame], work: str | None, name: str, as_of: datetime):
         self._build = build
-        self._path = path
+        self._path = work and f"{work}/{name}-{as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
         self._written: DataFrame | None = None
         self._lock = Lock()
 
@@ -108,7 +129,7 @@ class Summary:
         with self._lock:
             if self._written is None:
                 summary = self._build()
-                summary.write.mode("overwrite").parquet(self._path)
+                summary.write.parquet(self._path)
                 reader = summary.sparkSession.read.schema(summary.schema)
                 self._written = reader.parquet(self._path)
         return self._written
@@ -120,11 +141,21 @@ def catalog(
     settings: Settings,
     decoded: Callable[[], DataFrame] | None = None,
     work: str | None = None,
+    without: Iterable[str] = (),
 ) -> dict[str, Report]:
     """Every report at ``as_of``. ``decoded`` supplies the earlier report whose ids are decoded.
 
-    ``work`` is a shared folder for the summaries that reports have in common.
+    ``work`` is a shared folder for the summaries that reports have in common. ``without`` names reports
+    to leave out; a setting that one of the others needs and that is missing is an error.
     """
+    left_out = set(without)
+    missing = [
+        f"{setting} ({', '.join(name for name in names if name not in left_out)})"
+        for setting, names in NEEDED.items()
+        if getattr(settings, setting) is None and not left_out.issuperset(names)
+    ]
+    if missing:
+        raise ValueError(f"settings are missing: {'; '.join(missing)}")
     groups = (
         _baselines, _health, _recharge, _wallet_in, _wallet_out, _bank, _transfer, _card, _qr, _balances,
         _summaries, _registration, _events, _sales, _messages, _support,
@@ -138,7 +169,7 @@ def catalog(
         reports["qr_inactive_users"] = Report(
             lambda: detail.decode_and_enrich(decoded(), tables["profile"]), target="users"
         )
-    return reports
+    return {name: report for name, report in reports.items() if name not in left_out}
 
 
 def run_reports(
@@ -194,11 +225,13 @@ def _settled_month(as_of: datetime, lag: timedelta = MINUTES_5) -> clock.Span:
     return _month(as_of).settled(as_of, lag)
 
 
-def _answers_of(span: clock.Span | None, settings: Settings) -> clock.Span | None:
-    """Where the answers to the requests of ``span`` are logged."""
+def _answers_of(
+    span: clock.Span | None, settings: Settings, shift: timedelta = clock.NO_SHIFT
+) -> clock.Span | None:
+    """Where the answers to the requests of ``span`` are logged; the span's times are read as stored + shift."""
     if span is None or span.start is None or settings.answer_slack is None:
         return None
-    return clock.Span(start=span.start - settings.answer_slack)
+    return clock.Span(start=span.start - shift - settings.answer_slack)
 
 
 def _is(column: str, *values: str) -> Column:
@@ -379,7 +412,7 @@ def _recharge_cohorts(tables: Tables, as_of: datetime, work: str | None) -> dict
         dims["duration"] = duration_label(F.col("create_date"), F.col("update_date"))
         return hourly_summary(tables["recharge"], spans, dims)
 
-    summary = Summary(build, work and f"{work}/recharge_hourly")
+    summary = Summary(build, work, "recharge_hourly", as_of)
     label = concat_skip_null(F.col("status"), F.lit("  ("), F.col("mobile_operator"), F.lit(")"))
     by_label = {"status_operator": label}
     by_operator = ("status", "mobile_operator")
@@ -510,7 +543,7 @@ def _wallet_out_cohorts(tables: Tables, as_of: datetime, work: str | None) -> di
     both = _is("financial_institute", "ROCKET", "NAGAD")
     summary = Summary(
         lambda: hourly_summary(tables["wallet_out"], spans, dims, where=both),
-        work and f"{work}/wallet_out_hourly",
+        work, "wallet_out_hourly", as_of,
     )
 
     def cohorts(span, bucket) -> Report:
@@ -532,7 +565,9 @@ def _bank(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Repo
         return Report(
             lambda: logs.bank_response_cohort(
                 tables["bank_request"], tables["bank_answer"], span, bucket,
-                bank=tables["bank"] if bank else None, where=where, **local, **options,
+                bank=tables["bank"] if bank else None, where=where, log_ts=settings.bank_answer_time,
+                log_span=_answers_of(span, settings, LOCAL) if settings.bank_answer_time else None,
+                **local, **options,
             ),
             (bucket, F.desc("request_count")),
         )
@@ -632,7 +667,7 @@ def _card_in_cohorts(tables: Tables, as_of: datetime, work: str | None) -> dict[
     spans = {"today": clock.today(as_of), "month": _calendar_month(as_of)}
     summary = Summary(
         lambda: hourly_summary(tables["card_in"], spans, ("status", "card_type")),
-        work and f"{work}/card_in_hourly",
+        work, "card_in_hourly", as_of,
     )
 
     def cohorts(span, bucket, dims=("status",), where=None) -> Report:
@@ -881,7 +916,7 @@ def _sales(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Rep
 
 
 def _messages(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
-    channels = (*settings.unicode_channels, *settings.plain_channels)
+    channels = (*(settings.unicode_channels or ()), *(settings.plain_channels or ()))
     billed = (
         _is("telco_identifier_id", *settings.billed_senders)
         & _is("message_status", "0", "SUCCESS")

@@ -263,7 +263,7 @@ def cohort(cte, table, bucket, dims, where, measures):
 COUNT_AND_TOTAL = f"count(*) AS txn_count, {dbl('sum(amount)')} AS total_amount"
 WALLET = """CASE provider_status WHEN 'Ready' THEN 'READY' WHEN 'Success' THEN 'SUCCESS'
     WHEN 'Failed' THEN 'FAILED' WHEN 'Refunded' THEN 'REFUNDED' ELSE {otherwise} END"""
-DETAIL = f"""SELECT id, {hour()} AS hour, {dbl('amount')} AS amount, provider_status, provider_code,
+DETAIL = f"""SELECT id, {hour()} AS hour, strftime(create_date, '%Y-%m-%d %H:%M:%S.%f') AS create_date, {dbl('amount')} AS amount, provider_status, provider_code,
   {WALLET.format(otherwise='status')} AS status, txn_number, wallet FROM txn"""
 
 OPERATORS = ("GP", "BL", "ROBI", "AIRTEL", "TT")
@@ -547,7 +547,7 @@ FROM fact JOIN customer ON c_custkey = custkey GROUP BY ALL""",
 SELECT max(v) FILTER (o = 'AIRTEL') AS airtel, max(v) FILTER (o = 'GP') AS grameenphone,
   max(v) FILTER (o = 'BL') AS banglalink, max(v) FILTER (o = 'TT') AS teletalk,
   max(v) FILTER (o = 'ROBI') AS robi FROM latest WHERE place = 1""",
-    "r12_as_of_stamp": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS date_time FROM events",
+    "r12_newest_stamp": "SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS date_time FROM events",
     "r13_bank_response_cohort": bank_response(
         (f"{ORDERS}, {LINES}", "fact", "lines", "request_id", "response"),
         day("f.create_date"), "TRUE"),
@@ -559,6 +559,10 @@ SELECT max(v) FILTER (o = 'AIRTEL') AS airtel, max(v) FILTER (o = 'GP') AS grame
     "r13_bank_response_label": bank_response(
         (f"{TXN}, {LOG}", "txn", "log", "np_txn_request_id", "response"), day("f.create_date"),
         f"CAST(f.create_date + INTERVAL 6 HOUR AS DATE) >= {DAY} - 30"),
+    "r13_bank_response_recent": bank_response(
+        (f"{TXN}, {LOG}, late AS (SELECT * FROM log WHERE CAST(create_date AS DATE) >= {DAY} - 11)",
+         "txn", "late", "np_txn_request_id", "response"), day("f.create_date"),
+        f"CAST(f.create_date AS DATE) >= {DAY} - 10"),
     "r14_log_status_cohort": cohort(
         LOG, "log", f"{hour()} AS hour", [f"{STATUS_OF.format(otherwise='response')} AS status"],
         f"{TODAY} AND {ASKED}", "count(request_id) AS request_count"),
@@ -641,7 +645,7 @@ WHERE a.request_id = {latest_success('V1')} AND a.request LIKE '%requestDateTime
 SELECT request, strftime(strptime(regexp_extract(request, 'requestDateTime=([0-9]+)', 1),
     '%Y%m%d%H%M%S'), '%Y/%m/%d %H:%M:%S') AS request_time,
   {WHOLE.format("CAST(json_extract_string(response, '$.new_balance') AS DECIMAL(38,2))")} AS balance
-FROM log WHERE event_type = 'purchase' AND request ILIKE '%REQUESTDATETIME%'
+FROM log WHERE request ILIKE '%REQUESTDATETIME%'
   AND regexp_matches(response, '(?s)^\\{{.*\\}}$') ORDER BY id DESC LIMIT 1""",
     "r27_guarded_balance": f"""WITH {TXN}, {LOG}
 SELECT request, response, coalesce(CASE WHEN regexp_matches(response, '(?s)^\\{{.*\\}}$') THEN
@@ -655,7 +659,7 @@ WHERE title IS NOT NULL OR language IS NOT NULL""",
     "r29_decode_and_enrich": """WITH decoded AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS day, c_name AS previous_merchant_id,
     'User profile not found' AS status, CAST(substr(c_name, 10, 9) AS BIGINT) - 7 AS user_id
-  FROM customer WHERE regexp_matches(substr(c_name, 10, 9), '^[0-9]+$'))
+  FROM customer WHERE c_nationkey % 3 = 1 AND regexp_matches(substr(c_name, 10, 9), '^[0-9]+$'))
 SELECT d.*, coalesce(c.c_mktsegment, '') AS biz_name, coalesce(c.c_name, '') AS current_merchant_id
 FROM decoded d LEFT JOIN customer c ON c.c_custkey = d.user_id""",
     "r30_daily_service_totals": f"WITH {TXN} " + " UNION ALL ".join(

@@ -13,7 +13,7 @@ from tillwatch.functions.clock import EVER
 from tillwatch.functions.fixed_values import HEX_REQUEST, PROFILE_MISSING
 from tillwatch.functions.text import concat_skip_null
 from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
-from tillwatch.operators.summary import cohort_from_summary, hourly_summary
+from tillwatch.operators.summary import cohorts_from_summary, hourly_summary
 from tillwatch.sources import roles
 from tillwatch.sources.reports import label_union, normalise
 
@@ -186,15 +186,11 @@ def r05_cohorts_from_summary(spark, sf_dir):
     spans = {"today": TODAY_SETTLED, "month": CALENDAR_MONTH, "ever": EVER}
     hourly = hourly_summary(roles.txn(spark, sf_dir), spans, ("status", "mobile_operator"))
 
-    def part(span, bucket, **options):
-        found = cohort_from_summary(hourly, span, bucket, **options)
-        return found.withColumnRenamed(bucket, "bucket")
-
-    return label_union({
-        "today": part("today", "hour"),
-        "month": part("month", "day", where=F.col("mobile_operator") == "GP"),
-        "ever": part("ever", "day"),
-    }, "report")
+    return cohorts_from_summary(hourly, {
+        "today": ("today", "hour", None),
+        "month": ("month", "day", F.col("mobile_operator") == "GP"),
+        "ever": ("ever", "day", None),
+    })
 
 
 @checked
@@ -268,7 +264,7 @@ def r11_latest_by_key_pivot(spark, sf_dir):
 
 
 @checked
-def r12_as_of_stamp(spark, sf_dir):
+def r12_newest_stamp(spark, sf_dir):
     """The clock of a replayed table."""
     return detail.newest_stamp(roles.txn(spark, sf_dir))
 
@@ -303,6 +299,16 @@ def r13_bank_response_label(spark, sf_dir):
     )
 
 
+@checked
+def r13_bank_response_recent(spark, sf_dir):
+    """Only answers logged from a day before the span on are searched."""
+    span = clock.since_day(NOW, 10)
+    return logs.bank_response_cohort(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), span, "day", ts="create_date",
+        log_span=clock.Span(start=span.start - timedelta(days=1)), log_ts="create_date",
+    )
+
+
 @checked
 def r14_log_status_cohort(spark, sf_dir):
     return logs.log_status_cohort(roles.txn_log(spark, sf_dir), TODAY_SETTLED, where=asked())
@@ -415,14 +421,19 @@ def r24_unanswered_requests(spark, sf_dir):
 # --- details and look-ups ----------------------------------------------------------------------
 
 
+def stamped(report: DataFrame) -> DataFrame:
+    """Times as text: both engines write them alike."""
+    return report.withColumn("create_date", F.date_format("create_date", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 @checked
 def r25_txn_detail(spark, sf_dir):
-    return detail.txn_detail(roles.txn(spark, sf_dir), TODAY).drop("create_date")
+    return stamped(detail.txn_detail(roles.txn(spark, sf_dir), TODAY))
 
 
 @checked
 def r25_txn_detail_failed(spark, sf_dir):
-    return detail.txn_detail(roles.txn(spark, sf_dir), EVER, only_status="Failed").drop("create_date")
+    return stamped(detail.txn_detail(roles.txn(spark, sf_dir), EVER, only_status="Failed"))
 
 
 @checked
@@ -447,9 +458,8 @@ def r27_latest_balance(spark, sf_dir):
 
 @checked
 def r27_latest_json_balance(spark, sf_dir):
-    provider_log = roles.txn_log(spark, sf_dir).filter(F.col("event_type") == "purchase")
     return detail.latest_json_balance(
-        provider_log, "%REQUESTDATETIME%", balance_path="$.new_balance"
+        roles.txn_log(spark, sf_dir), "%REQUESTDATETIME%", balance_path="$.new_balance"
     )
 
 
@@ -473,7 +483,8 @@ def r29_decode_and_enrich(spark, sf_dir):
     customer = roles.customer(spark, sf_dir)
     report = customer.select(
         F.col("c_nationkey").cast("string").alias("day"), F.col("c_name").alias("wallet"),
-        F.lit(PROFILE_MISSING).alias("status"),
+        F.when(F.col("c_nationkey") % 3 == 0, F.lit("SUCCESS"))
+        .when(F.col("c_nationkey") % 3 == 1, F.lit(PROFILE_MISSING)).alias("status"),
     )
     return detail.decode_and_enrich(
         report, customer, keep=("day",), start=10, offset=7, key="c_custkey",

@@ -1,7 +1,8 @@
-"""Published reports: one table folder each, replaced as a whole."""
+"""Published reports: one folder of versions each, replaced as a whole."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -57,37 +58,88 @@ def publish(
     *,
     on_empty: str = "keep",
     order: Sequence[Column | str] = (),
+    keep_versions: int = 2,
 ) -> int:
     """Replace report ``name`` under ``root`` and return its number of rows.
 
-    The report is computed once, into a staging folder; only a complete result replaces the old one,
-    so a failed run leaves the published report as it was. ``on_empty`` says what an empty result
-    does: ``keep`` leaves the old report, ``zero_row`` publishes one row of zeros, ``replace``
-    publishes the empty report. ``order`` sorts the rows as they are published.
+    A run writes its rows once, in order, to a version folder of its own. Only when that is complete an
+    empty marker file names it as the newest version: one file creation, after which readers find the
+    new report and before which they find the old one. A run that fails at any point removes what it
+    wrote and leaves the published report as it was; runs at the same time do not meet, and the one
+    with the later marker counts. Versions older than the newest ``keep_versions`` are removed
+    afterwards, so a reader has until the next publication but one to finish.
+
+    ``on_empty`` says what an empty result does: ``keep`` leaves the old report, ``zero_row`` publishes
+    one row of zeros, ``replace`` publishes the empty report. ``order`` sorts the rows as they are
+    published. ``root`` has to be shared by the driver and the executors.
     """
     if on_empty not in ("keep", "zero_row", "replace"):
         raise ValueError(f"unknown policy for an empty report: {on_empty}")
     spark = report.sparkSession
+    folder = _Folder(spark, f"{root}/{name}")
     rows = normalise(report)
-    staging = f"{root}/_staging/{name}"
-    rows.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(rows.schema).parquet(staging)
-    count = staged.count()
-    if count == 0 and on_empty == "keep":
-        return 0
-    if count == 0 and on_empty == "zero_row":
-        staged = zero_row(rows)
-        count = 1
-    final = staged.orderBy(*order) if order else staged
-    final.write.mode("overwrite").parquet(f"{root}/{name}")
+    version = uuid.uuid4().hex
+    path = f"{root}/{name}/versions/{version}"
+    try:
+        (rows.orderBy(*order) if order else rows).write.parquet(path)
+        count = spark.read.schema(rows.schema).parquet(path).count()
+        if count == 0 and on_empty == "zero_row":
+            zero_row(rows).write.mode("overwrite").parquet(path)
+            count = 1
+        if count == 0 and on_empty == "keep":
+            folder.remove(f"versions/{version}")
+            return 0
+        folder.mark(version)
+    except BaseException:
+        folder.remove(f"versions/{version}")
+        raise
+    for marker in folder.markers()[:-keep_versions]:
+        folder.remove(f"versions/{_version_of(marker)}")
+        folder.remove(f"published/{marker}")
     return count
 
 
+class _Folder:
+    """A report's folder on whatever file system holds it: ``versions`` and the markers in ``published``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
+        self._path = path
+        self._files = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+        local = spark.conf.get("spark.master", "local").split("[")[0] == "local"
+        if self._files.getScheme() == "file" and not local:
+            raise ValueError(f"{path} is a folder of one machine; reports need one that all executors share")
+
+    def _at(self, child: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{child}" if child else self._path)
+
+    def markers(self) -> list[str]:
+        """Names of the marker files, the newest one last."""
+        published = self._at("published")
+        if not self._files.exists(published):
+            return []
+        return sorted(status.getPath().getName() for status in self._files.listStatus(published))
+
+    def mark(self, version: str) -> None:
+        markers = self.markers()
+        number = int(markers[-1].split("-")[0]) + 1 if markers else 1
+        self._files.create(self._at(f"published/{number:012d}-{version}"), False).close()
+
+    def remove(self, child: str) -> None:
+        self._files.delete(self._at(child), True)
+
+
+def _version_of(marker: str) -> str:
+    return marker.split("-", 1)[1]
+
+
 def read_report(spark: SparkSession, name: str, root: str, format: str = "parquet") -> DataFrame:
+    """The newest published version; a folder without versions is read as it lies there."""
     reader = spark.read.format(format)
     if format == "csv":
         reader = reader.option("header", "true")
-    return reader.load(f"{root}/{name}")
+    markers = _Folder(spark, f"{root}/{name}").markers()
+    return reader.load(f"{root}/{name}/versions/{_version_of(markers[-1])}" if markers else f"{root}/{name}")
 
 
 def measure_definitions(spark: SparkSession) -> DataFrame:

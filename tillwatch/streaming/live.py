@@ -1,7 +1,8 @@
 """Status counts of a running stream, in place of polling the last half hour again and again.
 
-The settle lag of the batch reports is the watermark: a window is final once every row in it is older
-than the lag, so each window is written once and never corrected.
+A window is final once the newest row seen is ``lateness`` past its end; it is then written once and never
+corrected. A row that arrives later than that is lost to the stream, and a row counts with the status that it
+had on arrival: where statuses change, feed a stream of settled rows, or take the batch report as the truth.
 """
 
 from __future__ import annotations
@@ -30,17 +31,19 @@ def live_status(
     ts: str = "create_date",
     window: timedelta = HALF_HOUR,
     slide: timedelta = FIVE_MINUTES,
-    lag: timedelta = FIVE_MINUTES,
+    lateness: timedelta = HALF_HOUR,
 ) -> DataFrame:
     """Counts, amount and success rate per sliding window, and per service when ``by`` names one.
 
+    ``lateness`` is how much later than the newest row a row may arrive and still count; rows beyond it
+    are dropped from windows that are final. It is no settle lag: it delays the result, not the range.
     State is one row per open window and service, whatever the number of transactions.
     """
     hits = roles.success if roles.hits is None else roles.hits
     attempts = F.lit(True) if roles.attempts is None else roles.attempts
     # Watermarks need a time with a zone; the session's zone applies, as it does in the labels.
     timed = stream.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark(
-        "event_time", _seconds(lag)
+        "event_time", _seconds(lateness)
     )
     counts = timed.groupBy(F.window("event_time", _seconds(window), _seconds(slide)), *by).agg(
         F.count_if(roles.success).alias("success"),
