@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 #: Bytes of text that one numpy pass over a batch holds at most (a longer text is a pass of its own).
 CHUNK_BYTES = 1 << 20
 _shipped: set[str] = set()
+_BATCH_LIMIT, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{1 << 26}b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +52,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application: they may not have it installed."""
+    """Sends this package to the Python workers, once per application: they may not have it installed.
+
+    Also lowers the session's limit of bytes per Arrow batch, for a worker holds a batch and what it makes of it.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_LIMIT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_LIMIT, "8m")
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
         root = Path(__file__).resolve().parent.parent

@@ -6,14 +6,15 @@ to a range: exponentially spaced truncated minima. Registers of a union are the
 sketches merge, and equal registers grow likelier with the Jaccard similarity of two sets.
 
 1. Equal sets fall into classes by a fingerprint of the whole set; one representative per class goes on.
-2. Representatives with equal registers in a band share a bucket. Each is paired with its bucket's
-   smallest id: as many pairs as rows, however large the bucket.
+2. Representatives with equal registers in a band share a bucket. In the first few bands each is paired
+   with its bucket's smallest id: no more pairs than rows, however large the bucket.
 3. Pairs whose similarity, estimated jointly with the known set sizes by maximum likelihood, could reach
    the limit are verified on the full shingle sets of the whole texts.
-4. Verified links give components. A pair inside a component would change nothing. So only buckets
-   that still hold several components go on: their rows outside the bucket's first component are
-   paired with that of the second smallest component, and in the last round with every row of another
-   component. No cap is set on buckets or partners.
+4. Verified links give components. A pair inside a component would change nothing. So from then on, in
+   all bands, only buckets that hold several components matter: their rows outside the bucket's first
+   component are paired with its smallest row, then with the smallest one among themselves, and in the last
+   round with every row of another component, in large families block by block. No cap is set on buckets
+   or partners.
 
 A similarity of 0.8 is missed by every band with probability (1 - 0.8^6)^36, about 2 in 100,000, and by
 the estimate's margin with less.
@@ -34,6 +35,10 @@ from tillwatch.llm.textkit import mix, shingle_sets
 
 BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
+#: Bands of the first round, which joins most copies of a group at the price of few pairs.
+FIRST_BANDS = 4
+#: Families of more rows are compared in blocks of so many.
+BLOCK = 128
 BASE, SCALE = 1.02, 20.0
 #: Registers are cut to 0..LIMIT: h down to b^-LIMIT, sets of more than 10^10 shingles.
 LIMIT = 1400
@@ -178,6 +183,91 @@ def components(links: DataFrame) -> DataFrame:
         edges, before = small, after
 
 
+def mixed_buckets(own: DataFrame, parts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(id, component, band) of all rows, and of the rows outside their bucket's first component with it.
+
+    A bucket's first component is the one with the smallest id, its hub that component's smallest row in it.
+    """
+    at = own.join(parts, own[key] == parts["id"], "left").select(
+        own[key].alias("id"), F.coalesce("component", own[key]).alias("component"), F.explode("bands").alias("band"))
+    mixed = at.groupBy("band").agg(F.min(F.struct("component", "id")).alias("low"), F.max("component").alias("last"))
+    mixed = mixed.where(F.col("low.component") != F.col("last")).select(
+        "band", F.col("low.component").alias("first"), F.col("low.id").alias("hub"))
+    return at, at.join(mixed, "band").where(F.col("component") != F.col("first"))
+
+
+def star_pairs(outside: DataFrame, step: str) -> DataFrame:
+    """Pairs (a, b): ``first`` joins the outside rows with their hub, ``second`` with the smallest of them."""
+    if step == "first":
+        pairs = outside.select(F.col("hub").alias("x"), F.col("id").alias("y"))
+    else:
+        hub = outside.groupBy("band").agg(F.min(F.struct("component", "id")).alias("h")).select(
+            F.col("band"), F.col("h.id").alias("x"), F.col("h.component").alias("c"))
+        pairs = outside.join(hub, "band").where(F.col("c") != F.col("component")).select("x", F.col("id").alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def family_sizes(outside: DataFrame, parts: DataFrame) -> DataFrame:
+    """(first, n) for every first component: its rows and those outside of it that share a bucket with it."""
+    n_in = parts.groupBy(F.col("component").alias("first")).agg(F.count("*").alias("n_in"))
+    n_out = outside.groupBy("first").agg(F.count_distinct("id").alias("n_out"))
+    return n_out.join(n_in, "first", "left").select("first", (F.col("n_out") + F.coalesce("n_in", F.lit(1))).alias("n"))
+
+
+def row_pairs(at: DataFrame, outside: DataFrame) -> DataFrame:
+    """Every pair (a, b) of an outside row and a row of another component in one bucket."""
+    ours = outside.select("band", F.col("id").alias("x"), F.col("component").alias("c"), "first")
+    theirs = at.select("band", F.col("id").alias("y"), F.col("component").alias("d"))
+    pairs = ours.join(theirs, "band").where("c <> d and (d = first or x < y)")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def block_links(outside: DataFrame, parts: DataFrame, big: DataFrame, docs: DataFrame, key: str, text: str, size: int,
+                percent: int) -> DataFrame:
+    """Verified links (a, b) of the outside rows of large families with any of the family's rows.
+
+    A family's rows are dealt into blocks of about ``BLOCK``, and a task compares two blocks at a time by
+    counting shared shingles from one sorted list; no row stands for a pair of texts.
+    """
+    outs = outside.join(big, "first").select("first", "id", F.lit(1).alias("out")).distinct()
+    ins = parts.select(F.col("component").alias("first"), "id").unionByName(
+        outs.select("first", F.col("first").alias("id")).distinct()).distinct().join(big, "first", "left_semi")
+    rows = outs.unionByName(ins.withColumn("out", F.lit(0))).join(big, "first")
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(BLOCK)).cast("long"))
+    blocks = rows.join(texts, "id").groupBy("first", block.alias("block")).agg(
+        F.collect_list(F.struct("id", "out", "text")).alias("rows"), F.max("out").alias("any"))
+    blocks = written(blocks, "blocks")
+    both = blocks.select("first", F.col("block").alias("x"), F.col("rows").alias("rows_x"), F.col("any").alias("any_x")).join(
+        blocks.select("first", F.col("block").alias("y"), F.col("rows").alias("rows_y"), F.col("any").alias("any_y")), "first"
+    ).where("x <= y and any_x + any_y > 0").select("rows_x", "rows_y")
+    kind = docs.schema[key].dataType
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: set[tuple] = set()
+            for one, other in zip(batch["rows_x"], batch["rows_y"], strict=True):
+                sides = []
+                for side in (one, other):
+                    sets = shingle_sets([(r["text"] or "").encode("utf-8", "surrogatepass") for r in side], size)
+                    sides.append((sets, np.array([len(s) for s in sets]), np.repeat(np.arange(len(side)), [len(s) for s in sets])))
+                (sets_x, n_x, owner_x), (sets_y, n_y, owner_y) = sides
+                values, owners = np.concatenate(sets_y), owner_y
+                order = np.argsort(values, kind="stable")
+                values, owners = values[order], owners[order]
+                wanted = np.concatenate(sets_x)
+                low, high = np.searchsorted(values, wanted), np.searchsorted(values, wanted, side="right")
+                count = high - low
+                place = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+                shared = np.bincount(np.repeat(owner_x, count) * len(n_y) + owners[place], minlength=len(n_x) * len(n_y)).reshape(len(n_x), len(n_y))
+                for x, y in np.argwhere(100 * shared >= percent * (n_x[:, None] + n_y[None, :] - shared)).tolist():
+                    if shared[x, y] and one[x]["id"] != other[y]["id"] and one[x]["out"] + other[y]["out"]:
+                        found.add(tuple(sorted((one[x]["id"], other[y]["id"]))))
+            yield pd.DataFrame(sorted(found), columns=["a", "b"])
+
+    return both.mapInPandas(run, struct_of(("a", kind), ("b", kind))).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
@@ -197,27 +287,26 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, key: str
     ties = membership.join(several, key).select("a", F.col("rep").alias("b"))
     own = filled.join(membership.where(F.col(key) == F.col("rep")).select(key).distinct(), key, "left_semi")
     own = written(own.dropDuplicates([key, "set_a", "set_b"]).select(key, "n_shingles", "registers", "bands"), "representatives")
-    cells = own.select(F.col(key).alias("id"), F.explode("bands").alias("band"))
+    cells = own.select(F.col(key).alias("id"), F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("band"))
     hubs = cells.groupBy("band").agg(F.min("id").alias("hub"))
-    links = None
-    pairs = cells.join(hubs, "band").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    for step in ("second", "every", "end"):
-        found = verified(written(promising(pairs, own, key, percent), "candidates"), docs, key, text, size, percent)
-        links = written(found if links is None else links.unionByName(found), "verified")
-        parts = components(links)
-        if step == "end":
-            break
-        at = cells.join(parts, "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-        mixed = at.groupBy("band").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first <> last").select("band", "first")
-        rows = written(at.join(mixed, "band"), "mixed-buckets")
-        outside = rows.where(F.col("component") != F.col("first")).select("band", F.col("id").alias("a"), F.col("component").alias("c"))
-        if step == "second":
-            hub = outside.groupBy("band").agg(F.min(F.struct("c", "a")).alias("h")).select("band", F.col("h.a").alias("a"), F.col("h.c").alias("c"))
-            pairs = outside.select("band", F.col("a").alias("b"), F.col("c").alias("d")).join(hub, "band").where("c <> d")
-        else:
-            inside = rows.select("band", F.col("id").alias("b"), F.col("component").alias("d"), "first")
-            pairs = outside.join(inside, "band").where("c <> d and (d = first or a < b)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = cells.join(hubs, "band").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return verified(written(promising(pairs.distinct(), own, key, percent), "candidates"), docs, key, text, size, percent)
+
+    links = written(checked(pairs), "verified")
+    parts = written(components(links), "components")
+    for step in ("first", "second"):
+        outside = written(mixed_buckets(own, parts, key)[1], "outside")
+        links = written(links.unionByName(checked(star_pairs(outside, step))), "verified")
+        parts = written(components(links), "components")
+    at, outside = mixed_buckets(own, parts, key)
+    outside = written(outside, "outside")
+    big = written(family_sizes(outside, parts).where(F.col("n") > BLOCK), "families")
+    more = checked(row_pairs(at, outside.join(big, "first", "left_anti")))
+    more = more.unionByName(block_links(outside, parts, big, docs, key, text, size, percent))
+    links = written(links.unionByName(more), "verified")
+    parts = written(components(links), "components")
     if not ties.isEmpty():
         parts = components(links.unionByName(ties))
     placed = membership.join(parts.withColumnRenamed("id", "rep"), "rep", "left").select(
