@@ -50,6 +50,7 @@ class Index:
     share: float
     share_with_answer: float
     lookup: Lookup | None = None
+    masks: list[dict[int, int]] | None = None
 
 
 def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -134,7 +135,7 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
     return (basis @ turned[:, kept]).astype(np.float32) if basis.shape[1] == turned.shape[0] else basis[:, :dims].astype(np.float32)
 
 
-def fit(items: DataFrame, docs: DataFrame, text: str, dims: int = 128, near: float = 0.42, share: float = 0.7,
+def fit(items: DataFrame, docs: DataFrame, text: str, dims: int = 96, near: float = 0.48, share: float = 0.7,
         share_with_answer: float = 0.5) -> Index:
     """The index of one block of items; its size is that of the block, whatever the number of documents."""
     rows = items.orderBy("item_id").collect()
@@ -158,17 +159,31 @@ def fit(items: DataFrame, docs: DataFrame, text: str, dims: int = 128, near: flo
                  near, share, share_with_answer)
 
 
-def common_subsequence(item: np.ndarray, words: np.ndarray) -> int:
-    """Length of the longest common subsequence, one bit per word of the item."""
+def bits_of(item: np.ndarray) -> dict[int, int]:
+    """For each word of an item one bit per place where it stands."""
     masks: dict[int, int] = {}
     for k, w in enumerate(item.tolist()):
         masks[w] = masks.get(w, 0) | (1 << k)
-    full = (1 << len(item)) - 1
+    return masks
+
+
+def common_subsequence(masks: dict[int, int], n: int, words: np.ndarray, least: int = 0) -> int:
+    """Length of the longest common subsequence of an item of ``n`` words with others, one bit per word.
+
+    0 where fewer than ``least`` of the item's words occur at all: no more can be in order.
+    """
+    found = [masks[w] for w in words.tolist() if w in masks]
+    there = 0
+    for mask in found:
+        there |= mask
+    if there.bit_count() < least:
+        return 0
+    full = (1 << n) - 1
     state = full
-    for w in words.tolist():
-        used = state & masks.get(w, 0)
+    for mask in found:
+        used = state & mask
         state = ((state + used) | (state - used)) & full
-    return len(item) - state.bit_count()
+    return n - state.bit_count()
 
 
 def stands_in(answer: np.ndarray, words: np.ndarray) -> bool:
@@ -186,37 +201,30 @@ def candidates(index: Index, found, word: np.ndarray) -> dict[tuple[int, int], l
         return {}
     text = found.text_of()[known]
     own = known - found.first[text]
-    steps = -(-np.diff(found.first) // STEP) + max(WINDOWS)  # every text ends with empty steps
+    steps = -(-np.diff(found.first) // STEP) + 2 * max(WINDOWS)  # empty steps before and after
     offset = np.concatenate(([0], np.cumsum(steps)))
-    cell = offset[text] + own // STEP + (max(WINDOWS) - 1)  # and begins with some
-    offset_end = offset[-1] + max(WINDOWS)
+    cell = offset[text] + own // STEP + (max(WINDOWS) - 1)
     cells, start = np.unique(cell, return_index=True)
-    vectors = np.add.reduceat(index.space[place[known]], start, axis=0)
-    squares = np.add.reduceat(index.weights[place[known]] ** 2, start)
-    dense = np.full(offset_end + max(WINDOWS), -1)
-    dense[cells] = np.arange(len(cells))
+    vectors = np.zeros((len(cells) + 1, index.space.shape[1]))
+    np.cumsum(np.add.reduceat(index.space[place[known]], start, axis=0), axis=0, dtype=np.float64, out=vectors[1:])
+    squares = np.concatenate(([0.0], np.cumsum(np.add.reduceat(index.weights[place[known]] ** 2, start))))
     out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    owner = text[start]
     for width in WINDOWS:
-        # each window begins at or before a step that holds something, and no window is looked at twice
-        begins = np.unique((cells[:, None] - np.arange(0, width, max(1, width // 3))).ravel())
-        begins = begins[begins >= 0]
-        for low in range(0, len(begins), 20000):
-            part = begins[low:low + 20000]
-            window, square = np.zeros((len(part), vectors.shape[1]), np.float32), np.zeros(len(part))
-            who = np.full(len(part), -1)
-            for k in range(width):
-                at = dense[part + k]
-                has = (at >= 0) & ((who < 0) | (who == owner[at]))
-                who[has] = owner[at[has]]
-                window[has] += vectors[at[has]]
-                square[has] += squares[at[has]]
-            length = np.maximum(np.linalg.norm(window, axis=1), 0.6 * np.sqrt(square))
+        # windows begin at every other or third step; the empty steps keep texts apart
+        stride = (width + 1) // 2 if width > 2 else 1
+        begins = (cells // stride)[:, None] - np.arange(-(-width // stride))
+        begins = np.unique(begins.ravel()) * stride
+        low, high = np.searchsorted(cells, begins), np.searchsorted(cells, begins + width)
+        begins, low, high = begins[low < high], low[low < high], high[low < high]
+        for at in range(0, len(begins), 8192):
+            part = slice(at, at + 8192)
+            window = (vectors[high[part]] - vectors[low[part]]).astype(np.float32)
+            square = squares[high[part]] - squares[low[part]]
+            length = np.maximum(np.linalg.norm(window, axis=1), 0.6 * np.sqrt(np.maximum(square, 0)))
             cosine = window @ index.items.T
-            hits = np.argwhere(cosine >= index.near * np.maximum(length, 1e-9)[:, None])
-            for n, item in hits.tolist():
-                t = int(who[n])
-                first = int((part[n] - offset[t] - (max(WINDOWS) - 1)) * STEP)
+            for n, item in np.argwhere(cosine >= index.near * np.maximum(length, 1e-9)[:, None]).tolist():
+                t = int(text[start[low[at + n]]])
+                first = int((begins[at + n] - offset[t] - (max(WINDOWS) - 1)) * STEP)
                 out.setdefault((t, item), []).append((first, first + width * STEP))
     return out
 
@@ -224,7 +232,7 @@ def candidates(index: Index, found, word: np.ndarray) -> dict[tuple[int, int], l
 def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
     """For each text the items found in it, with the largest share of the item's words in order."""
     if index.lookup is None:
-        index.lookup = Lookup(index.terms)
+        index.lookup, index.masks = Lookup(index.terms), [bits_of(own) for own in index.words]
     found = words_of(texts, IS_BREAK)
     word = found.words()
     out: list[dict[int, float]] = [{} for _ in texts]
@@ -239,7 +247,8 @@ def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
                 merged.append([a, b])
         for a, b in merged:
             near = word[max(first + a - reach, first):min(first + b + reach, last)]
-            share = common_subsequence(own, near) / len(own)
+            least = min(index.share, index.share_with_answer) * len(own)
+            share = common_subsequence(index.masks[item], len(own), near, least) / len(own)
             answer = own[-ANSWER_WORDS:]
             if share >= index.share or (share >= index.share_with_answer and stands_in(answer, near)):
                 out[t][index.ids[item]] = max(out[t].get(index.ids[item], 0.0), share)
