@@ -108,23 +108,28 @@ def neighbours(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
     return joined.select("id", "n", F.coalesce("own_next", "after", F.lit(first)).alias("next_id")), (repeats or 0) > 1
 
 
+def edit(text: Column, start: Column) -> Column:
+    """The text with its last third replaced by the first as many characters of ``start`` (or all of them)."""
+    n = F.char_length(text)
+    third = F.floor(n / 3).cast("int")
+    return F.concat(F.substring(text, F.lit(1), n - third), F.substring(F.coalesce(start, F.lit("")), F.lit(1), third))
+
+
 def edited_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, key, text, edited, next_id): the last third of each text replaced by the start of the next one.
+    """(row, key, text, edited, next_id) of the rows with an id: each text and its edited form.
 
-    Texts are shuffled once; of the next text only the part that is needed moves again.
+    Both joins read the same shuffle of the texts; of the next text only the part that is needed moves again.
     """
     links, repeats = neighbours(docs, key, text)
     links = written(links, "next-ids")
     before = links.select(F.col("next_id").alias("id"), F.col("id").alias("for_id"), F.floor(F.col("n") / 3).cast("int").alias("taken"))
-    own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    own = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
     starts = own.join(before, "id").select("for_id", F.substring(F.col("text"), F.lit(1), F.col("taken")).alias("start"))
     if repeats:  # of several texts of one id the first in order
         starts = starts.groupBy("for_id").agg(F.min("start").alias("start"))
-    rows = own.join(links.select("id", "next_id"), "id", "left").join(starts, F.col("id") == F.col("for_id"), "left")
-    n = F.char_length("text")
-    third = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.coalesce("start", F.lit("")), F.lit(1), third))
-    return rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").alias(key), "text", edited.alias("edited"), "next_id")
+    rows = own.join(links.select("id", "next_id"), "id").join(starts, F.col("id") == F.col("for_id"), "left")
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").alias(key), "text",
+                       edit(F.col("text"), F.col("start")).alias("edited"), "next_id")
 
 
 def fingerprints(rows: DataFrame, terms: DataFrame, key: str, texts: tuple[str, ...]) -> DataFrame:
@@ -159,9 +164,19 @@ def compare(docs: DataFrame, key: str = "doc_id", text: str = "text", low: float
     first. Rows without id have an empty next document. Repeated rows each have their row.
     """
     docs = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = edited_texts(docs, key, "text").withColumns({
-        "n_chars": F.char_length("text").cast(T.LongType()), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)})
-    made = written(fingerprints(rows, lexicon(docs, "text", low, high), key, ("text", "edited")), "fingerprints")
+    terms = lexicon(docs, "text", low, high)
+
+    def printed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({
+            "n_chars": F.char_length("text").cast(T.LongType()), "edited_sha256": F.sha2(F.col("edited").cast("binary"), 256)})
+        return written(fingerprints(rows, terms, key, ("text", "edited")), "fingerprints")
+
+    made = printed(edited_texts(docs, key, "text"))
+    lost = docs.where(F.col(key).isNull())
+    if not lost.isEmpty():
+        made = made.unionByName(printed(lost.select(
+            F.monotonically_increasing_id().alias("row"), key, "text", edit(F.col("text"), F.lit("")).alias("edited"),
+            F.lit(None).cast(docs.schema[key].dataType).alias("next_id"))))
     following = made.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("next_id")).agg(F.min("fp_text").alias("fp_next"))
     return made.join(following, "next_id", "left").select(
         key, "n_chars", "edited_sha256", F.col("fp_text").alias("fingerprint"), F.col("fp_edited").alias("edited_fingerprint"),
