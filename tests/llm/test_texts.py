@@ -204,6 +204,15 @@ def test_passages_paraphrases_and_clean_texts(spark):
     assert {r.doc_id: r["_items"] for r in few} == {r.doc_id: r["_items"] for r in got}
 
 
+def test_a_passage_in_a_third_of_the_rows_is_found(spark):
+    rng = random.Random(12)
+    items = [(k, noise(rng, 30)) for k in range(20)]
+    docs = [(k, noise(rng, 80) + (" " + items[7][1] if k % 3 == 0 else "") + " " + noise(rng, 80)) for k in range(150)]
+    got = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r["items"] for r in got} == {k: [7] if k % 3 == 0 else [] for k in range(150)}
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -26,8 +26,6 @@ from tillwatch.llm.textkit import IS_BREAK, Lookup, words_of
 STEP = 8
 #: Windows in steps of eight words: the lengths cover short items and the middle of long ones.
 WINDOWS = (2, 4, 7)
-#: A word that a larger share of the documents holds says nothing about an item.
-COMMON = 0.2
 ANSWER_WORDS = 5
 _ITEM = struct_of(("item_id", T.LongType()), ("words", T.ArrayType(T.LongType())))
 
@@ -92,6 +90,11 @@ def document_counts(docs: DataFrame, terms: np.ndarray, text: str) -> tuple[np.n
     return found[:-1], int(found[-1])
 
 
+def idf(count: np.ndarray, n: int) -> np.ndarray:
+    """Smooth and at least 1: a passage that most rows hold, as copies do, keeps its weight among its words."""
+    return np.log((n + 1) / (count + 1)) + 1.0
+
+
 def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims: int, rounds: int = 2) -> np.ndarray:
     """The leading right singular vectors (terms, dims) of the items' TF-IDF rows.
 
@@ -142,11 +145,7 @@ def fit(items: DataFrame, docs: DataFrame, text: str, dims: int = 96, near: floa
     words = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in rows]
     terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
     count, n = document_counts(docs, terms, text)
-    weights = np.log((n + 1) / (count + 1))
-    weights = np.where(count > COMMON * n, 0.0, weights)
-    if not weights.any():  # every word is common, as in a handful of documents
-        weights = np.log((n + 1) / (count + 1)) + 0.1
-    weights = np.append(weights, 0.0)
+    weights = np.append(idf(count, n), 0.0)
     space = latent_space(items, terms, weights, dims)
     space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
     lookup = Lookup(terms)
