@@ -213,6 +213,40 @@ def test_a_passage_in_a_third_of_the_rows_is_found(spark):
     assert {r.doc_id: r["items"] for r in got} == {k: [7] if k % 3 == 0 else [] for k in range(150)}
 
 
+@pytest.mark.parametrize("size", [200, 1500])
+def test_large_benchmarks_lose_no_item(spark, size):
+    rng = random.Random(13)
+    vocabulary = [f"{rng.choice('bcdfgh')}{k}" for k in range(4000)]
+    weights = [1 / (k + 5) for k in range(4000)]
+    items = [rng.choices(vocabulary, weights, k=rng.randrange(15, 60)) for _ in range(size)]
+    docs, want = [], {}
+    for k in range(100):
+        item = k * size // 100
+        passage = [w if k % 2 or n % 10 else "other" for n, w in enumerate(items[item])]  # every other one paraphrased
+        text = rng.choices(vocabulary, weights, k=100) + passage + rng.choices(vocabulary, weights, k=100)
+        docs.append((k, " ".join(text)))
+        want[k] = {n for n, own in enumerate(items) if longest_share(own, text) >= 0.7}
+        assert item in want[k]
+    got = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(
+        [(n, " ".join(own)) for n, own in enumerate(items)], "item_id long, text string"), share_with_answer=0.7).collect()
+    assert {r.doc_id: set(r["items"]) & want[r.doc_id] for r in got} == want
+
+
+def longest_share(item, words):
+    """The largest share of the item in order in any stretch of three times its length."""
+    masks, n = {}, len(item)
+    for k, w in enumerate(item):
+        masks[w] = masks.get(w, 0) | 1 << k
+    if len(set(item) & set(words)) < 0.7 * len(set(item)) * 0.7:
+        return 0.0
+    return max(decontam.common_subsequence(masks, n, Stretch(words[a:a + 2 * n])) for a in range(0, len(words), n)) / n
+
+
+class Stretch(list):
+    def tolist(self):
+        return self
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -2,7 +2,8 @@
 
 Benchmark items are TF-IDF vectors over their own words, with document frequencies counted over all
 documents. A randomised singular value decomposition, whose products with the matrix are Spark jobs over
-the item rows, gives a small latent space. Every document is cut into overlapping windows of three lengths;
+the item rows, gives the latent space of a block of items. It has a dimension per item, so that no item
+loses a part of its norm in it, and blocks are small. Every document is cut into overlapping windows of three lengths;
 a window's latent vector is a sum of word vectors. Words are lowered runs between ASCII punctuation
 and white space, so shouting and scattered marks hide nothing. Windows near an item in the latent space are candidates; the longest
 common subsequence of the item's words and the words around the window decides, with a weaker limit where
@@ -49,6 +50,7 @@ class Index:
     share_with_answer: float
     lookup: Lookup | None = None
     masks: list[dict[int, int]] | None = None
+    member: np.ndarray | None = None  # (items, terms + 1): which terms an item holds
 
 
 def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -138,15 +140,17 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
     return (basis @ turned[:, kept]).astype(np.float32) if basis.shape[1] == turned.shape[0] else basis[:, :dims].astype(np.float32)
 
 
-def fit(items: DataFrame, docs: DataFrame, text: str, dims: int = 96, near: float = 0.48, share: float = 0.7,
-        share_with_answer: float = 0.5) -> Index:
-    """The index of one block of items; its size is that of the block, whatever the number of documents."""
-    rows = items.orderBy("item_id").collect()
+def fit(items: DataFrame, rows: list, weight_of: tuple[np.ndarray, np.ndarray], dims: int | None = None, near: float = 0.42,
+        share: float = 0.7, share_with_answer: float = 0.5) -> Index:
+    """The index of one block of items; its size is that of the block, whatever the number of documents.
+
+    rows: the rows of ``items``; weight_of: sorted word hashes, the block's among them, and their idf.
+    dims: by default one per item, with which the space is exact.
+    """
     words = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in rows]
-    terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-    count, n = document_counts(docs, terms, text)
-    weights = np.append(idf(count, n), 0.0)
-    space = latent_space(items, terms, weights, dims)
+    terms = np.unique(np.concatenate(words))
+    weights = np.append(weight_of[1][np.searchsorted(weight_of[0], terms)], 0.0)
+    space = latent_space(items, terms, weights, dims or len(words))
     space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
     lookup = Lookup(terms)
     vectors = np.zeros((len(words), space.shape[1]), np.float32)
@@ -192,12 +196,14 @@ def stands_in(answer: np.ndarray, words: np.ndarray) -> bool:
     return bool(np.lib.stride_tricks.sliding_window_view(words, n).__eq__(answer).all(axis=1).any())
 
 
-def candidates(index: Index, found, word: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """(text, item) -> spans of word numbers whose windows are near the item."""
-    place = index.lookup(word)
+def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
+    """(text, item, first, last) in order: spans of word numbers whose windows are near the item.
+
+    place: the words' places among the index's terms.
+    """
     known = np.flatnonzero(index.weights[place] > 0)
     if not len(known):
-        return {}
+        return np.zeros((0, 4), np.int64)
     text = found.text_of()[known]
     own = known - found.first[text]
     steps = -(-np.diff(found.first) // STEP) + 2 * max(WINDOWS)  # empty steps before and after
@@ -206,11 +212,10 @@ def candidates(index: Index, found, word: np.ndarray) -> dict[tuple[int, int], l
     cells, start = np.unique(cell, return_index=True)
     vectors = np.zeros((len(cells) + 1, index.space.shape[1]))
     np.cumsum(np.add.reduceat(index.space[place[known]], start, axis=0), axis=0, dtype=np.float64, out=vectors[1:])
-    squares = np.concatenate(([0.0], np.cumsum(np.add.reduceat(index.weights[place[known]] ** 2, start))))
-    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    out: list[np.ndarray] = []
     for width in WINDOWS:
-        # windows begin at every other or third step; the empty steps keep texts apart
-        stride = (width + 1) // 2 if width > 2 else 1
+        # the longest windows begin at every other step; the empty steps keep texts apart
+        stride = max(1, width // 3)
         begins = (cells // stride)[:, None] - np.arange(-(-width // stride))
         begins = np.unique(begins.ravel()) * stride
         low, high = np.searchsorted(cells, begins), np.searchsorted(cells, begins + width)
@@ -218,60 +223,78 @@ def candidates(index: Index, found, word: np.ndarray) -> dict[tuple[int, int], l
         for at in range(0, len(begins), 8192):
             part = slice(at, at + 8192)
             window = (vectors[high[part]] - vectors[low[part]]).astype(np.float32)
-            square = squares[high[part]] - squares[low[part]]
-            length = np.maximum(np.linalg.norm(window, axis=1), 0.6 * np.sqrt(np.maximum(square, 0)))
+            length = np.linalg.norm(window, axis=1)
             cosine = window @ index.items.T
-            for n, item in np.argwhere(cosine >= index.near * np.maximum(length, 1e-9)[:, None]).tolist():
-                t = int(text[start[low[at + n]]])
-                first = int((begins[at + n] - offset[t] - (max(WINDOWS) - 1)) * STEP)
-                out.setdefault((t, item), []).append((first, first + width * STEP))
-    return out
+            n, item = np.nonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None])
+            t = text[start[low[part][n]]]
+            first = (begins[part][n] - offset[t] - (max(WINDOWS) - 1)) * STEP
+            out.append(np.stack([t, item, first, first + width * STEP], axis=1))
+    every = np.concatenate(out)
+    return every[np.lexsort(every.T[::-1])]
+
+
+def merged(index: Index, spans: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """The spans of one text and item as one where the item reaches from one to the next."""
+    held = None
+    for t, item, a, b in spans.tolist():
+        if held and held[0] == t and held[1] == item and a <= held[3] + reach and b - held[2] <= 4 * reach + 64:
+            held[3] = max(held[3], b)
+        else:
+            if held:
+                yield tuple(held)
+            held, reach = [t, item, a, b], len(index.words[item])
+    if held:
+        yield tuple(held)
 
 
 def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
     """For each text the items found in it, with the largest share of the item's words in order."""
     if index.lookup is None:
         index.lookup, index.masks = Lookup(index.terms), [bits_of(own) for own in index.words]
+        index.member = np.zeros((len(index.words), len(index.terms) + 1), bool)
+        for n, own in enumerate(index.words):
+            index.member[n, index.lookup(own)] = True
     found = words_of(texts, IS_BREAK)
     word = found.words()
+    place = index.lookup(word)
+    bounds = found.first.tolist()
     out: list[dict[int, float]] = [{} for _ in texts]
-    for (t, item), spans in candidates(index, found, word).items():
-        own, first, last = index.words[item], int(found.first[t]), int(found.first[t + 1])
+    for t, item, a, b in merged(index, candidates(index, found, place)):
+        own, first, last = index.words[item], bounds[t], bounds[t + 1]
         reach = len(own)
-        merged: list[list[int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1] + reach and b - merged[-1][0] <= 4 * reach + 64:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
-        for a, b in merged:
-            near = word[max(first + a - reach, first):min(first + b + reach, last)]
-            least = min(index.share, index.share_with_answer) * len(own)
-            share = common_subsequence(index.masks[item], len(own), near, least) / len(own)
-            answer = own[-ANSWER_WORDS:]
-            if share >= index.share or (share >= index.share_with_answer and stands_in(answer, near)):
-                out[t][index.ids[item]] = max(out[t].get(index.ids[item], 0.0), share)
+        part = slice(max(first + a - reach, first), min(first + b + reach, last))
+        least = min(index.share, index.share_with_answer) * len(own)
+        inside = index.member[item][place[part]]
+        if np.count_nonzero(inside) < least:  # no more can be in order
+            continue
+        near = word[part]
+        share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
+        answer = own[-ANSWER_WORDS:]
+        if share >= index.share or (share >= index.share_with_answer and stands_in(answer, near)):
+            out[t][index.ids[item]] = max(out[t].get(index.ids[item], 0.0), share)
     return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", items_name: str = "items",
-                  share_name: str = "share", block_items: int = 20_000, **options) -> DataFrame:
+                  share_name: str = "share", block_items: int = 128, **options) -> DataFrame:
     """All columns of ``docs`` with the ids of the benchmark items found (sorted) and the largest share.
 
     An item is found where a latent candidate's surroundings hold at least ``share`` of its words in
     order, or ``share_with_answer`` and its last words in one piece. Whole texts are searched; null and
-    empty texts hold nothing. The benchmark is the query set and is taken in blocks of ``block_items``, which
-    bound what is broadcast. Items that repeat are found under each of their ids; items without id or
+    empty texts hold nothing. The benchmark is the query set; each block of at most ``block_items`` has a latent
+    space of as many dimensions. The documents are read once for all blocks' frequencies, and once for all blocks' search. Items that repeat are found under each of their ids; items without id or
     words are left out. Added columns whose names are taken get underscores in front.
     """
     items_name = free_name(docs.columns, items_name)
     share_name = free_name([*docs.columns, items_name], share_name)
-    items = written(item_words(benchmark), "benchmark-items")
+    items = written(item_words(benchmark).withColumn("row", F.monotonically_increasing_id()), "benchmark-items")
     spark = docs.sparkSession
-    blocks = -(-items.count() // block_items)
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(max(blocks, 1))))
-    indexes = [spark.sparkContext.broadcast(fit(numbered.where(F.col("block") == n).drop("block"), docs, text, **options))
-               for n in range(blocks)]
+    rows = items.orderBy("row").collect()
+    terms = np.unique(np.concatenate([np.array(r["words"], dtype=np.int64) for r in rows]).view(np.uint64)) if rows else np.zeros(0, np.uint64)
+    weight_of = terms, idf(*document_counts(docs, terms, text)) if rows else np.zeros(0)
+    blocks = [rows[len(rows) * n // k:len(rows) * (n + 1) // k] for k in [-(-len(rows) // block_items)] for n in range(k)]
+    indexes = [spark.sparkContext.broadcast(fit(items.where(F.col("row").between(own[0]["row"], own[-1]["row"])), own, weight_of, **options))
+               for own in blocks]
     schema = struct_of(*((f.name, f.dataType) for f in docs.schema.fields),
                        (items_name, T.ArrayType(T.LongType())), (share_name, T.DoubleType()))
 
