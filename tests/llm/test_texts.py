@@ -232,6 +232,21 @@ def test_large_benchmarks_lose_no_item(spark, size):
     assert {r.doc_id: set(r["items"]) & want[r.doc_id] for r in got} == want
 
 
+@pytest.mark.parametrize("block_items", [128, 7])
+def test_long_items_are_found(spark, block_items):
+    rng = random.Random(14)
+    items = [(k, noise(rng, n)) for k, n in enumerate([300, 2000, 700, 64, 65, 20] * 2)]
+    docs, want = [], {}
+    for k in range(48):
+        words = items[k % 12][1].split()
+        passage = [w if k % 2 or n % 10 else "other" for n, w in enumerate(words)]
+        docs.append((k, " ".join([noise(rng, 90), *passage, noise(rng, 90)])))
+        want[k] = [k % 12]
+    got = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string"), block_items=block_items).collect()
+    assert {r.doc_id: r["items"] for r in got} == want
+
+
 def longest_share(item, words):
     """The largest share of the item in order in any stretch of three times its length."""
     masks, n = {}, len(item)

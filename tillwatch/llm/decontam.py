@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are TF-IDF vectors over their own words, with document frequencies counted over all
+Benchmark items, long ones in passages, are TF-IDF vectors over their own words, with document frequencies counted over all
 documents. A randomised singular value decomposition, whose products with the matrix are Spark jobs over
-the item rows, gives the latent space of a block of items. It has a dimension per item, so that no item
+the item rows, gives the latent space of a block of passages. It has a dimension per passage, so that none
 loses a part of its norm in it, and blocks are small. Every document is cut into overlapping windows of three lengths;
 a window's latent vector is a sum of word vectors. Words are lowered runs between ASCII punctuation
 and white space, so shouting and scattered marks hide nothing. Windows near an item in the latent space are candidates; the longest
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ STEP = 8
 #: Windows in steps of eight words: the lengths cover short items and the middle of long ones.
 WINDOWS = (2, 4, 7)
 ANSWER_WORDS = 5
+#: Items of more words are cut into equal passages, for a window holds little of a long item's norm.
+PASSAGE = 64
 _ITEM = struct_of(("item_id", T.LongType()), ("words", T.ArrayType(T.LongType())))
 
 
@@ -36,13 +38,15 @@ class Index:
     """The latent space of one block of items.
 
     terms: sorted word hashes; weights: their idf; space: (terms, dims) right singular vectors;
-    items: (items, dims) unit vectors; ids and words of the items in the same order.
+    items: (passages, dims) unit vectors; owner: the item of each passage, as its place in ids and words,
+    which hold whole items.
     """
 
     terms: np.ndarray
     weights: np.ndarray
     space: np.ndarray
     items: np.ndarray
+    owner: np.ndarray
     ids: list[int]
     words: list[np.ndarray]
     near: float
@@ -51,6 +55,7 @@ class Index:
     lookup: Lookup | None = None
     masks: list[dict[int, int]] | None = None
     member: np.ndarray | None = None  # (items, terms + 1): which terms an item holds
+    complete: np.ndarray | None = None  # whether all of an item's passages are in this block
 
 
 def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -68,6 +73,14 @@ def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -
     return rows.mapInPandas(run, _ITEM).where(F.size("words") > 0)
 
 
+def passages_of(items: DataFrame) -> DataFrame:
+    """(row, part, words): every item in as few passages of about equal length as ``PASSAGE`` words allow."""
+    n, parts = F.size("words"), F.ceil(F.size("words") / F.lit(PASSAGE)).cast("int")
+    return items.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("row", "part", F.slice(
+        "words", F.floor(F.col("part") * n / parts).cast("int") + 1,
+        (F.floor((F.col("part") + 1) * n / parts) - F.floor(F.col("part") * n / parts)).cast("int")).alias("words"))
+
+
 def document_counts(docs: DataFrame, terms: np.ndarray, text: str) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, over all documents, and how many documents there are."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
@@ -140,17 +153,17 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
     return (basis @ turned[:, kept]).astype(np.float32) if basis.shape[1] == turned.shape[0] else basis[:, :dims].astype(np.float32)
 
 
-def fit(items: DataFrame, rows: list, weight_of: tuple[np.ndarray, np.ndarray], dims: int | None = None, near: float = 0.42,
-        share: float = 0.7, share_with_answer: float = 0.5) -> Index:
-    """The index of one block of items; its size is that of the block, whatever the number of documents.
+def fit(passages: DataFrame, rows: list, whole: dict, weight_of: tuple[np.ndarray, np.ndarray], dims: int | None = None,
+        near: float = 0.42, share: float = 0.7, share_with_answer: float = 0.5) -> Index:
+    """The index of one block of passages; its size is that of the block, whatever the number of documents.
 
-    rows: the rows of ``items``; weight_of: sorted word hashes, the block's among them, and their idf.
-    dims: by default one per item, with which the space is exact.
+    rows: the rows of ``passages``; whole: (id, words) of the items by row; weight_of: sorted word hashes, the
+    block's among them, and their idf. dims: by default one per passage, with which the space is exact.
     """
     words = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in rows]
     terms = np.unique(np.concatenate(words))
     weights = np.append(weight_of[1][np.searchsorted(weight_of[0], terms)], 0.0)
-    space = latent_space(items, terms, weights, dims or len(words))
+    space = latent_space(passages, terms, weights, dims or len(words))
     space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
     lookup = Lookup(terms)
     vectors = np.zeros((len(words), space.shape[1]), np.float32)
@@ -158,8 +171,9 @@ def fit(items: DataFrame, rows: list, weight_of: tuple[np.ndarray, np.ndarray],
         place = lookup(own)
         vectors[n_item] = weights[place] @ space[place]
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, [r["item_id"] for r in rows], words,
-                 near, share, share_with_answer)
+    owners, owner = np.unique([r["row"] for r in rows], return_inverse=True)
+    return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, owner, *map(list, zip(
+        *(whole[n] for n in owners.tolist()), strict=True)), near, share, share_with_answer)
 
 
 def bits_of(item: np.ndarray) -> dict[int, int]:
@@ -197,7 +211,7 @@ def stands_in(answer: np.ndarray, words: np.ndarray) -> bool:
 
 
 def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
-    """(text, item, first, last) in order: spans of word numbers whose windows are near the item.
+    """(text, item, first, last) in order: spans of word numbers whose windows are near a passage of the item.
 
     place: the words' places among the index's terms.
     """
@@ -228,7 +242,7 @@ def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
             n, item = np.nonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None])
             t = text[start[low[part][n]]]
             first = (begins[part][n] - offset[t] - (max(WINDOWS) - 1)) * STEP
-            out.append(np.stack([t, item, first, first + width * STEP], axis=1))
+            out.append(np.stack([t, index.owner[item], first, first + width * STEP], axis=1))
     every = np.concatenate(out)
     return every[np.lexsort(every.T[::-1])]
 
@@ -254,6 +268,7 @@ def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
         index.member = np.zeros((len(index.words), len(index.terms) + 1), bool)
         for n, own in enumerate(index.words):
             index.member[n, index.lookup(own)] = True
+        index.complete = ~index.member[:, -1]
     found = words_of(texts, IS_BREAK)
     word = found.words()
     place = index.lookup(word)
@@ -264,11 +279,14 @@ def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
         reach = len(own)
         part = slice(max(first + a - reach, first), min(first + b + reach, last))
         least = min(index.share, index.share_with_answer) * len(own)
-        inside = index.member[item][place[part]]
-        if np.count_nonzero(inside) < least:  # no more can be in order
-            continue
         near = word[part]
-        share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
+        if index.complete[item]:
+            inside = index.member[item][place[part]]
+            if np.count_nonzero(inside) < least:  # no more can be in order
+                continue
+            share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
+        else:
+            share = common_subsequence(index.masks[item], len(own), near, least) / len(own)
         answer = own[-ANSWER_WORDS:]
         if share >= index.share or (share >= index.share_with_answer and stands_in(answer, near)):
             out[t][index.ids[item]] = max(out[t].get(index.ids[item], 0.0), share)
@@ -281,7 +299,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     An item is found where a latent candidate's surroundings hold at least ``share`` of its words in
     order, or ``share_with_answer`` and its last words in one piece. Whole texts are searched; null and
-    empty texts hold nothing. The benchmark is the query set; each block of at most ``block_items`` has a latent
+    empty texts hold nothing. The benchmark is the query set; each block of at most ``block_items`` passages has a latent
     space of as many dimensions. The documents are read once for all blocks' frequencies, and once for all blocks' search. Items that repeat are found under each of their ids; items without id or
     words are left out. Added columns whose names are taken get underscores in front.
     """
@@ -289,11 +307,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     share_name = free_name([*docs.columns, items_name], share_name)
     items = written(item_words(benchmark).withColumn("row", F.monotonically_increasing_id()), "benchmark-items")
     spark = docs.sparkSession
-    rows = items.orderBy("row").collect()
-    terms = np.unique(np.concatenate([np.array(r["words"], dtype=np.int64) for r in rows]).view(np.uint64)) if rows else np.zeros(0, np.uint64)
-    weight_of = terms, idf(*document_counts(docs, terms, text)) if rows else np.zeros(0)
+    whole = {r["row"]: (r["item_id"], np.array(r["words"], dtype=np.int64).view(np.uint64)) for r in items.collect()}
+    passages = written(passages_of(items), "benchmark-passages")
+    rows = passages.orderBy("row", "part").collect()
+    terms = np.unique(np.concatenate([words for _, words in whole.values()])) if whole else np.zeros(0, np.uint64)
+    weight_of = terms, idf(*document_counts(docs, terms, text)) if whole else np.zeros(0)
     blocks = [rows[len(rows) * n // k:len(rows) * (n + 1) // k] for k in [-(-len(rows) // block_items)] for n in range(k)]
-    indexes = [spark.sparkContext.broadcast(fit(items.where(F.col("row").between(own[0]["row"], own[-1]["row"])), own, weight_of, **options))
+    place = F.struct("row", "part")
+
+    def bound(row) -> Column:
+        return F.struct(F.lit(row["row"]).cast("long").alias("row"), F.lit(row["part"]).cast("int").alias("part"))
+
+    indexes = [spark.sparkContext.broadcast(fit(passages.where((place >= bound(own[0])) & (place <= bound(own[-1]))), own, whole, weight_of, **options))
                for own in blocks]
     schema = struct_of(*((f.name, f.dataType) for f in docs.schema.fields),
                        (items_name, T.ArrayType(T.LongType())), (share_name, T.DoubleType()))
