@@ -127,6 +127,28 @@ def test_repetitions_of_a_number_share_its_label():
     assert [(pii.KINDS[k], text[a:b]) for k, a, b in added] == [("phone", "4930 1234567")]
 
 
+def leaning_field():
+    """Of what the patterns did not label, nothing looks like personal data."""
+    import numpy as np
+
+    weights = np.zeros((12, 5))
+    weights[0, pii.NONE] = 1.0
+    return pii.Field(weights, np.zeros((5, 5)))
+
+
+@pytest.mark.parametrize("repeats", [1, 2, 5, 50])
+def test_any_number_of_repetitions_shares_the_label(repeats):
+    text = "call +49 30 1234567 now. " + "or 4930 1234567 later " * repeats + "not 88776655443"
+    _, added = pii.spans(text, leaning_field())
+    assert [(pii.KINDS[k], text[a:b]) for k, a, b in added] == [("phone", "4930 1234567")] * repeats
+
+
+def test_a_phone_number_without_its_country_shares_the_label():
+    text = "call +49 30 1234567 now, in town 030 1234567, not 88776655443"
+    _, added = pii.spans(text, leaning_field())
+    assert [(pii.KINDS[k], text[a:b]) for k, a, b in added] == [("phone", "030 1234567")]
+
+
 def test_mailbox_names_share_the_label_of_their_address():
     text = "mail jo.doe7@example.com; signed jo.doe7, not john"
     base, added = pii.spans(text, pii.fit(FIELD_TEXTS))

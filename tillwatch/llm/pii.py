@@ -3,8 +3,9 @@
 Patterns give the base spans. Around them, number chains and address-like words are the nodes of a
 random field with one label per kind and "none". A node's own potential is a linear softmax over its
 shape, fitted in numpy to weak labels (what the patterns say about the nodes of a bounded sample).
-Neighbours in the text share a chain potential; nodes with the same digits, address or mailbox name share
-a skip potential, however far apart, along a chain through their occurrences. Loopy sum-product messages
+Neighbours in the text share a chain potential; nodes with the same digits, address or mailbox name, or the
+last digits of a phone number, share a skip potential with one hub node, however far apart and many they are. The hub
+is held to what the patterns said about any of them. Loopy sum-product messages
 over a document's nodes then settle the labels, so a number once seen as a phone number is one wherever
 it comes back in another form. Documents are independent: a task labels them one by one.
 """
@@ -31,6 +32,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
+#: As many last digits make a phone number the same with and without its country.
+TAIL_DIGITS = 9
 
 NONE = len(KINDS)
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
@@ -153,29 +156,46 @@ def fit(texts: list[str], steps: int = 200, rate: float = 0.5) -> Field:
     return Field(weights, np.clip(np.log(pairs / own), -1, 1))
 
 
-def edges_of(nodes: list[Node]) -> tuple[np.ndarray, int]:
-    """Chain edges between neighbours, then skip edges between one occurrence of a key and the next.
+def groups_of(nodes: list[Node]) -> list[list[int]]:
+    """The nodes that repeat each other, by key.
 
-    Mailbox names share the key of their addresses. Occurrences form a chain, so n of them cost n edges.
+    Mailbox names share the key of their addresses. A number of a phone's length shares its last digits with a
+    phone number, whatever stands for its country; it is then in that group alone.
     """
-    chain = [(i, i + 1) for i in range(len(nodes) - 1)]
-    last, skip = {}, []
+    def tail(node: Node) -> str:
+        return "*" + node.key[-TAIL_DIGITS:] if node.key.isdigit() and TAIL_DIGITS <= len(node.key) <= PHONE_DIGITS[1] else ""
+
+    phones = {tail(n) for n in nodes if n.seen == KINDS.index("phone")} - {""}
+    groups: dict[str, list[int]] = {}
     for i, node in enumerate(nodes):
-        for key in {node.key, node.key.split("@")[0]} if "@" in node.key else {node.key}:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
+        if "@" in node.key:
+            keys = {node.key, node.key.split("@")[0]}
+        else:
+            keys = {tail(node) if tail(node) in phones and node.seen in (NONE, KINDS.index("phone")) else node.key}
+        for key in keys:
+            groups.setdefault(key, []).append(i)
+    return [g for g in groups.values() if len(g) > 1]
+
+
+def edges_of(nodes: list[Node], groups: list[list[int]]) -> tuple[np.ndarray, int]:
+    """Chain edges between neighbours, then skip edges between the hub of each group and its nodes.
+
+    Hubs are numbered after the nodes, so n occurrences cost n edges and any two are two edges apart.
+    """
+    chain = [(i, i + 1) for i in range(len(nodes) - 1)]
+    skip = [(len(nodes) + h, i) for h, group in enumerate(groups) for i in group]
     return np.array(chain + skip, dtype=np.int64).reshape(-1, 2), len(chain)
 
 
-def marginals(own: np.ndarray, edges: np.ndarray, chains: int, field: Field, rounds: int = 8) -> np.ndarray:
-    """Loopy sum-product over log-potentials, damped; one row of label probabilities per node."""
+def marginals(own: np.ndarray, edges: np.ndarray, chains: int, field: Field, rounds: int = 200) -> np.ndarray:
+    """Loopy sum-product over log-potentials, damped, until messages rest; one row of label probabilities per node."""
     potential = np.empty((len(edges), NONE + 1, NONE + 1))
     potential[:chains] = np.exp(field.chain)
     potential[chains:] = np.exp(field.skip * np.eye(NONE + 1))
     forward, backward = np.zeros((len(edges), NONE + 1)), np.zeros((len(edges), NONE + 1))
     belief = own.copy()
     for _ in range(rounds if len(edges) else 0):
+        before = belief
         for into, out, side in ((forward, backward, 0), (backward, forward, 1)):
             cavity = belief[edges[:, side]] - out
             cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
@@ -185,6 +205,8 @@ def marginals(own: np.ndarray, edges: np.ndarray, chains: int, field: Field, rou
         belief = own.copy()
         np.add.at(belief, edges[:, 1], forward)
         np.add.at(belief, edges[:, 0], backward)
+        if np.abs(belief - before).max() < 1e-4:
+            break
     belief = np.exp(belief - belief.max(axis=1, keepdims=True))
     return belief / belief.sum(axis=1, keepdims=True)
 
@@ -203,7 +225,13 @@ def spans(text: str | None, field: Field, least: float = 0.5) -> tuple[list, lis
             own[i, node.seen] += field.trust
         else:  # the patterns saw the node and took it for nothing: only its repetitions speak for it
             own[i, NONE] += 1.0
-    p = marginals(own, *edges_of(nodes), field)
+    groups = groups_of(nodes)
+    hubs = np.zeros((len(groups), NONE + 1))
+    for hub, group in zip(hubs, groups, strict=True):
+        for i in group:  # outweighs all that the other occurrences say, however many they are
+            if nodes[i].seen != NONE:
+                hub[nodes[i].seen] += field.trust * len(group)
+    p = marginals(np.concatenate([own, hubs]), *edges_of(nodes, groups), field)[:len(nodes)]
     bounds, added = sorted((a, b) for _, a, b in base), []
     ends = np.maximum.accumulate([b for _, b in bounds]) if bounds else np.zeros(0)
     starts = [a for a, _ in bounds]
