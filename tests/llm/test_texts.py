@@ -32,6 +32,10 @@ def main_text(page):
     ("<article><p>cut off <b>here", "cut off here"),
     ("<p>1 &lt; 2 &am &amp; &#233;</p><p", "1 < 2 &am & é"),
     ("<p>a</p></article></div><p>b</p>", "a b"),
+    ("<html><head><title>t</title><body><p>article text</p></body></html>", "article text"),
+    ("<head class=nav><meta name=a><title>a < b</title><link rel=x><style>s{}</style><p>no body tag", "no body tag"),
+    ("<html><head><title>t</title><script>s</script></head><body>b</body></html>", "b"),
+    ("<head><title>never closed<body><p>text", "text"),
     ("<main><div role=navigation>n</div><p hidden>h</p><p>k</p></main>", "k"),
 ])
 def test_main_text(page, want):
