@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import decontam, html_extract, imatch, langid, mixing, neardup, pii, quality, secrets, toxicity
+from tillwatch.llm import (
+    decontam, html_extract, imatch, langid, mixing, neardup, phrases, pii, quality, secrets, simhash, toxicity, whitening,
+)
 from tillwatch.llm.common import remainder, spans_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +109,21 @@ def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "site_prior",
                          (F.col("score") >= 0.5).alias("keep"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the leading components of their covariance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in at most three bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
