@@ -120,7 +120,9 @@ def test_growing_finds_all_longer_phrases_of_known_ones(seed):
             if 0 not in p:
                 place[p] = i
         known = [p for p in sorted(place) if rng.random() < 0.8]
-        begin, end, number, at = phrases.grown(seq, np.array([place[p] for p in known]), size)
+        names, places, patterns = phrases.narrowed(seq, np.array(known).reshape(-1, size - 1))
+        begin, end, number, at = phrases.grown(names, patterns)
+        at = places[at]
         want = Counter(tuple(text[i:i + size]) for i in range(len(text) - size + 1))
         want = {p: c for p, c in want.items() if 0 not in p and p[:-1] in known and p[1:] in known}
         assert {tuple(text[a:a + size]): c for a, c in zip(at.tolist(), number.tolist(), strict=True)} == want

@@ -100,6 +100,7 @@ def document_counts(docs: DataFrame, terms: np.ndarray, text: str) -> tuple[np.n
     ship(docs.sparkSession)
     sums = docs.select(text).mapInPandas(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     found = np.zeros(len(terms) + 1, np.int64)
+    shared.destroy()
     for row in sums:
         found[row["term"]] = row["n"]
     return found[:-1], int(found[-1])
@@ -146,6 +147,7 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
         fresh = np.zeros_like(basis)
         for row in added.toLocalIterator():
             fresh[row["term"]] = row["sums"]
+        shared.destroy()
         image, basis = basis.T @ fresh, fresh  # the space's own quadratic form, then its image
     basis, _ = np.linalg.qr(basis)
     values, turned = np.linalg.eigh((image + image.T) / 2)
@@ -328,7 +330,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
             every: list[dict[int, float]] = [{} for _ in texts]
             for index in indexes:
                 for own, more in zip(every, leaks(index.value, texts), strict=True):
-                    own.update(more)
+                    for item, share in more.items():  # an item's passages may lie in two blocks
+                        own[item] = max(own.get(item, 0.0), share)
             yield part.assign(**{items_name: [sorted(e) for e in every], share_name: [max(e.values(), default=0.0) for e in every]})
 
     ship(spark)

@@ -119,11 +119,11 @@ def plan(docs: DataFrame, entropy_share: float | None = 0.95, repeat_limit: floa
 
     columns = [F.col("id").alias(key), F.col("src").alias(source), "tokens", "epoch", "block", "block_key", "doc_key"]
     whole = keyed(placed.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1))))
-    last = keyed(placed.where("rest > 0").withColumn("epoch", F.col("whole")))
+    last = keyed(placed.where("rest > 0 and tokens > 0").withColumn("epoch", F.col("whole")))
     before = blocks_before(last)
     inside = Window.partitionBy("src", "block").orderBy("doc_key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     cut = last.join(before.withColumnRenamed("src", "s").withColumnRenamed("block", "b"), F.col("src").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    cut = cut.where("before < rest").withColumn("used", F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))).where("used < rest and tokens > 0")
+    cut = cut.where("before < rest").withColumn("used", F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))).where("used < rest")
     return whole.select(*columns).unionByName(cut.select(*columns))
 
 

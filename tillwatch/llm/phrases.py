@@ -30,7 +30,9 @@ from pyspark.sql import types as T
 
 from tillwatch.llm.common import ship, struct_of, written
 
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 22
+#: Rows of the index that one numpy pass looks at.
+ROWS = 1 << 20
 LONGEST, LEAST, TOP = 5, 100, 2000
 NO_LANG = "und"
 _LOWER = bytearray(range(256))
@@ -115,20 +117,24 @@ class Index:
         # ranks of the first `have` symbols, doubled or moved on until they cover the depth
         ranks, have = [(1, seq)], 1
         order = np.argsort(seq) if depth == 1 else seq
+        top = int(seq.max()) + 1
         while have < depth:
             width, tail = ranks[-1] if have + ranks[-1][0] <= depth else next(r for r in reversed(ranks) if have + r[0] <= depth)
-            after = np.zeros(n, dtype=np.int64)
-            after[:n - have] = tail[have:]
-            key = ranks[-1][1] * (int(tail.max()) + 1) + after
+            key = ranks[-1][1] * top
+            key[:n - have] += tail[have:]
             order = np.argsort(key)
-            ordered = key[order]
-            rank = np.empty(n, dtype=np.int64)
-            rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
             have += width
-            ranks.append((have, rank))
-        self.suffixes = order
-        self.last = seq[order - 1]  # the BWT: the symbol before each suffix
-        self.keys = np.sort(self.last * (n + 1) + np.arange(n))
+            if have < depth:
+                key = key[order]
+                rank = np.empty(n, dtype=np.int64)
+                rank[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
+                ranks.append((have, rank))
+                top = max(top, int(rank.max()) + 1)
+        del ranks
+        self.suffixes = order.astype(np.int32)
+        self.last = seq[self.suffixes - 1].astype(np.int32)  # the BWT: the symbol before each suffix
+        self.keys = self.last * np.int64(n + 1) + np.arange(n)
+        self.keys.sort()
 
     def before(self, symbols: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """LF: the first row of the suffixes that put ``symbols`` before the suffixes from ``rows`` on."""
@@ -147,15 +153,25 @@ class Index:
         The last one tells how far the interval in the other direction's index moves.
         """
         sizes = high - low
-        owner = np.repeat(np.arange(len(low)), sizes)
-        rows = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[owner]
-        found, counts = np.unique(owner * self.base + self.last[rows], return_counts=True)
-        owner, symbol = found // self.base, found % self.base
-        running = np.cumsum(counts) - counts
+        ends = np.cumsum(sizes)
+        found, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        at = 0
+        while at < len(low):  # whole intervals, of about ROWS rows together
+            stop = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + ROWS, side="right")), at + 1)
+            size = sizes[at:stop]
+            owner = np.repeat(np.arange(at, stop), size)
+            rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + low[owner]
+            one, many = np.unique(owner * self.base + self.last[rows], return_counts=True)
+            found.append(one)
+            counts.append(many)
+            at = stop
+        pairs, number = np.concatenate(found), np.concatenate(counts)
+        owner, symbol = pairs // self.base, pairs % self.base
+        running = np.cumsum(number) - number
         begins = np.searchsorted(owner, np.arange(len(low)))
         smaller = running - running[begins[owner]]
         real = symbol > 0
-        return owner[real], symbol[real], counts[real], smaller[real]
+        return owner[real], symbol[real], number[real], smaller[real]
 
 
 def covered(seq: np.ndarray, patterns: np.ndarray) -> np.ndarray:
@@ -182,30 +198,33 @@ def covered(seq: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     return out
 
 
-def grown(seq: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The phrases of ``size`` words that begin and end with a known one of a word less.
+def narrowed(seq: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the patterns cover: its symbols without holes in their numbers, their places, the patterns in these symbols.
 
-    ``at`` has one place of each known phrase. The result has the known phrases that each longer one begins and
-    ends with, its count, and one place of it.
+    Dropped words leave a gap, one symbol however many they are. Both directions end in a gap.
     """
-    at = np.asarray(at, dtype=np.int64)
-    patterns = seq[at[:, None] + np.arange(size - 1)]
     kept = covered(seq, patterns)
-    # dropped words leave a gap, one symbol however many they are
-    gaps = ~kept & np.concatenate(([True], kept[:-1]))
-    places = np.flatnonzero(kept | gaps)
-    # both directions end in a gap
-    short = np.concatenate(([0], np.where(kept, seq, 0)[places], [0]))
-    places = np.concatenate(([-1], places, [len(seq)]))
+    places = np.flatnonzero(kept | (~kept & np.concatenate(([True], kept[:-1]))))
+    short = np.concatenate(([0], np.where(kept[places], seq[places], 0), [0]))
     used = np.zeros(int(seq.max()) + 1, dtype=np.int64)
     used[short] = 1
-    number_of = np.cumsum(used) - 1  # symbols without holes; 0 stays 0
-    names, patterns = number_of[short], number_of[patterns]
-    forward, backward = Index(names, size), Index(names[::-1].copy(), size)
-    low, high = forward.search(patterns)
-    low_back, high_back = backward.search(patterns[:, ::-1])
+    number_of = np.cumsum(used) - 1
+    return number_of[short], np.concatenate(([-1], places, [len(seq)])), number_of[patterns]
+
+
+def grown(names: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The phrases that begin and end with a known one of a word less.
+
+    The result has the known phrases that each longer one begins and ends with, its count, and one place of it.
+    """
+    size = patterns.shape[1] + 1
+    backward = Index(names[::-1].copy(), size)
+    low, high = backward.search(patterns[:, ::-1])
     # to the right: the reverse's interval grows in front, and the forward one moves by the smaller symbols
-    begin, _, number, smaller = backward.extended(low_back, high_back)
+    begin, _, number, smaller = backward.extended(low, high)
+    del backward
+    forward = Index(names, size)
+    low, high = forward.search(patterns)
     right_low = low[begin] + smaller
     # to the left: the forward interval itself
     end, symbol, _, _ = forward.extended(low, high)
@@ -215,43 +234,45 @@ def grown(seq: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.nd
     order = np.argsort(left_low)
     place = np.minimum(np.searchsorted(left_low[order], right_low), len(order) - 1)
     both = left_low[order][place] == right_low
-    return begin[both], end[order][place[both]], number[both], places[forward.suffixes[right_low[both]]]
+    return begin[both], end[order][place[both]], number[both], forward.suffixes[right_low[both]]
 
 
-def longer(base: DataFrame, marks: DataFrame, size: int) -> DataFrame:
-    """(shard, at, head, tail, n): each shard's phrases of ``size`` words; ``marks`` (shard, at, id) has the known ones."""
-    schema = struct_of(("shard", T.LongType()), ("at", T.LongType()), ("head", T.LongType()), ("tail", T.LongType()), ("n", T.LongType()))
+def longer(base: DataFrame, marks: DataFrame, size: int, slim: bool) -> DataFrame:
+    """(shard, at, head, tail, n, words): each shard's phrases of ``size`` words; ``marks`` (shard, at, id) has the known ones.
+
+    With ``slim`` a row per shard with ``words`` has what the known phrases cover, and places refer to that.
+    """
+    schema = struct_of(("shard", T.LongType()), ("at", T.LongType()), ("head", T.LongType()), ("tail", T.LongType()), ("n", T.LongType()),
+                       ("words", T.BinaryType()))
 
     def run(shard: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(known) or not len(shard):
-            return pd.DataFrame({name: pd.Series(dtype="int64") for name in schema.names})
-        ids = known["id"].to_numpy()
+            return pd.DataFrame({name: [] for name in schema.names})
+        ids, at = known["id"].to_numpy(), known["at"].to_numpy()
         seq = unpacked(shard["words"].iloc[0])
-        at = known["at"].to_numpy() if size > 2 else first_places(seq, known["at"].to_numpy())
-        begin, end, number, place = grown(seq, at, size)
-        return pd.DataFrame({"shard": shard["shard"].iloc[0], "at": place, "head": ids[begin], "tail": ids[end], "n": number})
+        patterns = at[:, None] if size == 2 else seq[at[:, None] + np.arange(size - 1)]
+        names, places, patterns = narrowed(seq, patterns)
+        begin, end, number, place = grown(names, patterns)
+        out = pd.DataFrame({"shard": shard["shard"].iloc[0], "at": place if slim else places[place], "head": ids[begin], "tail": ids[end],
+                            "n": number, "words": None})
+        if slim:
+            out.loc[len(out)] = {"shard": shard["shard"].iloc[0], "at": 0, "head": 0, "tail": 0, "n": 0, "words": packed(names)}
+        return out
 
     return base.select("shard", "words").groupBy("shard").cogroup(marks.groupBy("shard")).applyInPandas(run, schema)
 
 
-def first_places(seq: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """One place of each word id."""
-    places = np.zeros(int(seq.max()) + 1, dtype=np.int64)
-    places[seq] = np.arange(len(seq))
-    return places[words]
-
+def frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
+    """The rows whose counts sum to ``least`` over all shards, written with that sum ``f`` and a number ``id`` of the key.
 
-def frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The rows whose counts sum to ``least`` over all shards, with that sum ``f``.
-
-    A key has one row per shard at most, and only those rows meet.
+    A key has one row per shard at most, and only those rows meet. Its id is the place of its first row in the
+    sorted task, so it holds for all its rows without a join; ``first`` marks one row per key.
     """
-    return rows.withColumn("f", F.sum("n").over(Window.partitionBy(*keys))).where(F.col("f") >= least)
-
-
-def numbered(grams: DataFrame, name: str) -> DataFrame:
-    """``grams`` with an ``id`` that is the same wherever it is read: it is written with the rows."""
-    return written(grams.withColumn("id", F.monotonically_increasing_id()), name)
+    same = Window.partitionBy(*keys)
+    summed = rows.withColumn("f", F.sum("n").over(same)).where(F.col("f") >= least)
+    placed = summed.withColumn("place", F.monotonically_increasing_id())
+    return written(placed.withColumn("id", F.min("place").over(same)).select(
+        "*", (F.col("place") == F.col("id")).alias("first")).drop("place", "n"), name)
 
 
 def counted(docs: DataFrame, text: str, lang: str, longest: int, least: int, shard_words: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -263,20 +284,24 @@ def counted(docs: DataFrame, text: str, lang: str, longest: int, least: int, sha
     base = written(shards(docs, text, lang, shard_words), "phrase-shards")
     words = base.select("shard", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("place", "w")).select(
         "shard", (F.col("place") + 1).cast("long").alias("at"), "w.lang", "w.word", "w.n")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("words"))
-    hits = written(frequent(words, ["lang", "word"], least), "phrase-words")
-    grams = numbered(hits.groupBy("lang", "word").agg(F.max("f").alias("f")).select(
-        "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases-1")
-    marks = hits.join(grams.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"]).select("shard", "at", "id")
+    totals = base.select(F.explode(F.arrays_zip("lang", "n")).alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("words"))
+    hits = frequent(words, ["lang", "word"], least, "phrase-words")
+    grams = hits.where("first").select(
+        "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     found = [grams]
     for size in range(2, longest + 1):
-        hits = written(frequent(longer(base, marks, size), ["head", "tail"], least), f"phrase-hits-{size}")
+        # the first round keeps nearly all words; from the next one on shards shrink
+        slim = 2 < size < longest
+        more = longer(base, hits.select("shard", "at", "id"), size, slim)
+        if slim:
+            more = written(more, f"phrase-rounds-{size}")
+            base = more.where("words is not null")
+        hits = frequent(more.where("words is null").drop("words"), ["head", "tail"], least, f"phrase-hits-{size}")
         heads = grams.select(F.col("id").alias("head"), "lang", "phrase", F.col("heads").alias("before"))
         tails = grams.select(F.col("id").alias("tail"), "last", F.col("tails").alias("after"))
-        grams = numbered(hits.groupBy("head", "tail").agg(F.max("f").alias("f")).join(heads, "head").join(tails, "tail").select(
-            "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", F.concat("before", F.array("f")).alias("heads"),
+        grams = written(hits.where("first").select("id", "head", "tail", "f").join(heads, "head").join(tails, "tail").select(
+            "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", F.concat("before", F.array("f")).alias("heads"),
             F.concat("after", F.array("f")).alias("tails"), "head", "tail"), f"phrases-{size}")
-        marks = hits.join(grams.select("head", "tail", "id"), ["head", "tail"]).select("shard", "at", "id")
         found.append(grams)
     return totals, found
 

@@ -141,10 +141,11 @@ def redact(docs: DataFrame, reach: int = REACH, text: str = "text", mark: str =
     marked = written(candidates(docs, text, free_name(docs.columns, "found")).withColumn(number, F.monotonically_increasing_id()), "secret-texts")
     found = marked.columns[len(docs.columns)]
     spans = marked.where(F.size(found) > 0).select(F.col(number).alias("row"), F.explode(found).alias("s")).select("row", "s.kind", "s.start", "s.stop")
-    added = linked(spans, "row", reach).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("__added"))
+    linked_name = free_name(marked.columns, "linked")
+    added = linked(spans, "row", reach).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "stop")).alias(linked_name))
     joined = marked.join(added.withColumnRenamed("row", number), number, "left")
-    every = F.concat(F.filter(found, lambda s: s["kind"] < 3), F.coalesce("__added", F.array().cast(T.ArrayType(_SPAN))))
-    joined = joined.withColumn(found, F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))).drop("__added", number)
+    every = F.concat(F.filter(found, lambda s: s["kind"] < 3), F.coalesce(linked_name, F.array().cast(T.ArrayType(_SPAN))))
+    joined = joined.withColumn(found, F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))).drop(linked_name, number)
     cut = F.aggregate(
         F.col(found), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
