@@ -1,0 +1,124 @@
+"""Newest-first search: equal to reading everything, and how much it reads."""
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import AS_OF, at, rows
+from test_plans import plan, scans
+from tillwatch.operators import detail
+from tillwatch.operators.newest import Newest, answers_since, newest_rows
+
+FACT = "id long, request_id string, create_date ts, vendor_name string, status string"
+LOG = "id long, request_id string, create_date ts, request string, response string"
+HOUR = timedelta(hours=1)
+
+
+def read_slices(monkeypatch):
+    """Conditions of the slices that a search has read."""
+    seen = []
+    slices = Newest.slices
+
+    def noted(self):
+        for held, lower in slices(self):
+            seen.append((str(held), lower))
+            yield held, lower
+
+    monkeypatch.setattr(Newest, "slices", noted)
+    return seen
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_equals_reading_everything(frame, seed):
+    """Ids follow the time up to the slack; vendors differ in how far back they lie."""
+    rng = random.Random(seed)
+    times = sorted(AS_OF - timedelta(minutes=rng.choice((rng.uniform(0, 300), rng.uniform(0, 90_000)))) for _ in range(300))
+    order = sorted(range(300), key=lambda k: times[k] + timedelta(minutes=rng.uniform(0, 59)))
+    data = []
+    for id, k in enumerate(order):
+        old = times[k] < AS_OF - timedelta(days=20)
+        data.append((id, f"r{k}", times[k], rng.choice("AB") if rng.random() < 0.9 and not old else rng.choice("ABCD"),
+                     rng.choice(("SUCCESS", "FAILED"))))
+    fact = frame(FACT, data)
+    good = F.col("status") == "SUCCESS"
+    wanted = ("A", "B", "C", "D", "NONE")
+    found = newest_rows(fact, ["request_id"], Newest(AS_OF, first=HOUR, growth=3, steps=4), where=good, key="vendor_name", wanted=wanted)
+    full = {}
+    for id, request, _, vendor, status in data:
+        if status == "SUCCESS":
+            full[vendor] = (id, request)
+    assert {k: (f.order, f.row["request_id"]) for k, f in found.items()} == full
+
+
+def test_only_the_first_slice_is_read_when_all_are_found(frame, monkeypatch):
+    seen = read_slices(monkeypatch)
+    fact = frame(FACT, [(k, f"r{k}", AS_OF - k * HOUR * 0.1, "AB"[k % 2], "SUCCESS") for k in range(9)])
+    found = newest_rows(fact, ["request_id"], Newest(AS_OF), key="vendor_name", wanted=("A", "B"))
+    assert len(seen) == 1 and len(found) == 2
+
+
+def test_a_hit_near_the_edge_of_a_slice_is_not_yet_proven(frame, monkeypatch):
+    """A row just before the slice has the larger id: the search goes on until no such row can be left."""
+    seen = read_slices(monkeypatch)
+    fact = frame(FACT, [(5, "inside", AS_OF - timedelta(minutes=110), "A", "SUCCESS"),
+                        (6, "before", AS_OF - timedelta(minutes=130), "A", "SUCCESS")])
+    found = newest_rows(fact, ["request_id"], Newest(AS_OF, first=2 * HOUR, slack=HOUR), key="vendor_name", wanted=("A",))
+    assert found["A"].row["request_id"] == "before" and len(seen) == 2
+
+
+def test_far_back_without_time_and_absent(frame, monkeypatch):
+    seen = read_slices(monkeypatch)
+    fact = frame(FACT, [(1, "old", at("1999-01-01 00:00:00"), "A", "SUCCESS"), (2, "untimed", None, "B", "SUCCESS"),
+                        (None, "unnumbered", AS_OF, "A", "SUCCESS")])
+    found = newest_rows(fact, ["request_id"], Newest(AS_OF, steps=3), key="vendor_name", wanted=("A", "B", "C"))
+    assert {k: f.row["request_id"] for k, f in found.items()} == {"A": "old", "B": "untimed"}
+    assert len(seen) == 4 and seen[-1][1] is None
+    assert newest_rows(fact.limit(0), ["request_id"], Newest(AS_OF), key="vendor_name", wanted=("A",)) == {}
+
+
+def tables(frame, days):
+    """Two vendors; the second one's latest success lies ``days`` back and was answered twice."""
+    back = AS_OF - timedelta(days=days)
+    fact = frame(FACT, [(1, "x", back - HOUR, "V1", "SUCCESS"), (2, "b", back, "V2", "SUCCESS"),
+                        (3, "a", AS_OF - HOUR * 0.5, "V1", "SUCCESS"), (4, "c", AS_OF, "V2", "FAILED")])
+    say = "Your new balance is {} TAKA."
+    log = frame(LOG, [(1, "x", back, "top", say.format(1)), (2, "b", back, "top", say.format(2)), (3, "b", back + HOUR, "top", say.format(3)),
+                      (4, "a", AS_OF, "top", say.format(4)), (5, "c", AS_OF, "top", say.format(5)), (6, "a", AS_OF, "other", say.format(6))])
+    return fact, log
+
+
+@pytest.mark.parametrize("days", [0, 3, 400, 9000])
+def test_balances_equal_those_of_all_history(frame, days):
+    fact, log = tables(frame, days)
+    vendors = {"one": "V1", "two": "V2"}
+    found = [rows(detail.latest_marked_balances(fact, log, vendors, "%top%", search=s)) for s in (None, Newest(AS_OF))]
+    assert found[0] == found[1] == [("top", "4", "top", "3")]
+    found = [rows(detail.guarded_json_balance(fact, log, "V2", "%TOP%", search=s)) for s in (None, Newest(AS_OF))]
+    assert found[0] == found[1] and len(found[0]) == 2
+    assert rows(detail.latest_marked_balances(fact, log, vendors | {"three": "V3"}, "%top%", search=Newest(AS_OF))) == []
+
+
+def test_json_balance_equals_that_of_all_history(frame):
+    log = frame(LOG, [(1, "a", AS_OF - timedelta(days=90), "ask requestDateTime=20240101120000", '{"merchantBalance": "12345.6"}'),
+                      (2, "a", AS_OF, "ask", "no object"), (3, "a", AS_OF, "other", "{}")])
+    found = [rows(detail.latest_json_balance(log, "%ASK%", search=s)) for s in (None, Newest(AS_OF))]
+    assert found[0] == found[1] == [("ask requestDateTime=20240101120000", "2024/01/01 12:00:00", "12,346")]
+    assert rows(detail.latest_json_balance(log, "%nobody%", search=Newest(AS_OF))) == []
+
+
+def test_ids_and_time_of_the_requests_reach_the_scan_of_the_log(frame, tmp_path, spark):
+    for name, df in zip(("fact", "log"), tables(frame, 3), strict=True):
+        df.write.parquet(str(tmp_path / name))
+    fact, log = (spark.read.parquet(str(tmp_path / name)) for name in ("fact", "log"))
+    report = detail.latest_marked_balances(fact, log, {"one": "V1", "two": "V2"}, "%top%", search=Newest(AS_OF))
+    (_, pushed), = scans(report)
+    assert "In(request_id, [a,b])" in pushed and "GreaterThanOrEqual(create_date,2024-03-28T17:30)" in pushed
+    assert "Join" not in plan(report)
+
+
+def test_answers_of_an_untimed_request_are_searched_everywhere(frame):
+    fact, log = tables(frame, 1)
+    found = newest_rows(fact.withColumn("create_date", F.lit(None).cast("timestamp_ntz")), ["request_id"], Newest(AS_OF), key="vendor_name", wanted=("V1",))
+    assert answers_since(log, list(found.values()), Newest(AS_OF)) is log

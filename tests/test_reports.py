@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import AS_OF, cash, rows
 from tillwatch.sources import reports
-from tillwatch.sources.tables import CatalogTable, FileTable, JdbcSplit, JdbcTable, Tables, read_table
+from tillwatch.sources.tables import CatalogTable, FileTable, JdbcCuts, JdbcSplit, JdbcTable, Tables, quantile_cuts, read_table
 
 
 @pytest.fixture
@@ -140,3 +140,35 @@ def test_jdbc_options_split_the_table():
     assert "password" not in repr(table)
     mysql = JdbcTable("jdbc:mysql://host/db", "messages").options()
     assert mysql["useCursorFetch"] == "true" and "partitionColumn" not in mysql
+
+
+def test_a_read_report_keeps_its_order_over_several_files(spark, tmp_path):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("n"), F.lit("x").alias("label"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        reports.publish(df, "sorted", str(tmp_path), order=[F.desc("n")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    found = reports.read_report(spark, "sorted", str(tmp_path))
+    assert len(list((tmp_path / "sorted" / "versions").glob("*/part-*"))) > 2
+    assert found.columns == ["n", "label"] and [r.n for r in found.collect()] == list(range(4999, -1, -1))
+    assert reports.publish(df.limit(0), "zero", str(tmp_path), order=["n"], on_empty="zero_row") == 1
+    assert [tuple(r) for r in reports.read_report(spark, "zero", str(tmp_path)).collect()] == [(0, "0")]
+
+
+def test_cuts_of_skewed_ids_fill_the_parts_evenly(spark):
+    skewed = spark.range(20_000).select(F.when(F.col("id") < 15_000, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("id"))
+    cuts = quantile_cuts(skewed, "id", 8)
+    conditions = cuts.conditions()
+    counts = [skewed.filter(c).count() for c in conditions]
+    assert len(conditions) == 8 and sum(counts) == 20_000 and max(counts) < 1.1 * 2500
+    hot = spark.range(900).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("id")).unionByName(spark.sql("select cast(null as long) id"))
+    conditions = quantile_cuts(hot, "id", 6).conditions()
+    assert [hot.filter(c).count() > 0 for c in conditions] == [True] * len(conditions)
+    assert sum(hot.filter(c).count() for c in conditions) == 901
+    assert quantile_cuts(hot, "id", 1).conditions() == quantile_cuts(hot.limit(0), "id", 5).conditions() == ["1 = 1"]
+    times = JdbcCuts("at", [datetime(2024, 1, 2), datetime(2024, 1, 1)])
+    assert times.conditions()[1] == "at >= '2024-01-01 00:00:00' AND at < '2024-01-02 00:00:00'"
+    table = JdbcTable("jdbc:postgresql://host/db", "public.log", cuts)
+    assert "partitionColumn" not in table.options()

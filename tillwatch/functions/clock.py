@@ -66,17 +66,15 @@ class Span:
         newest = as_of - lag
         return replace(self, upto=newest if self.upto is None else min(self.upto, newest))
 
+    def edges(self) -> tuple[datetime | None, datetime | None]:
+        """The lowest and the highest bound, whether the span holds them or not."""
+        low = self.start if self.after is None else max(self.start or self.after, self.after)
+        ends = [end for end in (self.before, self.upto) if end is not None]
+        return low, min(ends) if ends else None
+
     def hull(self, other: Span) -> Span:
         """One span around both, to read two overlapping spans in a single scan."""
-
-        def lowest(span: Span) -> datetime | None:
-            return span.start if span.after is None else max(span.start or span.after, span.after)
-
-        def highest(span: Span) -> datetime | None:
-            ends = [end for end in (span.before, span.upto) if end is not None]
-            return min(ends) if ends else None
-
-        lows, highs = (lowest(self), lowest(other)), (highest(self), highest(other))
+        lows, highs = zip(self.edges(), other.edges(), strict=True)
         return Span(
             start=None if None in lows else min(lows),
             upto=None if None in highs else max(highs),
@@ -169,3 +167,39 @@ def bucket_text(bucket: str, ts: str | Column, shift: timedelta = NO_SHIFT) -> C
     """The label of one row, for reports that list rows instead of grouping them."""
     rule = BUCKETS[bucket]
     return rule.label(rule.key(moved(ts, shift)))
+
+
+def text_may_lie_in(text: str | Column, span: Span, most: int = 70) -> Column:
+    """Plain comparisons that every text of a time in ``span`` meets; texts that meet them still have to be read.
+
+    Texts that start with the year sort by it, so each day (in longer spans month or year) is a range of texts, with
+    and without leading zeros. Texts that start otherwise (blanks, a sign, more zeros) may be any time and are all
+    let through; they sort before ``1`` or after the digits. Such comparisons are pushed into the file scan.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    low, high = span.edges()
+    if low is None or high is None or high < low or high.year > 9999 or low.year < 1000:
+        return F.lit(True)
+    ranges: list[tuple[str, str]] = []
+    if (high - low) / DAY <= most:
+        for n in range((midnight(high) - midnight(low)) // DAY + 1):
+            day = midnight(low) + n * DAY
+            for month in {f"{day.month:02d}", str(day.month)}:
+                ranges += [_texts_from(f"{day.year}-{month}-{number}") for number in {f"{day.day:02d}", str(day.day)}]
+                if day.day == 1:  # a month alone is its first day, and a year alone too
+                    ranges.append((f"{day.year}-{month}", f"{day.year}-{month}-"))
+            if day.day == day.month == 1:
+                ranges.append((f"{day.year}", f"{day.year}-"))
+    else:
+        ranges = [_texts_from(f"{year}") for year in range(low.year, high.year + 1)]
+    held = (column < F.lit("1")) | (column >= F.lit("\x7f"))
+    reached = ""
+    for first, below in sorted(ranges):
+        if below > reached:
+            held, reached = held | ((column >= F.lit(first)) & (column < F.lit(below))), below
+    return held
+
+
+def _texts_from(prefix: str) -> tuple[str, str]:
+    """The first text with the prefix, and the first one after all of them."""
+    return prefix, prefix[:-1] + chr(ord(prefix[-1]) + 1)

@@ -22,7 +22,7 @@ from tillwatch.functions.classify import (
     wallet_status,
     with_suffix,
 )
-from tillwatch.functions.clock import BUCKETS, EVER, NO_SHIFT, Span, moved
+from tillwatch.functions.clock import BUCKETS, EVER, NO_SHIFT, Span, moved, text_may_lie_in
 from tillwatch.functions.numbers import money, percent, rows_where
 from tillwatch.functions.text import concat_skip_null
 
@@ -259,6 +259,11 @@ def cohort_with_entity_total(
         fact, span, "day", dims=(entity, "status"), where=F.col(entity).isNotNull(), ts=ts,
         counted="status",
     )
+    return entity_totals(daily, entity)
+
+
+def entity_totals(daily: DataFrame, entity: str) -> DataFrame:
+    """(day, entity, status, txn_count, total_amount) with the entity's total in its label."""
     total = F.sum("total_amount").over(Window.partitionBy(entity))
     label = with_suffix(F.col(entity), F.concat(F.lit("Total: "), total.cast("string")))
     return daily.select("day", label.alias(entity), "status", "txn_count", "total_amount")
@@ -343,11 +348,14 @@ def cashback_cohort(
 ) -> DataFrame:
     """Cashback records by the time in a text column; a text that is no time has no bucket.
 
-    The monthly forms are bucketed by the text time but ranged by the real creation time.
+    The monthly forms are bucketed by the text time but ranged by the real creation time. A range of the text time is
+    also one of texts, which the scan can skip by; only what it lets through is read as a time.
     """
     read = cashback.withColumn("text_time", F.col(at).try_cast("timestamp_ntz"))
-    ranged = "text_time" if range_on == at else range_on
-    rows = read.filter(span.covers(ranged))
+    if range_on == at:
+        rows = read.filter(text_may_lie_in(at, span) & span.covers("text_time"))
+    else:
+        rows = read.filter(span.covers(range_on))
     dims = ["txn_status"]
     if only_failed:
         rows = rows.filter(F.col("txn_status") == "FAILED")

@@ -11,6 +11,7 @@ from tillwatch.functions import fixed_values as fixed
 from tillwatch.functions.classify import wallet_status
 from tillwatch.functions.clock import BUCKETS, Span, bucket_text, instant
 from tillwatch.functions.text import between_markers, extract, grouped_digits, looks_like_object
+from tillwatch.operators.newest import Found, Newest, answers_since, newest_rows
 
 
 def as_of_stamp(spark: SparkSession, as_of: datetime) -> DataFrame:
@@ -68,18 +69,45 @@ def txn_detail(
     )
 
 
+def _succeeded(where: Column | None) -> Column:
+    good = F.col("status") == "SUCCESS"
+    return good if where is None else good & where
+
+
 def _latest_success(fact: DataFrame, vendors: Sequence[str], where: Column | None) -> DataFrame:
     """The request id of each listed vendor's latest success."""
-    good = fact.filter((F.col("status") == "SUCCESS") & F.col("vendor_name").isin(*vendors))
-    if where is not None:
-        good = good.filter(where)
+    good = fact.filter(_succeeded(where) & F.col("vendor_name").isin(*vendors))
     latest = F.max_by(F.col("request_id").cast("string"), "id").alias("request_id")
     return good.groupBy("vendor_name").agg(latest)
 
 
-def _answers_to(latest: DataFrame, log: DataFrame, request_like: Column) -> DataFrame:
-    """Log rows of these requests. There is one request per listed vendor, so they are broadcast."""
-    return log.filter(request_like).join(F.broadcast(latest), "request_id")
+def _found_success(
+    fact: DataFrame, vendors: Sequence[str], where: Column | None, search: Newest
+) -> dict[str, Found]:
+    """Each listed vendor's latest success, searched from the newest rows on."""
+    return newest_rows(
+        fact, ["request_id"], search, where=_succeeded(where), key="vendor_name", wanted=vendors
+    )
+
+
+def _answers(
+    fact: DataFrame, log: DataFrame, vendors: Sequence[str], where: Column | None,
+    request_like: Column, search: Newest | None, log_ts: str,
+) -> DataFrame:
+    """Log rows that answer the vendors' latest successes, with ``vendor_name``.
+
+    Without a search all history is read and the requests, one per listed vendor, are broadcast. With one
+    the requests are known beforehand: their ids and their time are conditions of the log's scan.
+    """
+    if search is None:
+        latest = _latest_success(fact, vendors, where)
+        return log.filter(request_like).join(F.broadcast(latest), "request_id")
+    found = _found_success(fact, vendors, where, search)
+    ids = {vendor: f.row["request_id"] for vendor, f in found.items() if f.row["request_id"] is not None}
+    since = answers_since(log, list(found.values()), search, log_ts)
+    asked = [F.when(F.col("request_id") == id, F.lit(vendor)) for vendor, id in ids.items()]
+    vendor = F.explode(F.array_compact(F.array(*asked, F.lit(None).cast("string"))))
+    return since.filter(F.col("request_id").isin(*ids.values()) & request_like).withColumn("vendor_name", vendor)
 
 
 def latest_marked_balances(
@@ -90,14 +118,17 @@ def latest_marked_balances(
     *,
     before: str = fixed.BALANCE_BEFORE,
     after: str = fixed.BALANCE_AFTER,
+    search: Newest | None = None,
+    log_ts: str = "create_date",
 ) -> DataFrame:
     """Balances that vendors reported with their latest success, side by side in one row.
 
     No row unless every vendor has an answer; of several answers to one request the newest counts.
-    ``vendors`` maps an output name to the vendor.
+    ``vendors`` maps an output name to the vendor. With ``search`` the successes are looked for newest first.
     """
-    latest = _latest_success(fact, tuple(vendors.values()), None)
-    answers = _answers_to(latest, log, F.col("request").like(request_marker))
+    answers = _answers(
+        fact, log, tuple(vendors.values()), None, F.col("request").like(request_marker), search, log_ts
+    )
     balance = between_markers(F.col("response"), before, after)
     cells = []
     for name, vendor in vendors.items():
@@ -119,12 +150,21 @@ def latest_json_balance(
     balance_path: str = "$.merchantBalance",
     time_pattern: str = fixed.REQUEST_TIME_FIELD,
     order: str = "id",
+    search: Newest | None = None,
 ) -> DataFrame:
-    """The balance in the latest JSON answer of a provider, and the time named in its request."""
-    answers = log.filter(
-        F.ilike("request", F.lit(request_marker)) & looks_like_object(F.col("response"))
-    )
-    latest = answers.orderBy(F.desc(order)).limit(1)
+    """The balance in the latest JSON answer of a provider, and the time named in its request.
+
+    With ``search`` the answer is looked for newest first, and its row is read again by its number and time alone.
+    """
+    wanted = F.ilike("request", F.lit(request_marker)) & looks_like_object(F.col("response"))
+    if search is not None:
+        found = newest_rows(log, [order], search, where=wanted, order=order).get(None)
+        if found is None:
+            log = log.filter(F.lit(False))
+        else:
+            at = F.col(search.ts).isNull() if found.ts is None else F.col(search.ts) == instant(found.ts)
+            log = log.filter((F.col(order) == found.order) & at)
+    latest = log.filter(wanted).orderBy(F.desc(order)).limit(1)
     asked_at = F.try_to_timestamp(extract(F.col("request"), time_pattern), F.lit("yyyyMMddHHmmss"))
     balance = F.get_json_object("response", balance_path).try_cast("decimal(38,2)")
     return latest.select(
@@ -142,10 +182,12 @@ def guarded_json_balance(
     *,
     where: Column | None = None,
     balance_path: str = "$.new_balance",
+    search: Newest | None = None,
+    log_ts: str = "create_date",
 ) -> DataFrame:
     """The balance in the answer to a vendor's latest success, or a fixed text if it holds none."""
-    latest = _latest_success(fact, (vendor,), where)
-    answers = _answers_to(latest, log, F.ilike("request", F.lit(request_marker)))
+    like = F.ilike("request", F.lit(request_marker))
+    answers = _answers(fact, log, (vendor,), where, like, search, log_ts)
     response = F.col("response")
     balance = F.get_json_object(response, balance_path).try_cast("decimal(38,2)")
     shown = F.when(looks_like_object(response), grouped_digits(balance))

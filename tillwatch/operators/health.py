@@ -40,14 +40,7 @@ def threshold_vs_today(
     moves the judged day back and ends the baseline with that day, instead of ``lag`` before now.
     """
     today_bad = baseline_bad if today_bad is None else today_bad
-    oldest = Span(start=as_of - timedelta(weeks=weeks))
-    judged = days_back(as_of, day_lag)
-    if day_lag:
-        baseline = Span(start=oldest.start, before=judged.before)
-    else:
-        baseline = oldest.settled(as_of, lag)
-        judged = judged.settled(as_of, lag)
-
+    baseline, judged = baseline_and_judged(as_of, weeks, lag, day_lag)
     in_baseline = baseline.covers(ts, shift) & baseline_bad
     in_today = judged.covers(ts, shift) & today_bad
     at = moved(ts, shift)
@@ -58,6 +51,21 @@ def threshold_vs_today(
         .groupBy(hour.key(at).alias("key_hour"), F.to_date(at).alias("key_day"))
         .agg(F.count_if(in_baseline).alias("bad"), F.count_if(in_today).alias("bad_today"))
     )
+    return threshold_series(daily, baseline, zero_fill)
+
+
+def baseline_and_judged(as_of: datetime, weeks: int, lag: timedelta, day_lag: int) -> tuple[Span, Span]:
+    """The trailing weeks, and the day that is compared with them; both end together."""
+    oldest = Span(start=as_of - timedelta(weeks=weeks))
+    judged = days_back(as_of, day_lag)
+    if day_lag:
+        return Span(start=oldest.start, before=judged.before), judged
+    return oldest.settled(as_of, lag), judged.settled(as_of, lag)
+
+
+def threshold_series(daily: DataFrame, baseline: Span, zero_fill: bool) -> DataFrame:
+    """The two series from (key_hour, key_day, bad, bad_today), one row per hour and day."""
+    hour = BUCKETS["hour"]
     days = F.count_if(F.col("bad") > 0)
     if zero_fill:
         last = baseline.before - timedelta(microseconds=1) if baseline.before else baseline.upto

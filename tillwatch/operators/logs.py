@@ -9,6 +9,7 @@ A log keeps all answers ever given. Where answers are known to lie within some t
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,6 +26,7 @@ from tillwatch.functions.clock import BUCKETS, NO_SHIFT, Span, bucket_text
 from tillwatch.functions.numbers import money
 from tillwatch.functions.text import code_and_message, extract, extract_last, marked
 from tillwatch.operators.cohort import grouped_by_bucket
+from tillwatch.operators.distinct import Buckets, counts_of, member_bitmaps
 
 
 def log_status_cohort(
@@ -61,6 +63,19 @@ def error_unique_users(
     return grouped_by_bucket(rows, ts, bucket, dims, [F.count_distinct(wallet).alias("user_count")])
 
 
+def error_users_by_span(
+    log: DataFrame, spans: Mapping[str, Buckets], *, where: Column | None = None, ts: str = "create_date",
+) -> DataFrame:
+    """Distinct receiver wallets per error, for several spans and buckets from one reading of the log."""
+    response = F.col("response")
+    rows = log.filter(~credited(response))
+    if where is not None:
+        rows = rows.filter(where)
+    wallet = extract_last(F.col("request"), fixed.RECEIVER_WALLET_KEY)
+    dims = {"status": response_error(response, response)}
+    return counts_of(member_bitmaps(rows, wallet, spans, dims=dims, ts=ts), spans, dims=dims)
+
+
 def _answers(
     log: DataFrame, request_marker: str | None, log_span: Span | None, log_ts: str = "create_date"
 ) -> DataFrame:
@@ -113,6 +128,28 @@ def xml_code_cohort(
     return _requests_per_label(pairs, bucket, "code_message")
 
 
+def xml_codes_by_span(
+    fact: DataFrame,
+    log: DataFrame,
+    spans: Mapping[str, Buckets],
+    *,
+    where: Column | None = None,
+    request_marker: str | None = None,
+    log_span: Span | None = None,
+    pattern: str = fixed.CODE_AND_MESSAGE,
+    ts: str = "create_date",
+) -> DataFrame:
+    """``xml_code_cohort`` for several spans and buckets: one reading of each table, and one join for all of them.
+
+    A request enters the join as one row with its buckets, an answer as one row per distinct label.
+    """
+    fact = fact if where is None else fact.filter(where)
+    requests = member_bitmaps(fact.filter(F.col("request_id").isNotNull()), F.col("request_id"), spans, ts=ts)
+    label = code_and_message(F.col("response"), pattern)
+    answers = _answers(log, request_marker, log_span).select(F.col("request_id").alias("member"), label.alias("code_message")).distinct()
+    return counts_of(requests.join(answers, "member"), spans, dims=("code_message",), count_name="request_count")
+
+
 def raw_response_cohort(
     fact: DataFrame,
     log: DataFrame,

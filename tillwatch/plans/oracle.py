@@ -364,11 +364,28 @@ SELECT id, {name}, status, code AS action_code,
 FROM meant"""
 
 
-def latest_success(vendor):
-    return f"""(SELECT request_id FROM txn WHERE vendor_name = '{vendor}' AND status = 'SUCCESS'
+def latest_success(vendor, where="TRUE"):
+    return f"""(SELECT request_id FROM txn WHERE vendor_name = '{vendor}' AND status = 'SUCCESS' AND {where}
     ORDER BY id DESC LIMIT 1)"""
 
 
+def guarded_balance(where="TRUE"):
+    return f"""WITH {TXN}, {LOG}
+SELECT request, response, coalesce(CASE WHEN regexp_matches(response, '(?s)^\\{{.*\\}}$') THEN
+  {WHOLE.format("CAST(json_extract_string(response, '$.new_balance') AS DECIMAL(38,2))")} END,
+  'Invalid or non-JSON response') AS balance
+FROM log WHERE request_id = {latest_success('V0', where)} AND request ILIKE '%receiver%'"""
+
+
+def by_span(cte, source, dim, counted):
+    """The same distinct count for today by hour, for the month by day and as a whole."""
+    parts = [("today", TODAY, hour()), ("month", MONTH_SETTLED, day()), ("all", MONTH_SETTLED, "CAST(NULL AS VARCHAR)")]
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS span, {bucket} AS bucket, {dim}, {counted} FROM source WHERE {where} GROUP BY ALL"
+        for name, where, bucket in parts)
+    return f"WITH {cte}, source AS ({source}) {rows}"
+
+
 BALANCE = "nullif(regexp_extract({0}.response, '(?s)Your new balance is (.*?) TAKA', 1), '')"
 WHOLE = "format('{{:,}}', CAST(round({0}) AS BIGINT))"
 
@@ -579,6 +596,17 @@ SELECT max(v) FILTER (o = 'AIRTEL') AS airtel, max(v) FILTER (o = 'GP') AS grame
         f"{MONTH_SETTLED} AND {ASKED} AND response NOT ILIKE '%{{%NPSB transfer credit%}}%'",
         """count(DISTINCT nullif(regexp_extract(request,
           '(?s).*"receiver_wallet_no":\\s*"([^"]+)"', 1), '')) AS user_count"""),
+    "r15_error_users_by_span": by_span(
+        LOG, f"""SELECT create_date, {LAST_ERROR.format(otherwise='response')} AS status,
+          nullif(regexp_extract(request, '(?s).*"receiver_wallet_no":\\s*"([^"]+)"', 1), '') AS wallet FROM log
+          WHERE {ASKED} AND response NOT ILIKE '%{{%NPSB transfer credit%}}%'""",
+        "status", "count(DISTINCT wallet) AS user_count"),
+    "r17_xml_codes_by_span": by_span(
+        f"{TXN}, {LOG}", f"""SELECT t.create_date, t.request_id,
+          CASE WHEN regexp_matches(l.response, '{CODE}') THEN regexp_extract(l.response, '{CODE}', 1)
+            || ' -> ' || regexp_extract(l.response, '{CODE}', 2) END AS code_message
+          FROM txn t JOIN log l ON l.request_id = t.request_id WHERE l.request ILIKE '%requestDateTime%'""",
+        "code_message", "count(DISTINCT request_id) AS request_count"),
     "r16_daily_growth": growth(f"ORDER BY {day()}, status"),
     "r16_daily_growth_per_status": growth(f"PARTITION BY status ORDER BY {day()}"),
     "r17_xml_code_cohort": xml_codes(
@@ -602,6 +630,12 @@ SELECT {day()} AS day, f.priority || ' (Total: ' || total || ')' AS priority, st
   count(status) AS txn_count, {dbl('sum(amount)')} AS total_amount
 FROM fact f JOIN totals t ON t.priority = f.priority
 GROUP BY {day()}, f.priority, total, status""",
+    "r19_entity_total_polled": f"""WITH {TXN}, f AS (SELECT * FROM txn WHERE {MONTH}),
+totals AS (SELECT vendor_name, sum(amount) AS total FROM f GROUP BY vendor_name)
+SELECT {day()} AS day, f.vendor_name || ' (Total: ' || total || ')' AS vendor_name, status,
+  count(status) AS txn_count, {dbl('sum(amount)')} AS total_amount
+FROM f JOIN totals t ON t.vendor_name = f.vendor_name
+GROUP BY {day()}, f.vendor_name, total, status""",
     "r20_status_summary": f"""WITH {ORDERS}
 SELECT count(*) FILTER (status = 'F') AS f_count, count(*) FILTER (status = 'O') AS o_count,
   count(*) FILTER (status = 'P') AS p_count,
@@ -647,11 +681,8 @@ SELECT request, strftime(strptime(regexp_extract(request, 'requestDateTime=([0-9
   {WHOLE.format("CAST(json_extract_string(response, '$.new_balance') AS DECIMAL(38,2))")} AS balance
 FROM log WHERE request ILIKE '%REQUESTDATETIME%'
   AND regexp_matches(response, '(?s)^\\{{.*\\}}$') ORDER BY id DESC LIMIT 1""",
-    "r27_guarded_balance": f"""WITH {TXN}, {LOG}
-SELECT request, response, coalesce(CASE WHEN regexp_matches(response, '(?s)^\\{{.*\\}}$') THEN
-  {WHOLE.format("CAST(json_extract_string(response, '$.new_balance') AS DECIMAL(38,2))")} END,
-  'Invalid or non-JSON response') AS balance
-FROM log WHERE request_id = {latest_success('V0')} AND request ILIKE '%receiver%'""",
+    "r27_guarded_balance": guarded_balance(),
+    "r27_guarded_balance_rare": guarded_balance("create_date < TIMESTAMP '2024-01-09 05:00:00'"),
     "r28_tag_fields": """SELECT * FROM (
   SELECT page_id, url, nullif(regexp_extract(html, '(?s)<title>([^<]+)</title>', 1), '') AS title,
     nullif(regexp_extract(html, '(?s)<html lang="([^"]+)"', 1), '') AS language FROM pages)
@@ -770,3 +801,11 @@ SELECT strftime(s.day, '%Y-%m-%d') AS date, s.agent, coalesce(c.n, 0) AS hourly_
 FROM spine s LEFT JOIN counts c ON c.day = s.day AND c.agent = s.agent""",
     "r45_operation_pivot": f"WITH {SPENT} {PIVOT}",
 }
+
+# Other ways to the same rows.
+ORACLE |= {
+    "r01_threshold_polled": ORACLE["r01_threshold_vs_today"],
+    "r01_threshold_polled_shifted": ORACLE["r01_threshold_lagged"],
+    "r11_latest_by_key_polled": ORACLE["r11_latest_by_key_pivot"],
+    "r27_latest_balance_history": ORACLE["r27_latest_balance"],
+}

@@ -12,10 +12,13 @@ from tillwatch.functions.classify import countable_attempt, credited, sync_phase
 from tillwatch.functions.clock import EVER
 from tillwatch.functions.fixed_values import HEX_REQUEST, PROFILE_MISSING
 from tillwatch.functions.text import concat_skip_null
-from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
+from tillwatch.operators import billing, cohort, detail, health, logs, polls, sla, support
+from tillwatch.operators.distinct import Buckets
+from tillwatch.operators.newest import Newest
 from tillwatch.operators.summary import cohorts_from_summary, hourly_summary
 from tillwatch.sources import roles
 from tillwatch.sources.reports import label_union, normalise
+from tillwatch.sources.state import State, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +94,32 @@ def r01_threshold_zero_fill(spark, sf_dir):
     )
 
 
+def polled(spark, sf_dir, report, table=roles.txn, clocks=(timedelta(days=9, hours=7), timedelta(days=2), timedelta(0))):
+    """The last of several polls; the earlier ones saw only what had been written by then."""
+    state = State(spark, work_folder(spark), "polled")
+    for before in clocks:
+        as_of = NOW - before
+        seen = table(spark, sf_dir)
+        found = report(seen.filter(clock.Span(upto=as_of).covers("create_date")) if before else seen, state, as_of)
+    return found
+
+
+@checked
+def r01_threshold_polled(spark, sf_dir):
+    """The trailing weeks summed from settled days, after polls of nine and two days before."""
+    status = F.col("status")
+    return polled(spark, sf_dir, lambda txn, state, as_of: polls.threshold_vs_today_polled(
+        txn, state, as_of, baseline_bad=status != "SUCCESS", today_bad=~status.isin("SUCCESS", "PENDING"),
+    ))
+
+
+@checked
+def r01_threshold_polled_shifted(spark, sf_dir):
+    return polled(spark, sf_dir, lambda txn, state, as_of: polls.threshold_vs_today_polled(
+        txn, state, as_of, baseline_bad=F.col("status") == "FAILED", shift=SIX_HOURS, day_lag=3,
+    ))
+
+
 # --- service health ----------------------------------------------------------------------------
 
 
@@ -263,6 +292,15 @@ def r11_latest_by_key_pivot(spark, sf_dir):
     return detail.latest_by_key_pivot(roles.txn(spark, sf_dir), columns)
 
 
+@checked
+def r11_latest_by_key_polled(spark, sf_dir):
+    """The newest vendors kept between polls; a poll reads the last day's rows."""
+    columns = {
+        "airtel": "AIRTEL", "grameenphone": "GP", "banglalink": "BL", "teletalk": "TT", "robi": "ROBI"
+    }
+    return polled(spark, sf_dir, lambda txn, state, as_of: polls.latest_by_key_polled(txn, columns, state, as_of))
+
+
 @checked
 def r12_newest_stamp(spark, sf_dir):
     """The clock of a replayed table."""
@@ -329,6 +367,25 @@ def r15_error_unique_users_month(spark, sf_dir):
     return logs.error_unique_users(roles.txn_log(spark, sf_dir), MONTH_SETTLED, "day", where=asked())
 
 
+def _spans():
+    return {
+        "today": Buckets(TODAY_SETTLED, "hour"), "month": Buckets(MONTH_SETTLED, "day"), "all": Buckets(MONTH_SETTLED),
+    }
+
+
+@checked
+def r15_error_users_by_span(spark, sf_dir):
+    """Distinct users by hour, by day and of the whole month from one reading of the log."""
+    return logs.error_users_by_span(roles.txn_log(spark, sf_dir), _spans(), where=asked())
+
+
+@checked
+def r17_xml_codes_by_span(spark, sf_dir):
+    return logs.xml_codes_by_span(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), _spans(), request_marker="%requestDateTime%",
+    )
+
+
 @checked
 def r16_daily_growth(spark, sf_dir):
     whole_days = clock.through_day(MONTH, NOW, 1)
@@ -377,6 +434,14 @@ def r19_cohort_with_entity_total(spark, sf_dir):
     return cohort.cohort_with_entity_total(roles.orders_fact(spark, sf_dir), EVER, "priority")
 
 
+@checked
+def r19_entity_total_polled(spark, sf_dir):
+    """Days and totals of the month summed from settled days."""
+    return polled(spark, sf_dir, lambda txn, state, as_of: polls.cohort_with_entity_total_polled(
+        txn, state, as_of, clock.rolling(as_of, "date_after_instant"), "vendor_name",
+    ))
+
+
 @checked
 def r20_status_summary(spark, sf_dir):
     return cohort.status_summary(roles.orders_fact(spark, sf_dir), EVER, ("F", "O", "P"))
@@ -450,6 +515,15 @@ def r26_provider_failed_monthly(spark, sf_dir):
 
 @checked
 def r27_latest_balance(spark, sf_dir):
+    return detail.latest_marked_balances(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), {"one": "V1", "two": "V2"},
+        "%requestDateTime%", search=Newest(NOW),
+    )
+
+
+@checked
+def r27_latest_balance_history(spark, sf_dir):
+    """Without a search: the latest of all history in one job."""
     return detail.latest_marked_balances(
         roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), {"one": "V1", "two": "V2"},
         "%requestDateTime%",
@@ -459,14 +533,24 @@ def r27_latest_balance(spark, sf_dir):
 @checked
 def r27_latest_json_balance(spark, sf_dir):
     return detail.latest_json_balance(
-        roles.txn_log(spark, sf_dir), "%REQUESTDATETIME%", balance_path="$.new_balance"
+        roles.txn_log(spark, sf_dir), "%REQUESTDATETIME%", balance_path="$.new_balance", search=Newest(NOW)
     )
 
 
 @checked
 def r27_guarded_balance(spark, sf_dir):
     return detail.guarded_json_balance(
-        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), "V0", "%receiver%"
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), "V0", "%receiver%", search=Newest(NOW)
+    )
+
+
+@checked
+def r27_guarded_balance_rare(spark, sf_dir):
+    """A success that lies far back: the search has to go on through several slices."""
+    rare = F.col("create_date") < F.lit("2024-01-09 05:00:00").cast("timestamp_ntz")
+    return detail.guarded_json_balance(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), "V0", "%receiver%", where=rare,
+        search=Newest(NOW, first=timedelta(minutes=30), growth=4),
     )
 
 

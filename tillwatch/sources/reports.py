@@ -70,8 +70,8 @@ def publish(
     afterwards, so a reader has until the next publication but one to finish.
 
     ``on_empty`` says what an empty result does: ``keep`` leaves the old report, ``zero_row`` publishes
-    one row of zeros, ``replace`` publishes the empty report. ``order`` sorts the rows as they are
-    published. ``root`` has to be shared by the driver and the executors.
+    one row of zeros, ``replace`` publishes the empty report. ``order`` sorts the rows, and each is written with its
+    position, which ``read_report`` follows. ``root`` has to be shared by the driver and the executors.
     """
     if on_empty not in ("keep", "zero_row", "replace"):
         raise ValueError(f"unknown policy for an empty report: {on_empty}")
@@ -81,7 +81,10 @@ def publish(
     version = uuid.uuid4().hex
     path = f"{root}/{name}/versions/{version}"
     try:
-        (rows.orderBy(*order) if order else rows).write.parquet(path)
+        if order:
+            # sorted ranges of rows are numbered by range and place: the numbers rise through all files
+            rows = rows.orderBy(*order).withColumn(_POSITION, F.monotonically_increasing_id())
+        rows.write.parquet(path)
         count = spark.read.schema(rows.schema).parquet(path).count()
         if count == 0 and on_empty == "zero_row":
             zero_row(rows).write.mode("overwrite").parquet(path)
@@ -129,17 +132,25 @@ class _Folder:
         self._files.delete(self._at(child), True)
 
 
+#: Where a row stands in a published report that has an order.
+_POSITION = "row_position__"
+
+
 def _version_of(marker: str) -> str:
     return marker.split("-", 1)[1]
 
 
 def read_report(spark: SparkSession, name: str, root: str, format: str = "parquet") -> DataFrame:
-    """The newest published version; a folder without versions is read as it lies there."""
+    """The newest published version, its rows in the order they were published in, however many files hold them.
+
+    A folder without versions is read as it lies there.
+    """
     reader = spark.read.format(format)
     if format == "csv":
         reader = reader.option("header", "true")
     markers = _Folder(spark, f"{root}/{name}").markers()
-    return reader.load(f"{root}/{name}/versions/{_version_of(markers[-1])}" if markers else f"{root}/{name}")
+    found = reader.load(f"{root}/{name}/versions/{_version_of(markers[-1])}" if markers else f"{root}/{name}")
+    return found.orderBy(_POSITION).drop(_POSITION) if markers and _POSITION in found.columns else found
 
 
 def measure_definitions(spark: SparkSession) -> DataFrame:
