@@ -347,6 +347,18 @@ def test_looking_for_answers_near_their_requests_changes_nothing(business, run):
         assert rows(narrowed[name].build()) == rows(reports[name].build())
 
 
+def test_polling_and_searching_newest_first_change_nothing(business, run, tmp_path):
+    reports, _, _ = run
+    written = {name: "update_date" for name in ("nagad_in", "rocket_in", "wallet_out")}
+    polled = replace(SETTINGS, newest_slack=timedelta(hours=1), state=str(tmp_path), written=written)
+    names = [n for n in reports if n.startswith(("threshold_", "balance_"))] + ["recharge_vendors"]
+    for as_of in (AS_OF - timedelta(days=2), AS_OF, AS_OF):
+        plain, kept = catalog(business, as_of, SETTINGS), catalog(business, as_of, polled)
+        for name in names:
+            assert rows(kept[name].build()) == rows(plain[name].build()), name
+    assert len(list(tmp_path.iterdir())) == 11
+
+
 @pytest.mark.parametrize("setting", sorted(NEEDED))
 def test_a_missing_setting_is_an_error_by_name(business, setting):
     without = replace(SETTINGS, **{setting: None})

@@ -10,7 +10,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from threading import Lock
 
@@ -29,9 +29,11 @@ from tillwatch.functions.classify import (
 )
 from tillwatch.functions.clock import EVER
 from tillwatch.functions.text import concat_skip_null
-from tillwatch.operators import billing, cohort, detail, health, logs, sla, support
+from tillwatch.operators import billing, cohort, detail, health, logs, polls, sla, support
+from tillwatch.operators.newest import Newest
 from tillwatch.operators.summary import cohort_from_summary, hourly_summary
 from tillwatch.sources.reports import publish, read_report
+from tillwatch.sources.state import State
 
 LOGGER = logging.getLogger(__name__)
 
@@ -63,6 +65,12 @@ class Settings:
     reseller_gateway: str | None = None
     # How long before its request an answer may be logged at most; None searches the whole log.
     answer_slack: timedelta | None = None
+    # How far the order of a table's ids may be off that of its times; None reads all history for latest balances.
+    newest_slack: timedelta | None = None
+    # A shared folder for what polls keep (trailing weeks, latest vendors); None reads all of it every time.
+    state: str | None = None
+    # Table -> the column that says when a row was last written; settled days of other tables are not read again.
+    written: Mapping[str, str] = field(default_factory=dict)
     # The column of bank answers that says when they were logged, if there is one.
     bank_answer_time: str | None = None
     # Support staff: user ids, and address key -> agent name in order of precedence.
@@ -282,15 +290,26 @@ def _baselines(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
         "transfer": ("bank_transfer", bad & _is("channel", "NPSB", "MTB"), {}),
     }
 
-    def report(table: str, condition: Column, options: dict) -> Report:
-        return Report(
-            lambda: health.threshold_vs_today(
-                tables[table], as_of, baseline_bad=condition, **options
-            ),
-            order=("hour", "txn"),
-        )
+    def report(name: str, table: str, condition: Column, options: dict) -> Report:
+        def build() -> DataFrame:
+            state = _state(tables[table], settings, name)
+            if state is None:
+                return health.threshold_vs_today(tables[table], as_of, baseline_bad=condition, **options)
+            return polls.threshold_vs_today_polled(
+                tables[table], state, as_of, baseline_bad=condition, changed=settings.written.get(table), **options
+            )
+
+        return Report(build, order=("hour", "txn"))
 
-    return {f"threshold_{name}": report(*parts) for name, parts in judged.items()}
+    return {f"threshold_{name}": report(f"threshold_{name}", *parts) for name, parts in judged.items()}
+
+
+def _state(table: DataFrame, settings: Settings, name: str) -> State | None:
+    return None if settings.state is None else State(table.sparkSession, settings.state, name)
+
+
+def _newest(as_of: datetime, settings: Settings) -> Newest | None:
+    return None if settings.newest_slack is None else Newest(as_of, slack=settings.newest_slack)
 
 
 def _health(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Report]:
@@ -384,10 +403,16 @@ def _recharge(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
     operators = {
         "airtel": "AIRTEL", "grameenphone": "GP", "banglalink": "BL", "teletalk": "TT", "robi": "ROBI"
     }
+    def vendors() -> DataFrame:
+        state = _state(table(), settings, "recharge_vendors")
+        if state is None:
+            return detail.latest_by_key_pivot(table(), operators)
+        return polls.latest_by_key_polled(table(), operators, state, as_of)
+
     return {
         "recharge_today_breakdown": bad(today, "hour"),
         "recharge_month_breakdown": bad(calendar_month, "day"),
-        "recharge_vendors": Report(lambda: detail.latest_by_key_pivot(table(), operators)),
+        "recharge_vendors": Report(vendors),
         "report_time": Report(lambda: detail.as_of_stamp(table().sparkSession, as_of)),
         "recharge_today_reasons": reasons(today, "hour"),
         "recharge_month_reasons": reasons(month, "day", monthly=True, counted="txn_id"),
@@ -738,18 +763,18 @@ def _balances(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
         "balance_robi_airtel": Report(
             lambda: detail.latest_marked_balances(
                 tables["recharge"], tables["recharge_log"], {"robi": "ROBI", "airtel": "AIRTEL"},
-                settings.balance_gateway,
+                settings.balance_gateway, search=_newest(as_of, settings),
             )
         ),
         "balance_nagad": Report(
             lambda: detail.latest_json_balance(
-                tables["recharge_log"], settings.wallet_balance_gateway
+                tables["recharge_log"], settings.wallet_balance_gateway, search=_newest(as_of, settings)
             )
         ),
         "balance_reseller": Report(
             lambda: detail.guarded_json_balance(
                 tables["recharge"], tables["recharge_log"], "PAYSTATION", settings.reseller_gateway,
-                where=_is("number_of_try", "0"),
+                where=_is("number_of_try", "0"), search=_newest(as_of, settings),
             )
         ),
     }
