@@ -37,11 +37,27 @@ def main_text(page):
     ("<html><head><title>t</title><script>s</script></head><body>b</body></html>", "b"),
     ("<head><title>never closed<body><p>text", "text"),
     ("<main><div role=navigation>n</div><p hidden>h</p><p>k</p></main>", "k"),
+    ("<p>a</p><svg class='i'/><p>b</p>", "a b"),
+    ("<p>a</p><iframe src='x'/><p>b</p><iframe>c</iframe>", "a b"),
+    ("<div><select><option>o<option>p</div><p>after</p>", "after"),
+    ("<body><form id=aspnetForm><nav>n</nav><p>the text of the whole page</p><div class=siteFooter>f</div></form></body>", "the text of the whole page"),
+    ("<div class='article related-topic'><p>A long article about it.</p></div><div class=commentList><p>c</p></div>", "A long article about it."),
+    ("<main><article><p>post</p></article><article class=comment><p>reader</p></article></main>", "post"),
+    ("<p title='a > b'>x</p><a \"<p>y</p>", "x y"),
 ])
 def test_main_text(page, want):
     assert main_text(page) == want
 
 
+def test_time_is_linear():
+    import time
+
+    for page in ('<a "' * 250_000, "<a '\"" * 150_000 + ">", "<div>" * 150_000 + "</p>" * 150_000, "<" * 1_000_000, "<a " * 300_000, "<!-" * 300_000):
+        start = time.perf_counter()
+        html_extract.lines_of(page)
+        assert time.perf_counter() - start < 3
+
+
 def longest(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
@@ -81,12 +97,85 @@ def test_shared_lines_of_articles_stay_but_link_lines_go(spark):
     assert got == {k: f"text {k} A motto." for k in range(3)}
 
 
-def test_a_large_host_gives_the_same_texts_as_a_small_one(spark, monkeypatch):
-    page = "<body><div>Top</div><p>{0}</p></body>"
-    rows = [(k, f"http://hot.org/{k % 7}/{k}", page.format(k)) for k in range(300)] + [(1000, "x", "<p>" + "long " * 50000)]
-    whole = extracted(spark, rows)
-    monkeypatch.setattr(html_extract, "GROUP", 20)
-    assert extracted(spark, rows) == whole and whole[5] == "5"
+def section_pages(sections, each=10):
+    page = "<body><div>Site</div><div>Section {0}</div><p>Text {0} {1}</p></body>"
+    return [(s * each + k, f"http://hot.org/{s:04d}/{k}", page.format(s, k)) for s in range(sections) for k in range(each)]
+
+
+@pytest.mark.parametrize("block", [7, 64, 1024])
+def test_section_lines_go_on_hosts_of_any_size(spark, monkeypatch, block):
+    monkeypatch.setattr(html_extract, "BLOCK", block)
+    rows = section_pages(120)
+    got = extracted(spark, [*rows, (9999, "x", "<p>" + "long " * 50000)])
+    assert all(got[i] == f"Text {i // 10} {i % 10}" for i, _, _ in rows)
+
+
+@pytest.mark.parametrize("copies", [2, 3, 200])
+def test_copies_have_one_text_and_are_no_template(spark, copies):
+    page = "<body><div>Site title</div><p>{0}</p><p>Call us</p></body>"
+    rows = [(0, "http://d.org/a", page.format("first")), (9000, "http://d.org/z", page.format("last"))]
+    rows += [(k + 1, f"http://d.org/copy/{k}", page.format("copy")) for k in range(copies)]
+    got = extracted(spark, rows)
+    assert got.pop(0) == "first" and got.pop(9000) == "last" and set(got.values()) == {"copy"}
+
+
+def test_near_copies_keep_their_body(spark):
+    body = "".join(f"<p>Sentence {k} of the text.</p>" for k in range(20))
+    page = "<body><div>Site title</div><p>{0}</p>{1}<p>Call us</p></body>"
+    rows = [(k, f"http://d.org/n/{k}", page.format(f"On day {k}", body)) for k in range(3)]
+    rows += [(7, "http://d.org/other", page.format("Else", "<p>entirely</p>"))]
+    got = extracted(spark, rows)
+    text = " ".join(f"Sentence {k} of the text." for k in range(20))
+    assert got == {0: f"On day 0 {text}", 1: f"On day 1 {text}", 2: f"On day 2 {text}", 7: "Else entirely"}
+
+
+def test_many_pages_without_url_are_extracted_alone(spark):
+    rows = [(k, None if k % 2 else "", f"<div>Top</div><p>{k}</p>") for k in range(3000)]
+    got = extracted(spark, rows)
+    assert all(got[k] == f"Top {k}" for k in range(1, 3000, 2)) and all(got[k] == str(k) for k in range(0, 3000, 2))
+
+
+def plain_texts(rows):
+    """The operator's rule without Spark: classes by host, all neighbours compared."""
+    pages = {i: html_extract.lines_of(h or "") for i, _, h in rows}
+    reps = {}
+    for i, u, _ in rows:
+        host, path = u.split("/", 3)[2], "/" + u.split("/", 3)[3]
+        c = html_extract.line_class(pages[i])
+        if pages[i]:
+            reps.setdefault(host, {}).setdefault(c, []).append((path, i))
+    out = {}
+    for i, u, _ in rows:
+        host, page = u.split("/", 3)[2], pages[i]
+        order = sorted((min(v), c) for c, v in reps.get(host, {}).items())
+        order = [(path, rep, c) for (path, rep), c in sorted(order, key=lambda x: (x[0][0], x[1]))]
+        gone = set()
+        if page:
+            at = next(k for k, o in enumerate(order) if o[2] == html_extract.line_class(page))
+            path = order[at][0]
+            others = [k for k in range(len(order)) if k != at and abs(k - at) <= html_extract.REACH]
+            # both sides fall away from the page; the larger prefix first, then the nearer place, then the earlier one
+            reach = {k: min(html_extract.nearness(path, order[n][0]) for n in (range(k, at) if k < at else range(at + 1, k + 1))) for k in others}
+            ranked = sorted(others, key=lambda k: (-reach[k], k > at, abs(k - at)))
+            as_page = [([x.text for x in pages[o[1]]], [not x.links and not x.inside for x in pages[o[1]]]) for o in order]
+            gone = html_extract.shared_with_nearest(as_page[at], [as_page[k] for k in ranked])
+        out[i] = " ".join(x.text for k, x in enumerate(page) if k not in gone or (x.inside and not x.links))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_differencing_equals_the_plain_rule(spark, monkeypatch, seed):
+    monkeypatch.setattr(html_extract, "BLOCK", 16)
+    rng = random.Random(seed)
+    rows = []
+    for k in range(250):
+        host = rng.choice(["a.org", "a.org", "a.org", "b.org", f"c{k % 9}.org"])
+        path = f"{rng.choice('xyz')}/{rng.choice('pq')}{rng.randrange(20)}/{rng.randrange(40)}"
+        lines = [f"<p>{rng.choice('ABCDEFGH')}</p>" for _ in range(rng.randrange(6))] + rng.choice([[], ["<p><a>More</a></p>"]])
+        if rng.random() < 0.4:
+            lines = ["<article>", *lines, f"<p>{rng.randrange(5)}</p>", "</article>"]
+        rows.append((k, f"http://{host}/{path}", "".join(lines)))
+    assert extracted(spark, rows) == plain_texts(rows)
 
 
 def test_pages_empty_and_clashing(spark):
