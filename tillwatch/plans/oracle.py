@@ -289,6 +289,33 @@ def top_reasons(bucket, name, where, extra=""):
 SELECT {name}, description, txn_count{extra} FROM ranked WHERE place <= 5"""
 
 
+def described_reasons(bucket, name, where, monthly):
+    """The reason of each kind of text by the number that chose it, without looking at the text."""
+    queued = ("'Your request to recharge 0' || (id % 2) || ' is already in queue. Please wait for sometime.'" if monthly
+              else "'Your request to recharge {rcvr_num} is already in queue. Please wait for sometime.'")
+    tight = ("'Your current request to transfer 5TAKA cannot be processed as you do not have enough credit.'" if monthly
+             else "'Your current request to transfer {amount} TAKA cannot be processed as you do not have enough credit'")
+    return f"""WITH {TXN}, reasons AS (
+  SELECT *, CASE id % 8 WHEN 0 THEN 'Invalid Transfer Value' WHEN 1 THEN 'duplicate 2 minutes' WHEN 2 THEN 'duplicate 3 minutes'
+    WHEN 3 THEN 'Your current request to transfer {{amount}} TAKA cannot be processed as you do not have enough credit'
+    WHEN 4 THEN {tight} WHEN 5 THEN {queued} WHEN 6 THEN 'Invalid transfer value' ELSE 'NULL' END AS reason FROM txn),
+ranked AS (
+  SELECT {bucket} AS {name}, reason AS description, count(*) AS txn_count,
+    row_number() OVER (PARTITION BY {bucket} ORDER BY count(*) DESC, reason) AS place
+  FROM reasons WHERE {where} AND status <> 'SUCCESS' GROUP BY 1, 2)
+SELECT {name}, description, txn_count FROM ranked WHERE place <= 8"""
+
+
+def totalled(counts):
+    """Services, families and all of (family, service, n, g)."""
+    return f"""{counts}, sums AS (
+  SELECT 'service' AS level, family, service, n, g FROM counts
+  UNION ALL SELECT 'family', family, NULL, sum(n), sum(g) FROM counts GROUP BY family
+  UNION ALL SELECT 'total', NULL, NULL, sum(n), sum(g) FROM counts)
+SELECT level, family, service, CAST(n AS BIGINT) AS total_attempt, CAST(g AS BIGINT) AS satisfactory,
+  {dbl(ratio('100 * CAST(g AS BIGINT)', 'CAST(n AS BIGINT)'))} AS satisfaction_level FROM sums"""
+
+
 def bank_response(source, bucket, where, by_bank=False):
     bank = "JOIN nation b ON CAST(b.n_nationkey AS VARCHAR) = f.bank_swift_code" if by_bank else ""
     name = "b.n_name AS bank_name, " if by_bank else ""
@@ -558,6 +585,8 @@ FROM fact JOIN customer ON c_custkey = custkey GROUP BY ALL""",
     "r10_top_reasons_month": top_reasons(
         day(), "day", MONTH_SETTLED,
         f", {dbl(ratio('100 * txn_count', 'CAST(bucket_count AS BIGINT)'))} AS percentage"),
+    "r10_reason_templates": described_reasons(hour(), "hour", TODAY, False),
+    "r10_reason_templates_month": described_reasons(day(), "day", MONTH_SETTLED, True),
     "r11_latest_by_key_pivot": f"""WITH {TXN}, latest AS (
   SELECT mobile_operator AS o, vendor_name AS v,
     row_number() OVER (PARTITION BY mobile_operator ORDER BY id DESC) AS place FROM txn)
@@ -669,6 +698,13 @@ FROM w WHERE {CALENDAR_MONTH} GROUP BY {day()}, provider_status, provider_code,
 SELECT {day()} AS day, provider_status, provider_code, canonical AS status, {COUNT_AND_TOTAL}
 FROM w WHERE {CALENDAR_MONTH} AND provider_status = 'Failed'
 GROUP BY {day()}, provider_status, provider_code, canonical""",
+    "r26_provider_states": f"""WITH {TXN}, w AS (
+  SELECT * REPLACE (CASE id % 9 WHEN 0 THEN 'Ready' WHEN 1 THEN 'Success' WHEN 2 THEN 'Failed' WHEN 3 THEN 'Aborted'
+      WHEN 4 THEN 'Cancelled' WHEN 5 THEN 'Refunded' WHEN 6 THEN 'TransactionInProgress' WHEN 7 THEN 'Lost' END AS provider_status),
+    CASE id % 9 WHEN 0 THEN 'READY' WHEN 1 THEN 'SUCCESS' WHEN 2 THEN 'FAILED' WHEN 3 THEN 'ABORTED' WHEN 4 THEN 'CANCELLED'
+      WHEN 5 THEN 'REFUNDED' WHEN 6 THEN 'IN_PROGRESS' ELSE status END AS canonical FROM txn)
+SELECT {day()} AS day, provider_status, provider_code, canonical AS status, {COUNT_AND_TOTAL}
+FROM w WHERE {CALENDAR_MONTH} GROUP BY {day()}, provider_status, provider_code, canonical""",
     "r27_latest_balance": f"""WITH {TXN}, {LOG}
 SELECT a.request AS request_one, {BALANCE.format('a')} AS balance_one,
   b.request AS request_two, {BALANCE.format('b')} AS balance_two
@@ -687,6 +723,10 @@ FROM log WHERE request ILIKE '%REQUESTDATETIME%'
   SELECT page_id, url, nullif(regexp_extract(html, '(?s)<title>([^<]+)</title>', 1), '') AS title,
     nullif(regexp_extract(html, '(?s)<html lang="([^"]+)"', 1), '') AS language FROM pages)
 WHERE title IS NOT NULL OR language IS NOT NULL""",
+    "r28_tag_fields_json": f"""WITH {LOG}
+SELECT id, request_id, CASE WHEN id % 4 IN (0, 1) THEN CAST(id AS VARCHAR) END AS field_id_32_value,
+  CASE WHEN id % 4 IN (0, 2) THEN CAST(id AS VARCHAR) END AS field_id_39_value
+FROM log WHERE {ON_DAY} AND id % 4 <> 3 AND id % 5 <> 0""",
     "r29_decode_and_enrich": """WITH decoded AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS day, c_name AS previous_merchant_id,
     'User profile not found' AS status, CAST(substr(c_name, 10, 9) AS BIGINT) - 7 AS user_id
@@ -715,6 +755,17 @@ FROM decoded d LEFT JOIN customer c ON c.c_custkey = d.user_id""",
   UNION ALL SELECT 'total', NULL, NULL, sum(n), sum(g) FROM counts)
 SELECT level, family, service, CAST(n AS BIGINT) AS total_attempt, CAST(g AS BIGINT) AS satisfactory,
   {dbl(ratio('100 * CAST(g AS BIGINT)', 'CAST(n AS BIGINT)'))} AS satisfaction_level FROM sums""",
+    "r31_bank_rail": totalled(f"WITH {TXN}, {LOG}, " + """
+bank AS (
+  SELECT create_date, status, CASE WHEN id % 5 <> 4 THEN CASE WHEN id % 3 = 0 THEN 'OWN' ELSE 'OTHER' END END AS swift,
+    update_date + to_hours(CASE WHEN id % 2 = 0 THEN (id % 8) * 12 ELSE 0 END) - create_date AS took FROM txn),
+said AS (SELECT create_date, id, id % 6 AS kind FROM log WHERE """ + ASKED + """),
+counts AS (""" + satisfaction(
+        "Money Out", "CASE WHEN swift = 'OWN' THEN 'CBS' ELSE 'EFT' END", "bank", "TRUE",
+        "(swift = 'OWN' AND took <= INTERVAL 5 MINUTE) OR (swift <> 'OWN' AND took <= INTERVAL 72 HOUR)",
+        "status <> 'PENDING' AND " + WEEK.format(SHIFTED))
+        + " UNION ALL " + satisfaction(
+        "Super QR Payment", "'Super QR Payment'", "said", "kind <> 5", "kind = 0", WEEK.format("create_date")) + ")"),
     "r32_recon_rollups": f"WITH {RECON} " + " UNION ALL ".join([
         recon_part("overall"),
         recon_part("service", service="service", kind="kind"),

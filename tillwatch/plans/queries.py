@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwatch.functions import clock
-from tillwatch.functions.classify import countable_attempt, credited, sync_phase, within
+from tillwatch.functions.classify import bank_in_time, bank_rail, countable_attempt, credited, sync_phase, within
 from tillwatch.functions.clock import EVER
 from tillwatch.functions.fixed_values import HEX_REQUEST, PROFILE_MISSING
 from tillwatch.functions.text import concat_skip_null
@@ -284,6 +284,34 @@ def r10_top_reasons_month(spark, sf_dir):
     )
 
 
+def _described(txn: DataFrame) -> DataFrame:
+    """Descriptions in the words of the sources: every template of a reason, near misses, and none."""
+    id = F.col("id").cast("string")
+    again = " same recharge service within 2.00 minutes of last successful transaction as last transfer amount is same as current requested amount."
+    texts = [
+        F.concat(F.lit("invalid transfer value "), id),
+        F.concat(F.lit("The mobile number 0"), id, F.lit(" cannot use the"), F.lit(again)),
+        F.concat(F.lit("x 3006202:The mobile number 0"), id, F.lit(" cannot use the any recharge service within 3.00 minutes of last successful "
+                       "transaction as last transfer amount is same as current requested amount. y")),
+        F.concat(F.lit("Your current request to transfer "), id, F.lit(" TAKA cannot be processed as you do not have enough credit.")),
+        F.lit("Your current request to transfer 5TAKA cannot be processed as you do not have enough credit."),
+        F.concat(F.lit("Your request to recharge 0"), (F.col("id") % 2).cast("string"), F.lit(" is already in queue. Please wait for sometime.")),
+        F.lit("Invalid transfer value"),
+        F.lit(None).cast("string"),
+    ]
+    return txn.withColumn("description", F.element_at(F.array(*texts), (F.col("id") % len(texts) + 1).cast("int")))
+
+
+@checked
+def r10_reason_templates(spark, sf_dir):
+    return cohort.top_reasons(_described(roles.txn(spark, sf_dir)), TODAY_SETTLED, n=8)
+
+
+@checked
+def r10_reason_templates_month(spark, sf_dir):
+    return cohort.top_reasons(_described(roles.txn(spark, sf_dir)), MONTH_SETTLED, "day", n=8, monthly=True)
+
+
 @checked
 def r11_latest_by_key_pivot(spark, sf_dir):
     columns = {
@@ -513,6 +541,15 @@ def r26_provider_failed_monthly(spark, sf_dir):
     )
 
 
+@checked
+def r26_provider_states(spark, sf_dir):
+    """All states a provider reports, and one that nobody knows."""
+    states = F.array(*[F.lit(s) for s in (
+        "Ready", "Success", "Failed", "Aborted", "Cancelled", "Refunded", "TransactionInProgress", "Lost")])
+    txn = roles.txn(spark, sf_dir).withColumn("provider_status", F.try_element_at(states, (F.col("id") % 9 + 1).cast("int")))
+    return cohort.provider_status_monthly(txn, CALENDAR_MONTH)
+
+
 @checked
 def r27_latest_balance(spark, sf_dir):
     return detail.latest_marked_balances(
@@ -562,6 +599,18 @@ def r28_tag_fields(spark, sf_dir):
     )
 
 
+@checked
+def r28_tag_fields_json(spark, sf_dir):
+    """Markup inside a JSON text: both fields, one of them, none, and texts that are no JSON."""
+    id = F.col("id").cast("string")
+    one, two = (F.concat(F.lit(f'<field id=\\"{n}\\" value=\\"'), id, F.lit('\\"/>')) for n in (32, 39))
+    parts = F.array(F.concat(one, two), one, two, F.lit("<field/>"))
+    markup = F.element_at(parts, (F.col("id") % 4 + 1).cast("int"))
+    log = roles.txn_log(spark, sf_dir).withColumn("update_date", F.col("create_date")).withColumn("response", F.when(
+        F.col("id") % 5 == 0, markup).otherwise(F.concat(F.lit('{"xml": "'), markup, F.lit('"}'))))
+    return logs.tag_fields(log, TODAY, keep=("id", "request_id"))
+
+
 @checked
 def r29_decode_and_enrich(spark, sf_dir):
     customer = roles.customer(spark, sf_dir)
@@ -619,6 +668,26 @@ def r31_weekly_satisfaction(spark, sf_dir):
     return sla.weekly_satisfaction(services, clock.previous_week(NOW))
 
 
+@checked
+def r31_bank_rail(spark, sf_dir):
+    """Two bank rails, each with its own limit, and attempts by all their markers."""
+    swift, id = F.col("bank_swift_code"), F.col("id")
+    issued, answered = F.col("create_date"), F.col("update_date")
+    bank = roles.txn(spark, sf_dir).withColumn(
+        "bank_swift_code", F.when(id % 5 != 4, F.when(id % 3 == 0, F.lit("OWN")).otherwise(F.lit("OTHER")))
+    ).withColumn("update_date", F.timestamp_add("HOUR", (id % 8) * 12 * F.when(id % 2 == 0, 1).otherwise(0), answered))
+    markers = F.array(*[F.lit(m) for m in (
+        "{NPSB transfer credit}", "User profile not found", "Failed due to Amount falls within fail rate", "a Timeout", "Something went wrong", "else")])
+    log = roles.txn_log(spark, sf_dir).withColumn("response", F.element_at(markers, (id % 6 + 1).cast("int")))
+    services = [
+        sla.Satisfaction("Money Out", bank, bank_rail(swift, "OWN"), bank_in_time(swift, issued, answered, "OWN"),
+                         where=F.col("status") != "PENDING", shift=SIX_HOURS),
+        sla.Satisfaction("Super QR Payment", log, F.lit("Super QR Payment"), credited(F.col("response")), where=asked(),
+                         attempt=countable_attempt(F.col("response"))),
+    ]
+    return sla.weekly_satisfaction(services, clock.previous_week(NOW))
+
+
 @checked
 def r32_recon_rollups(spark, sf_dir):
     return cohort.reconciliation_rollups(roles.recon(spark, sf_dir), split=("A", "R"))
