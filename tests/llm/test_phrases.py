@@ -133,6 +133,15 @@ def test_growing_finds_all_longer_phrases_of_known_ones(seed):
 def test_packing_round_trip():
     seq = np.random.default_rng(1).integers(0, 1 << 30, 1000)
     assert (phrases.unpacked(phrases.packed(seq)) == seq).all()
+    columns = np.random.default_rng(2).integers(-(1 << 62), 1 << 62, (4, 77))
+    assert (phrases.columns_unpacked(phrases.columns_packed(*columns), 4) == columns).all()
+
+
+@pytest.mark.parametrize("words", [40, 900])
+def test_buckets_change_nothing(spark, monkeypatch, words):
+    monkeypatch.setattr(phrases, "BUCKET_WORDS", words)
+    rows = prose(5, 250)
+    assert got(spark, rows, least=6, shard_words=400) == brute(rows, least=6)
 
 
 def test_query_equals_counting_on_the_documents(spark):

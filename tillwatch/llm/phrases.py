@@ -7,8 +7,9 @@
    depth-limited FM-index over them and one over their reverse, finds each phrase's interval by backward search in both,
    and extends all intervals by a word to the right and to the left. Both extensions give the interval of
    the same longer phrase; where they meet, the phrase is reported with its count.
-3. Counts of a phrase are summed across shards, and rows of phrases below the limit end there. No word, phrase or dictionary is
-   sent to all tasks; what a shard learns is joined to it by its number.
+3. Counts of a phrase are summed across shards, and phrases below the limit end there. A shard sends its phrases packed, by
+   buckets of their hash, as many as the corpus needs for a bucket to stay small. No word, phrase or dictionary is sent to all
+   tasks; what a shard learns is joined to it by its number.
 
 Frequent phrases carry the counts of all their beginnings and ends, which is what a cut's score needs.
 """
@@ -29,8 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.llm.common import ship, struct_of, written
+from tillwatch.llm.textkit import mix
 
 SHARD_WORDS = 1 << 22
+#: Words of the corpus per bucket of phrases; a bucket has fewer rows than that.
+BUCKET_WORDS = 1 << 22
 #: Rows of the index that one numpy pass looks at.
 ROWS = 1 << 20
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -53,6 +57,17 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").reshape(-1).astype(np.int64)
 
 
+def columns_packed(*columns: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, so that leading zeros and slow changes vanish."""
+    data = np.stack([c.astype("<i8") for c in columns]).view(np.uint8).reshape(len(columns), -1, 8)
+    return zlib.compress(np.ascontiguousarray(data.transpose(0, 2, 1)).tobytes(), 1)
+
+
+def columns_unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(n, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).reshape(n, -1).view("<i8").astype(np.int64)
+
+
 class Shard:
     """Word ids from 1 up, told apart by language; 0 stands between pieces."""
 
@@ -237,31 +252,78 @@ def grown(names: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return begin[both], end[order][place[both]], number[both], forward.suffixes[right_low[both]]
 
 
-def longer(base: DataFrame, marks: DataFrame, size: int, slim: bool) -> DataFrame:
-    """(shard, at, head, tail, n, words): each shard's phrases of ``size`` words; ``marks`` (shard, at, id) has the known ones.
+def longer(base: DataFrame, marks: DataFrame, size: int, slim: bool, buckets: int) -> DataFrame:
+    """(shard, bucket, phrases, words): each shard's phrases of ``size`` words.
+
+    ``marks`` has the known ones, as rows (shard, at, id) or packed (shard, marks).
 
-    With ``slim`` a row per shard with ``words`` has what the known phrases cover, and places refer to that.
+    A row has the phrases (head, tail, place, count) of one bucket. With ``slim`` a row per shard with ``words`` has what
+    the known phrases cover, and places refer to that.
     """
-    schema = struct_of(("shard", T.LongType()), ("at", T.LongType()), ("head", T.LongType()), ("tail", T.LongType()), ("n", T.LongType()),
-                       ("words", T.BinaryType()))
+    schema = struct_of(("shard", T.LongType()), ("bucket", T.LongType()), ("phrases", T.BinaryType()), ("words", T.BinaryType()))
 
     def run(shard: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(known) or not len(shard):
             return pd.DataFrame({name: [] for name in schema.names})
-        ids, at = known["id"].to_numpy(), known["at"].to_numpy()
+        if "marks" in known:
+            at, ids = np.concatenate([columns_unpacked(data, 2) for data in known["marks"]], axis=1)
+        else:
+            at, ids = known["at"].to_numpy(), known["id"].to_numpy()
         seq = unpacked(shard["words"].iloc[0])
         patterns = at[:, None] if size == 2 else seq[at[:, None] + np.arange(size - 1)]
         names, places, patterns = narrowed(seq, patterns)
         begin, end, number, place = grown(names, patterns)
-        out = pd.DataFrame({"shard": shard["shard"].iloc[0], "at": place if slim else places[place], "head": ids[begin], "tail": ids[end],
-                            "n": number, "words": None})
+        head, tail, place = ids[begin], ids[end], place.astype(np.int64) if slim else places[place]
+        bucket = (mix(head.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tail.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((tail, head, bucket))
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets <= len(order) else np.append(
+            np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
+        rows = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if a < b:
+                part = order[a:b]
+                rows.append((int(bucket[part[0]]), columns_packed(np.diff(head[part], prepend=0), tail[part], place[part], number[part]), None))
         if slim:
-            out.loc[len(out)] = {"shard": shard["shard"].iloc[0], "at": 0, "head": 0, "tail": 0, "n": 0, "words": packed(names)}
+            rows.append((-1, None, packed(names)))
+        out = pd.DataFrame(rows, columns=schema.names[1:])
+        out.insert(0, "shard", int(shard["shard"].iloc[0]))
         return out
 
     return base.select("shard", "words").groupBy("shard").cogroup(marks.groupBy("shard")).applyInPandas(run, schema)
 
 
+def merged(packs: DataFrame, least: int, name: str) -> DataFrame:
+    """(shard, marks, head, tail, f, id): the phrases whose counts sum to ``least`` over all shards, written.
+
+    A phrase has a row (head, tail, f, id); its id is new. What a shard has of them is a row (shard, marks) per bucket: the
+    places and ids, packed.
+    """
+    schema = struct_of(("shard", T.LongType()), ("marks", T.BinaryType()), ("head", T.LongType()), ("tail", T.LongType()), ("f", T.LongType()),
+                       ("id", T.LongType()))
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [columns_unpacked(data, 4) for data in rows["phrases"]]
+        shard = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
+        head = np.concatenate([np.cumsum(p[0]) for p in parts])
+        tail, at, n = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+        order = np.lexsort((tail, head))
+        head, tail = head[order], tail[order]
+        new = np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])))
+        starts = np.flatnonzero(new)
+        sums = np.add.reduceat(n[order], starts)
+        often = sums >= least
+        ids = (int(key[0]) << 36) + np.cumsum(often) - 1
+        group = np.cumsum(new) - 1
+        kept = often[group]
+        shard, at, own = shard[order][kept], at[order][kept], ids[group][kept]
+        found = pd.DataFrame({"head": head[starts[often]], "tail": tail[starts[often]], "f": sums[often], "id": ids[often]}, dtype=object)
+        marks = [(int(rows["shard"].iloc[k]), columns_packed(at[shard == k], own[shard == k])) for k in np.unique(shard).tolist()]
+        return pd.concat([pd.DataFrame(marks, columns=["shard", "marks"], dtype=object), found], ignore_index=True).reindex(
+            columns=schema.names).astype(object).where(lambda x: x.notna(), None)
+
+    return written(packs.groupBy("bucket").applyInPandas(run, schema), name)
+
+
 def frequent(rows: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
     """The rows whose counts sum to ``least`` over all shards, written with that sum ``f`` and a number ``id`` of the key.
 
@@ -286,20 +348,23 @@ def counted(docs: DataFrame, text: str, lang: str, longest: int, least: int, sha
         "shard", (F.col("place") + 1).cast("long").alias("at"), "w.lang", "w.word", "w.n")
     totals = base.select(F.explode(F.arrays_zip("lang", "n")).alias("w")).groupBy("w.lang").agg(F.sum("w.n").alias("words"))
     hits = frequent(words, ["lang", "word"], least, "phrase-words")
+    marks = hits.select("shard", "at", "id")
     grams = hits.where("first").select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
     found = [grams]
+    buckets = -(-(totals.agg(F.sum("words")).first()[0] or 1) // BUCKET_WORDS)
     for size in range(2, longest + 1):
         # the first round keeps nearly all words; from the next one on shards shrink
         slim = 2 < size < longest
-        more = longer(base, hits.select("shard", "at", "id"), size, slim)
+        more = longer(base, marks, size, slim, buckets)
         if slim:
             more = written(more, f"phrase-rounds-{size}")
-            base = more.where("words is not null")
-        hits = frequent(more.where("words is null").drop("words"), ["head", "tail"], least, f"phrase-hits-{size}")
+            base = more.where("words is not null").select("shard", "words")
+        hits = merged(more.where("phrases is not null").select("shard", "bucket", "phrases"), least, f"phrase-hits-{size}")
+        marks = hits.where("marks is not null").select("shard", "marks")
         heads = grams.select(F.col("id").alias("head"), "lang", "phrase", F.col("heads").alias("before"))
         tails = grams.select(F.col("id").alias("tail"), "last", F.col("tails").alias("after"))
-        grams = written(hits.where("first").select("id", "head", "tail", "f").join(heads, "head").join(tails, "tail").select(
+        grams = written(hits.where("marks is null").select("id", "head", "tail", "f").join(heads, "head").join(tails, "tail").select(
             "id", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f", F.concat("before", F.array("f")).alias("heads"),
             F.concat("after", F.array("f")).alias("tails"), "head", "tail"), f"phrases-{size}")
         found.append(grams)
