@@ -56,6 +56,26 @@ def test_stages_on_odd_rows(spark, name):
     assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_toxicity_and_mix_on_odd_rows(spark):
+    rows = [(1, None, None, None, None, 1), (2, "", "en", "s", 0, 2), (2, "", "en", "s", 0, 2), (None, "a b c", "en", None, 5, 3), (3, "word " * 50000, "en", "s", 250000, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, Score int")
+    stages = dict(pipeline.STAGES)
+    kept = stages["toxicity"](spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() == 5
+    mixed = stages["mix"](spark, docs, SF)
+    assert mixed.columns == ["doc_id", "source", "tokens", "epoch", "block", "block_key", "doc_key"]
+    assert {(r.doc_id, r.tokens) for r in mixed.collect()} >= {(None, 3), (3, 50000)}
+    for name in ("toxicity", "mix"):
+        assert stages[name](spark, docs.limit(0), SF).count() == 0
+
+
+def test_secrets_stage_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "password=hunter2hunter2 x", "en", "s", 25, 1, 2, 3)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, __added int, linked int, row int")
+    found = pipeline.secrets_stage(spark, docs, SF)
+    assert found.columns == docs.columns and "[SECRET]" in found.first()["text"]
+
+
 def test_one_row_of_equal_documents_stays(spark):
     docs = spark.createDataFrame([(k // 2, "one two three four five six", "en", "s", 27) for k in range(6)],
                                  "doc_id long, text string, lang string, source string, n_chars long")

@@ -259,7 +259,10 @@ def train(docs: DataFrame, most: int = 2000, text: str = "text", key: str = "doc
     sample = hashed.groupBy("hash").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("hash")
+        parts = list(batches)
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True).sort_values("hash")
         yield pd.DataFrame({"field": [pickle.dumps(fit(rows["text"].tolist()))]})
 
     ship(docs.sparkSession)
