@@ -69,8 +69,10 @@ def test_codes_and_raw_responses(business):
     assert Counter(map(tuple, found.collect())) == Counter(
         (*key, len(requests)) for key, requests in codes.items())
     found = logs.raw_response_cohort(fact_df, log_df, EVER, "day")
-    assert Counter(map(tuple, found.collect())) == Counter(
-        (*key, len(requests)) for key, requests in raw.items())
+    wanted = Counter((*key, len(requests)) for key, requests in raw.items())
+    assert Counter(map(tuple, found.collect())) == wanted
+    by_key = logs.raw_response_cohort(fact_df, log_df, EVER, "day", dictionary=True)
+    assert by_key.columns == found.columns and Counter(map(tuple, by_key.collect())) == wanted
 
 
 def test_bank_answers_multiply_their_request(business, spark):
@@ -121,6 +123,9 @@ def test_first_responses(business):
     found = logs.first_response_per_request(
         fact_df, log_df, EVER, columns=("status", "amount", "bank_name"))
     assert Counter(map(tuple, found.collect())) == wanted
+    fetched = logs.first_response_per_request(
+        fact_df, log_df, EVER, columns=("status", "amount", "bank_name"), fetch=True)
+    assert fetched.columns == found.columns and Counter(map(tuple, fetched.collect())) == wanted
 
 
 def test_entity_totals_and_dimensions(business, spark):

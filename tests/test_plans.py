@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, cash
-from tillwatch.functions import clock
+from tillwatch.functions import clock, fixed_values as fixed
 from tillwatch.operators import cohort, detail, health, logs, sla
 from tillwatch.operators.summary import cohorts_from_summary, hourly_summary
 
@@ -175,6 +175,45 @@ def test_first_answers_need_one_shuffle_per_table(tables, no_broadcast):
     assert plan(report).count("Exchange hashpartitioning") == 2
 
 
+def final_plan(df):
+    """The plan after it ran, with the exchanges that several parts shared."""
+    df.collect()
+    return plan(df)
+
+
+def test_reasons_and_their_counts_share_one_join(tables, no_broadcast):
+    fact, log = tables
+    text = final_plan(logs.reverse_reasons(fact.withColumn("status", F.lit("REVERSE")), log.withColumn(
+        "request", F.lit(fixed.CARD_REQUEST.strip("%")))))
+    done = text.split("== Initial Plan ==")[0]
+    assert done.count("FileScan") == 2 and "ReusedExchange" in done
+
+
+def test_long_answers_move_as_keys(tables, no_broadcast):
+    fact, log = tables
+    text = plan(logs.raw_response_cohort(fact, log, clock.EVER, "day", dictionary=True))
+    # The only aggregate over texts is the dictionary's; requests and counts are grouped by the key.
+    assert "md5(cast(response" in text
+    for line in re.findall(r"[^\n]*Aggregate\([^\n]*", text):
+        assert "response" not in line.replace("md5(cast(response", "") or "min(response" in line, line
+
+
+def test_two_texts_of_one_key_fail(tables):
+    _, log = tables
+    texts = log.unionByName(log.withColumn("response", F.lit("other")))
+    assert logs._texts_by_key(texts, F.col("response")).count() == 2
+    with pytest.raises(Exception, match="same key"):
+        logs._texts_by_key(texts, F.lit("k")).collect()
+
+
+def test_fetched_answers_are_not_aggregated(tables, no_broadcast):
+    fact, log = tables
+    text = plan(logs.first_response_per_request(
+        fact, log, clock.EVER, columns=("status", "amount", "bank_name"), fetch=True))
+    for line in re.findall(r"[^\n]*Aggregate\([^\n]*", text):
+        assert "response" not in line, line
+
+
 def test_top_n_is_cut_before_the_shuffle(tables):
     fact, _ = tables
     assert "WindowGroupLimit" in plan(cohort.top_reasons(fact, clock.EVER))

@@ -28,6 +28,9 @@ from tillwatch.functions.text import code_and_message, extract, extract_last, ma
 from tillwatch.operators.cohort import grouped_by_bucket
 from tillwatch.operators.distinct import Buckets, counts_of, member_bitmaps
 
+#: Parts into which the rows of one entity are spread for the join with its count.
+SALTS = 32
+
 
 def log_status_cohort(
     log: DataFrame,
@@ -160,16 +163,33 @@ def raw_response_cohort(
     request_marker: str | None = None,
     log_span: Span | None = None,
     hidden_marker: str = fixed.SENSITIVE_MARKER,
+    dictionary: bool = False,
     ts: str = "create_date",
 ) -> DataFrame:
-    """Distinct unsuccessful requests per full response text."""
+    """Distinct unsuccessful requests per full response text.
+
+    ``dictionary`` counts by a key of 16 bytes instead of the text, which pays where texts are long and repeat: a
+    text moves once per task and value, to the dictionary that turns keys into texts again, while the log is
+    read twice. Two texts of one key are found there and fail the report.
+    """
     bad = fact.filter(F.col("status") != "SUCCESS")
     bad = bad if where is None else bad.filter(where)
     asked = _answers(log, request_marker, log_span).filter(
         ~marked(F.col("response"), hidden_marker)
     )
-    pairs = _distinct_labels(bad, asked, span, bucket, F.col("response"), ts)
-    return _requests_per_label(pairs, bucket, "response")
+    if not dictionary:
+        pairs = _distinct_labels(bad, asked, span, bucket, F.col("response"), ts)
+        return _requests_per_label(pairs, bucket, "response")
+    key = F.unhex(F.md5(F.col("response").cast("binary")))
+    counts = _requests_per_label(_distinct_labels(bad, asked, span, bucket, key, ts), bucket, "key")
+    return counts.join(_texts_by_key(asked, key), "key").select(bucket, "response", "request_count")
+
+
+def _texts_by_key(log: DataFrame, key: Column) -> DataFrame:
+    """(key, response), one row per key; fails where one key stands for two texts."""
+    texts = log.groupBy(key.alias("key")).agg(F.min("response").alias("low"), F.max("response").alias("high"))
+    clash = F.raise_error(F.lit("two response texts have the same key"))
+    return texts.select("key", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(clash).alias("response"))
 
 
 def bank_response_cohort(
@@ -253,8 +273,9 @@ def reverse_reasons(
     """Every reversed transaction with its action code; labels carry how often bank and code occur.
 
     The occurrences are grouped counts joined back, not windows over the rows: a bank with a third of
-    all reversals is counted by every task and its rows stay spread. Codes have at most one count per
-    known code and one for the rest, so that side is broadcast.
+    all reversals is counted by every task, and its rows meet its count in ``SALTS`` parts. Codes have at most
+    one count per known code and one for the rest, so that side is broadcast. Facts and log are read and
+    joined once for the rows and both counts.
     """
     reversed_rows = fact.filter(F.col("status") == status)
     if span is not None:
@@ -263,26 +284,40 @@ def reverse_reasons(
     answers = _answers(log, request_marker, log_span).select(
         "request_id", code.alias("action_code")
     )
-    rows = (
-        reversed_rows.select("id", "request_id", ts, entity, "status")
-        .join(answers, "request_id")
-        .withColumn("meaning", card_action(F.col("action_code")))
+    rows = reversed_rows.join(answers, "request_id").select(
+        "id", F.col(ts).alias("at"), F.col(entity).alias("entity"), "status", "action_code",
+        card_action(F.col("action_code")).alias("meaning"),
+        F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("part"),
+    )
+    return _with_occurrences(rows).select(
+        "id",
+        bucket_text(bucket, "at").alias(bucket),
+        with_suffix(F.col("entity"), F.col("entity_rows")).alias(f"{entity}_with_count"),
+        "status",
+        "action_code",
+        with_suffix(F.col("meaning"), F.col("meaning_rows")).alias("meaning_with_count"),
     )
-    both = rows.groupBy(entity, "meaning").agg(F.count(F.lit(1)).alias("n"))
-    per_entity = both.groupBy(entity).agg(F.sum("n").alias("entity_rows"))
-    per_meaning = both.groupBy("meaning").agg(F.sum("n").alias("meaning_rows"))
 
-    return (
-        rows.join(F.broadcast(per_meaning), "meaning")
-        .join(per_entity, entity, "left")
-        .select(
-            "id",
-            bucket_text(bucket, ts).alias(bucket),
-            with_suffix(F.col(entity), F.col("entity_rows")).alias(f"{entity}_with_count"),
-            "status",
-            "action_code",
-            with_suffix(F.col("meaning"), F.col("meaning_rows")).alias("meaning_with_count"),
-        )
+
+def _with_occurrences(rows: DataFrame) -> DataFrame:
+    """``rows`` (entity, meaning, part, ...) with the numbers of rows of the entity and of the meaning.
+
+    Spark plans a named subquery anew for each use, unless it holds a value that would differ between the
+    uses: then all of them read one exchange. ``once`` is such a value; nothing reads it.
+    """
+    return rows.sparkSession.sql(
+        f"""
+        WITH joined AS (SELECT *, rand() AS once FROM {{rows}}),
+             pairs AS (SELECT entity, meaning, count(*) AS n FROM joined GROUP BY entity, meaning),
+             entities AS (SELECT entity, sum(n) AS entity_rows FROM pairs GROUP BY entity),
+             spread AS (SELECT *, explode(sequence(0L, {SALTS - 1}L)) AS part FROM entities),
+             meanings AS (SELECT meaning, sum(n) AS meaning_rows FROM pairs GROUP BY meaning)
+        SELECT /*+ BROADCAST(meanings) */ joined.*, entity_rows, meaning_rows
+        FROM joined
+        JOIN meanings ON joined.meaning = meanings.meaning
+        LEFT JOIN spread ON joined.entity = spread.entity AND joined.part = spread.part
+        """,
+        rows=rows,
     )
 
 
@@ -297,21 +332,35 @@ def first_response_per_request(
     request_marker: str | None = None,
     log_span: Span | None = None,
     log_order: str = "id",
+    fetch: bool = False,
     ts: str = "create_date",
 ) -> DataFrame:
     """One row per failed request: its transaction and the first answer logged for it.
 
     Both sides are reduced to their first row per request by an aggregate with map-side combining.
     Both reductions leave the rows hashed by request id, so the join adds no shuffle.
+
+    ``fetch`` is for long answers to few failed requests: the first answers are found by number alone, and
+    the log is read again for the texts of those found. Spark then broadcasts these or, on large tables,
+    filters the second reading by a Bloom filter of them, so that other texts stay where they are.
+    ``log_order`` has to tell the answers of a request apart then.
     """
     failed = fact.filter(span.covers(ts) & F.col("status").isin(*statuses))
     asked = _answers(log, request_marker, log_span)
     first_rows = failed.groupBy("request_id").agg(
         F.min(F.struct(ts, *columns)).alias("row")
     )
-    first_answers = asked.groupBy("request_id").agg(
-        F.min(F.struct(log_order, "response")).alias("answer")
-    )
+    if fetch:
+        wanted = failed.select("request_id").distinct()
+        numbers = asked.join(wanted, "request_id").groupBy("request_id").agg(F.min(log_order).alias("first"))
+        texts = asked.select(
+            F.col("request_id").alias("asked_id"), F.col(log_order).alias("number"), F.struct("response").alias("answer"))
+        first_answers = numbers.join(
+            texts, (F.col("request_id") == F.col("asked_id")) & F.col("first").eqNullSafe(F.col("number")))
+    else:
+        first_answers = asked.groupBy("request_id").agg(
+            F.min(F.struct(log_order, "response")).alias("answer")
+        )
     return first_rows.join(first_answers, "request_id").select(
         "request_id",
         bucket_text(bucket, F.col("row")[ts]).alias(bucket),

@@ -653,6 +653,12 @@ GROUP BY ALL""",
 SELECT {day('t.create_date')} AS day, l.response, count(DISTINCT t.request_id) AS request_count
 FROM fact t JOIN lines l ON l.request_id = t.request_id
 WHERE t.status <> 'SUCCESS' AND l.response NOT ILIKE '%"sensitiveData"%' GROUP BY ALL""",
+    "r18_raw_response_dictionary": f"""WITH {TXN}, {LOG}
+SELECT {hour('t.create_date')} AS hour, l.response, count(DISTINCT t.request_id) AS request_count
+FROM txn t JOIN log l ON l.request_id = t.request_id
+WHERE {of('t', MONTH)} AND t.status <> 'SUCCESS'
+  AND l.request ILIKE '%requestdatetime%' AND l.response NOT ILIKE '%"sensitiveData"%'
+GROUP BY ALL""",
     "r19_cohort_with_entity_total": f"""WITH {ORDERS},
 totals AS (SELECT priority, sum(amount) AS total FROM fact GROUP BY priority)
 SELECT {day()} AS day, f.priority || ' (Total: ' || total || ')' AS priority, status,
@@ -682,6 +688,13 @@ SELECT count(*) FILTER (status = 'F') AS f_count, count(*) FILTER (status = 'O')
   FROM fact f JOIN lines l ON l.request_id = f.request_id
   WHERE f.status IN ('F', 'P') AND l.request ILIKE '%SUPPLIER%')
 SELECT request_id, day, status, {dbl('amount')} AS amount, priority,
+  coalesce(response, 'response: NULL') AS response FROM joined WHERE place = 1""",
+    "r23_first_response_fetched": f"""WITH {TXN}, {LOG}, joined AS (
+  SELECT t.request_id, {hour('t.create_date')} AS hour, t.status, t.amount, t.mobile_operator, l.response,
+    row_number() OVER (PARTITION BY t.request_id ORDER BY l.id, l.response) AS place
+  FROM txn t JOIN log l ON l.request_id = t.request_id
+  WHERE {of('t', MONTH)} AND t.status IN ('REVERSED', 'FAILED'))
+SELECT request_id, hour, status, {dbl('amount')} AS amount, mobile_operator,
   coalesce(response, 'response: NULL') AS response FROM joined WHERE place = 1""",
     "r24_unanswered_requests": f"""WITH {LOG}
 SELECT {day()} AS day, {hour()} AS hour, request_id AS rrn, 'RC_85(TIMEOUT)' AS response FROM log

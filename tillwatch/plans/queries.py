@@ -457,6 +457,14 @@ def r18_raw_response_lines(spark, sf_dir):
     )
 
 
+@checked
+def r18_raw_response_dictionary(spark, sf_dir):
+    return logs.raw_response_cohort(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), MONTH, "hour", request_marker="%requestdatetime%",
+        dictionary=True,
+    )
+
+
 @checked
 def r19_cohort_with_entity_total(spark, sf_dir):
     return cohort.cohort_with_entity_total(roles.orders_fact(spark, sf_dir), EVER, "priority")
@@ -504,6 +512,14 @@ def r23_first_response_per_request(spark, sf_dir):
     )
 
 
+@checked
+def r23_first_response_fetched(spark, sf_dir):
+    return logs.first_response_per_request(
+        roles.txn(spark, sf_dir), roles.txn_log(spark, sf_dir), MONTH, "hour", statuses=("REVERSED", "FAILED"),
+        columns=("status", "amount", "mobile_operator"), fetch=True,
+    )
+
+
 @checked
 def r24_unanswered_requests(spark, sf_dir):
     return logs.unanswered_requests(
