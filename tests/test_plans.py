@@ -95,6 +95,33 @@ def test_services_on_one_table_share_one_scan(tables):
     assert len(scans(one)) == 1
 
 
+def test_services_of_one_table_share_one_scan_whatever_their_conditions(tables, frame):
+    fact, _ = tables
+    status = F.col("status")
+    services = {
+        "a": health.Service(health.status_roles(), F.col("bank_name") == "a"),
+        "b": health.Service(health.status_roles(failed=status != "SUCCESS", dispute=status.isNull()),
+                            F.col("bank_name").isin("a", "b"), window=timedelta(hours=2), low=10, high=20),
+        "none": health.Service(health.status_roles(), F.col("bank_name") == "c"),
+        "absent": health.Service(health.status_roles(), F.col("bank_name") == "c", keep_empty=False),
+        "late": health.Service(health.status_roles(), F.col("bank_name") == "b", today_lag=timedelta(0)),
+    }
+    board = health.services_health(fact, AS_OF, services)
+    (columns, pushed), = scans(board)
+    assert "id" not in columns and "GreaterThanOrEqual(create_date," in pushed and "bank_name" in pushed
+    data = frame("create_date ts, status string, amount money, bank_name string", [
+        (AS_OF - timedelta(minutes=m), state, cash(str(m)), bank)
+        for m in (1, 2, 4, 20, 45, 100, 300, 1200) for state in ("SUCCESS", "FAILED", "REVERSE", "ODD", None)
+        for bank in ("a", "b", "b", None)])
+    found = {row["service"]: tuple(row)[1:] for row in health.services_health(data, AS_OF, services).collect()}
+    alone = {
+        name: [tuple(row) for row in health.service_health(
+            data, AS_OF, one.roles, where=one.where, window=one.window, today_lag=one.today_lag, low=one.low, high=one.high,
+            keep_empty=one.keep_empty).collect()]
+        for name, one in services.items()}
+    assert found == {name: lines[0] for name, lines in alone.items() if lines} and "absent" not in found
+
+
 def test_reconciliation_reads_its_table_once(tables):
     fact, _ = tables
     recon = fact.selectExpr(

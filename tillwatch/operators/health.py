@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -165,11 +166,24 @@ def service_health(
     if by is not None:
         rows = rows.filter(F.col(by).isin(*members))
 
-    in_day, in_window = day.covers(ts, shift), recent.covers(ts, shift)
+    aggregates = _measures(roles, day.covers(ts, shift), recent.covers(ts, shift), moved(ts, shift), amount)
+    if by is None:
+        measured = rows.agg(*aggregates)
+    else:
+        names = F.explode(F.array(*[F.lit(member) for member in members])).alias(by)
+        listed = fact.sparkSession.range(0, 1, 1, 1).select(names)
+        measured = listed.join(rows.groupBy(by).agg(*aggregates), by, "left")
+    if not keep_empty:
+        measured = measured.filter(F.col("day_rows") > 0)
+
+    return measured.select(*([by] if by else []), *_board_columns(as_of, F.col, low, high))
+
+
+def _measures(roles: Roles, in_day: Column, in_window: Column, time: Column, amount: str) -> list[Column]:
     hits = roles.success if roles.hits is None else roles.hits
     attempts = in_window if roles.attempts is None else in_window & roles.attempts
-    aggregates = [
-        F.max(F.when(in_day & roles.success, moved(ts, shift))).alias("last_success"),
+    return [
+        F.max(F.when(in_day & roles.success, time)).alias("last_success"),
         F.count_if(in_day & roles.success).alias("success"),
         F.count_if(in_day & roles.reverse).alias("reverse"),
         F.count_if(in_day & roles.failed).alias("failed"),
@@ -179,29 +193,73 @@ def service_health(
         F.count_if(attempts).alias("attempts"),
         F.count_if(in_day).alias("day_rows"),
     ]
-    if by is None:
-        measured = rows.agg(*aggregates)
-    else:
-        names = F.explode(F.array(*[F.lit(member) for member in members])).alias(by)
-        listed = fact.sparkSession.range(0, 1, 1, 1).select(names)
-        measured = listed.join(rows.groupBy(by).agg(*aggregates), by, "left")
-    if not keep_empty:
-        measured = measured.filter(F.col("day_rows") > 0)
 
+
+def _board_columns(as_of: datetime, measure: Callable[[str], Column], low: int, high: int) -> list[Column]:
     def number(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).alias(name)
+        return F.coalesce(measure(name), F.lit(0)).alias(name)
 
-    rate = percent(F.col("hits"), F.col("attempts"))
+    rate = percent(measure("hits"), measure("attempts"))
     rate_text = F.concat(two_decimals(rate), F.lit("%"))
-    return measured.select(
-        *([by] if by else []),
+    return [
         F.lit(as_of.date().isoformat()).cast("date").alias("date"),
-        F.coalesce(F.date_format("last_success", "HH:mm"), F.lit("00:00")).alias("last_success_time"),
+        F.coalesce(F.date_format(measure("last_success"), "HH:mm"), F.lit("00:00")).alias("last_success_time"),
         *[number(name) for name in ("success", "reverse", "failed", "dispute")],
-        F.coalesce(whole_part(F.col("amount")), F.lit(0)).alias("success_amount"),
+        F.coalesce(whole_part(measure("amount")), F.lit(0)).alias("success_amount"),
         health_of_rate(rate, low, high).alias("health"),
         F.coalesce(rate_text, F.lit("0%")).alias("success_rate"),
-    )
+    ]
+
+
+@dataclass(frozen=True)
+class Service:
+    """One of several services in the same table, with the options of ``service_health``."""
+
+    roles: Roles
+    where: Column | None = None
+    window: timedelta = HALF_HOUR
+    today_lag: timedelta | None = None
+    low: int = 30
+    high: int = 70
+    keep_empty: bool = True
+
+
+def services_health(
+    fact: DataFrame,
+    as_of: datetime,
+    services: Mapping[str, Service],
+    *,
+    ts: str = "create_date",
+    amount: str = "amount",
+    shift: timedelta = NO_SHIFT,
+    lag: timedelta = THREE_MINUTES,
+) -> DataFrame:
+    """``service_health`` of several services of one table, each in its row with its name in ``service``.
+
+    All are measured in one scan without a shuffle of rows: services may overlap, and a row counts for each of
+    its services. The scan is bounded by the day and the widest window, and by the services' conditions
+    where every service has one.
+    """
+    days = {name: today(as_of).settled(as_of, lag if one.today_lag is None else one.today_lag) for name, one in services.items()}
+    recent = {name: Span(start=as_of - one.window).settled(as_of, lag) for name, one in services.items()}
+    hull = reduce(Span.hull, [*days.values(), *recent.values()])
+    rows = fact.filter(hull.covers(ts, shift))
+    conditions = [one.where for one in services.values()]
+    if all(condition is not None for condition in conditions):
+        rows = rows.filter(reduce(Column.__or__, conditions))
+
+    measured = []
+    for name, one in services.items():
+        own = F.lit(True) if one.where is None else one.where
+        in_day, in_window = own & days[name].covers(ts, shift), own & recent[name].covers(ts, shift)
+        parts = _measures(one.roles, in_day, in_window, moved(ts, shift), amount)
+        measured.append(F.struct(*parts).alias(f"service {len(measured)}"))
+    lines = []
+    for n, (name, one) in enumerate(services.items()):
+        of = F.col(f"service {n}")
+        line = F.struct(F.lit(name).alias("service"), *_board_columns(as_of, of.getField, one.low, one.high))
+        lines.append(line if one.keep_empty else F.when(of["day_rows"] > 0, line))
+    return rows.agg(*measured).select(F.inline(F.array_compact(F.array(*lines))))
 
 
 def log_service_health(
@@ -260,11 +318,13 @@ def health_board(services: Mapping[str, DataFrame], by: str | None = None) -> Da
     """One board over all services, amounts with thousands separators.
 
     A part that still carries a ``by`` column holds several services; its label becomes
-    ``name (member)``.
+    ``name (member)``. A part with a ``service`` column brings the names itself.
     """
     parts = {}
     for name, part in services.items():
-        if by is not None and by in part.columns:
+        if "service" in part.columns:
+            part = part.select(F.col("service").alias("member"), *[c for c in part.columns if c != "service"])
+        elif by is not None and by in part.columns:
             member = F.concat(F.lit(f"{name} ("), F.col(by), F.lit(")"))
             part = part.select(member.alias("member"), *[c for c in part.columns if c != by])
         else:

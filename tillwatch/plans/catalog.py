@@ -324,7 +324,6 @@ def _health(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Re
         judged_in = judged_in & (status != "CHECKOUT")
         listed_in = ("SUCCESS", "REFUNDED", "FAILED", "ORDER_ERR", "CHECKOUT", "INITIATED")
         requested = ("SUCCESS", "REQUESTED", "PENDING")
-        bank = {"ts": "issue_time", "shift": LOCAL}
         cash_out = _is("txn_request_type", "CASH_OUT")
         services = {
             "RECHARGE": of(
@@ -341,33 +340,32 @@ def _health(tables: Tables, as_of: datetime, settings: Settings) -> dict[str, Re
                 dispute=~status.isin("SUCCESS", "REFUNDED", "FAILED"),
                 attempts=F.col("result") != "TIMEOUT",
             )),
-            "ROCKET OUT": of(
-                "wallet_out",
-                health.status_roles(
-                    failed=_is("status", "FAILED") & (amount >= 10),
-                    dispute=~status.isin("SUCCESS", "REVERSE", "FAILED"),
-                    hits=_is("status", "SUCCESS") & (amount >= 10), attempts=amount >= 10,
+            "WALLET OUT": health.services_health(tables["wallet_out"], as_of, {
+                "ROCKET OUT": health.Service(
+                    health.status_roles(
+                        failed=_is("status", "FAILED") & (amount >= 10),
+                        dispute=~status.isin("SUCCESS", "REVERSE", "FAILED"),
+                        hits=_is("status", "SUCCESS") & (amount >= 10), attempts=amount >= 10,
+                    ),
+                    where=_is("financial_institute", "ROCKET"),
                 ),
-                where=_is("financial_institute", "ROCKET"),
-            ),
-            "NAGAD OUT": of(
-                "wallet_out", health.status_roles(), where=_is("financial_institute", "NAGAD")
-            ),
+                "NAGAD OUT": health.Service(health.status_roles(), where=_is("financial_institute", "NAGAD")),
+            }),
             "VISA CARD": of("card_out", health.status_roles(), window=hour, low=50),
             "SQR PAYMENT": health.log_service_health(tables["issuer_log"], as_of, where=_asked()),
-            "CBL": of(
-                "bank_request",
-                health.status_roles(
-                    failed=~_is("status", "SUCCESS"), dispute=_is("status", "DISPUTE", "PENDING")
+            "BANK": health.services_health(tables["bank_request"], as_of, {
+                "CBL": health.Service(
+                    health.status_roles(
+                        failed=~_is("status", "SUCCESS"), dispute=_is("status", "DISPUTE", "PENDING")
+                    ),
+                    where=_own_cash_out(settings) & _is("channel", "CBL"), low=50,
                 ),
-                where=_own_cash_out(settings) & _is("channel", "CBL"), low=50, **bank,
-            ),
-            "BEFTN": of(
-                "bank_request",
-                health.status_roles(success=requested, reverse=("REVERSIBLE",)),
-                where=cash_out & _is("channel", "BEFTN"), window=hour,
-                today_lag=timedelta(0), keep_empty=False, **bank,
-            ),
+                "BEFTN": health.Service(
+                    health.status_roles(success=requested, reverse=("REVERSIBLE",)),
+                    where=cash_out & _is("channel", "BEFTN"), window=hour,
+                    today_lag=timedelta(0), keep_empty=False,
+                ),
+            }, ts="issue_time", shift=LOCAL),
             "NPSB INSTANT": of(
                 "bank_transfer", health.status_roles(dispute=_is("status", "UNKNOWN")),
                 where=_is("channel", "NPSB", "MTB"), low=50,
@@ -547,7 +545,7 @@ def _wallet_out(tables: Tables, as_of: datetime, settings: Settings) -> dict[str
         return Report(
             lambda: logs.raw_response_cohort(
                 tables["wallet_out"], tables["wallet_out_log"], span, bucket, where=nagad,
-                request_marker=settings.json_gateway, log_span=_answers_of(span, settings),
+                request_marker=settings.json_gateway, log_span=_answers_of(span, settings), dictionary=True,
             ),
             (F.desc(bucket), F.desc("request_count")),
         )
@@ -626,7 +624,7 @@ def _transfer(tables: Tables, as_of: datetime, settings: Settings) -> dict[str,
         return Report(
             lambda: logs.first_response_per_request(
                 tables["bank_transfer"], tables["bank_log"], span, bucket,
-                request_marker=settings.transfer_gateway, log_span=_answers_of(span, settings),
+                request_marker=settings.transfer_gateway, log_span=_answers_of(span, settings), fetch=True,
             ),
             (F.desc("request_id"),),
         )

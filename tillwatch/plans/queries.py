@@ -162,17 +162,15 @@ def r03_log_service_health(spark, sf_dir):
 
 @checked
 def r04_health_board(spark, sf_dir):
-    txn = roles.txn(spark, sf_dir)
-    recharge = health.service_health(
-        txn, NOW, recharge_roles(), by="mobile_operator", members=roles.OPERATORS
-    )
-    card = health.service_health(
-        txn, NOW, recharge_roles(), where=F.col("vendor_name") == "V1",
-        window=timedelta(minutes=60), low=50,
-    )
-    qr = health.log_service_health(roles.txn_log(spark, sf_dir), NOW, where=asked())
-    services = {"RECHARGE": recharge, "VISA CARD": card, "SQR PAYMENT": qr}
-    return health.health_board(services, by="mobile_operator")
+    recharge = {
+        f"RECHARGE ({name})": health.Service(recharge_roles(), F.col("mobile_operator") == name) for name in roles.OPERATORS
+    }
+    card = health.Service(recharge_roles(), F.col("vendor_name") == "V1", window=timedelta(minutes=60), low=50)
+    services = {
+        "PAYMENTS": health.services_health(roles.txn(spark, sf_dir), NOW, {**recharge, "VISA CARD": card}),
+        "SQR PAYMENT": health.log_service_health(roles.txn_log(spark, sf_dir), NOW, where=asked()),
+    }
+    return health.health_board(services)
 
 
 # --- cohorts -----------------------------------------------------------------------------------
