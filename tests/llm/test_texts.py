@@ -249,11 +249,75 @@ def test_imatch_of_odd_rows(spark):
     assert imatch.compare(docs.limit(0)).count() == 0
 
 
+def test_edits_of_a_text_that_a_third_of_the_rows_copy(spark):
+    import random
+
+    rng = random.Random(5)
+    def prose():
+        return " ".join(f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(120))
+
+    copied = " ".join(f"own{n}" for n in range(120))
+    texts = [copied if n % 3 == 0 else prose() for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = imatch.compare(docs).collect()
+    copies = [r for r in rows if r.doc_id % 3 == 0]
+    assert len({r.fingerprint for r in copies}) == 1
+    assert sum(r.near_edited for r in copies) / len(copies) > 0.25 and min(r.near_edited for r in copies) > 0
+    assert sum(r.near_next for r in rows) / len(rows) < 0.15
+
+
+def plain_two_levels(terms, hashes):
+    """What a plain reading of the module's text gives for a set of hashed terms."""
+    import math
+
+    level = max(0, math.ceil(math.log2(max(len(terms), 1) / (2 * imatch.SUBSETS)) / 2))
+    parts = [str(level)]
+    for size in (imatch.SUBSETS * 4 ** level, imatch.SUBSETS * 4 ** (level + 1)):
+        subsets = [sorted(t for t in terms if t % size == s) for s in range(imatch.SUBSETS)]
+        parts.append(".".join(hashes(tuple(s)) if s else "-" for s in subsets))
+    return "|".join(parts)
+
+
+def test_fingerprints_equal_a_plain_computation(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(10**9 + n, f"only{n} here{n} {'the ' * n}") for n in range(3)], docs.schema))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    words = {i: {w for w in re.split(r"[\s!-/:-@\[-`{-~]+", t.lower()) if w} for i, t in texts.items()}
+    vocabulary = sorted(set().union(*words.values()))
+    code = {r.w: r.h for r in spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    lexicon = {code[w] for w in plain_lexicon(texts.values(), 0.0005, 0.1)}
+    wanted = set()
+
+    def plain(i, hashes):
+        every = {code[w] for w in words[i]}
+        known = every & lexicon
+        first = plain_two_levels(known, hashes) if known else "w|" + hashes(("whole", *sorted(every)))
+        return first + ("~" + plain_two_levels(every, hashes) if len(known) * imatch.FEW < len(every) else "")
+
+    for i in texts:  # which sets are hashed
+        plain(i, lambda s: wanted.add(s) or "")
+    sets = spark.createDataFrame([([str(x) for x in s],) for s in wanted], "s array<string>")
+    value = F.xxhash64(F.transform(F.expr("filter(s, x -> x <> 'whole')"), lambda x: x.cast("long")))
+    known = {tuple(r.s): r for r in sets.select(
+        "s", F.lpad(F.lower(F.hex(F.pmod(value, F.lit(65536)))), 4, "0").alias("short"), F.hex(value).alias("long")).collect()}
+
+    def hashes(s):
+        row = known[tuple(str(x) for x in s)]
+        return row.long if s[0] == "whole" else row.short
+
+    got = {r.doc_id: r.fingerprint for r in imatch.compare(docs).collect()}
+    assert got == {i: plain(i, hashes) for i in texts}
+    assert any("~" in f for f in got.values()) and any("~" not in f for f in got.values())
+
+
 def test_likeness_at_neighbouring_levels(spark):
     from pyspark.sql import functions as F
 
     rows = [("1|a.-|b.-", "1|a.c|b.-", 0.5), ("0|x.x|a.-", "1|a.c|b.b", 0.5), ("0|a.a|a.a", "2|a.a|a.a", 0.0), ("w|AA", "w|AA", 1.0),
-            ("w|AA", "w|AB", 0.0), ("w|AA", "0|a.a|a.a", 0.0), (None, "w|A", 0.0), ("0|-.-|-.-", "0|-.-|-.a", 0.0)]
+            ("w|AA", "w|AB", 0.0), ("w|AA", "0|a.a|a.a", 0.0), (None, "w|A", 0.0), ("0|-.-|-.-", "0|-.-|-.a", 0.0),
+            ("w|A~0|a.b|-.-", "0|x.x|-.-~0|a.c|-.-", 0.5), ("w|A~0|a.b|-.-", "0|a.b|-.-", 0.0), ("0|a.b|-.-~0|x.x|-.-", "0|a.c|-.-", 0.5)]
     df = spark.createDataFrame(rows, "a string, b string, want double")
     assert all(r.got == r.want for r in df.withColumn("got", imatch.likeness(F.col("a"), F.col("b"))).collect())
 

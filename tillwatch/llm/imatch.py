@@ -7,6 +7,10 @@ text uses the level at which a subset holds about one of its terms, and the one
 any length keep some hashes when a part of them is edited. The likeness of two fingerprints is the share of
 equal hashes among the subsets that either text uses, at the coarser of their two levels.
 
+A text of which less than a quarter of the terms are in the lexicon (one that a large part of the rows copy, say)
+has a second part in its fingerprint, made in the same way of all its terms. Where both texts have one,
+these parts are compared, for a few lexicon terms say little about such texts.
+
 Terms are 64-bit hashes of the lowered runs between white space and punctuation.
 """
 
@@ -22,6 +26,8 @@ from tillwatch.llm.common import written
 SUBSETS = 32
 #: Stands in every text, so that a text without lexicon terms keeps its row; it is no term.
 _MARK = 0
+#: Texts whose lexicon terms are fewer than one in so many of their terms are also hashed over all terms.
+FEW = 4
 #: Lexicons of more terms are joined by shuffling.
 BROADCAST_TERMS = 2_000_000
 
@@ -61,15 +67,36 @@ def subset_hashes(terms: Column, size: Column) -> Column:
     return let(F.filter(terms, lambda t: F.pmod(t, size) < SUBSETS), each)
 
 
-def fingerprint(terms: Column, whole: Column) -> Column:
-    """level|hashes at the level|hashes at the next; w|hash of all words where no lexicon term occurs."""
+def level_of(size: Column) -> Column:
+    """The level at which a subset holds about one of ``size`` terms."""
+    return F.greatest(F.lit(0.0), F.ceil(F.log2(F.greatest(size, F.lit(1)) / F.lit(2.0 * SUBSETS)) / 2)).cast("int")
+
+
+def share_of(level: Column) -> Column:
+    """Into how many parts the terms are divided at a level; the first ``SUBSETS`` of them are the subsets."""
+    return (F.lit(SUBSETS) * F.pow(F.lit(4.0), level)).cast("long")
+
 
-    def of(own: Column) -> Column:
-        level = F.greatest(F.lit(0.0), F.ceil(F.log2(F.greatest(F.size(own), F.lit(1)) / F.lit(2.0 * SUBSETS)) / 2)).cast("int")
-        return let(level, lambda n: let((F.lit(SUBSETS) * F.pow(F.lit(4.0), n)).cast("long"), lambda size: F.concat_ws(
-            "|", n.cast("string"), subset_hashes(own, size), subset_hashes(own, size * 4))))
+def two_levels(terms: Column, level: Column) -> Column:
+    """level|hashes at the level|hashes at the next."""
+    return let(share_of(level), lambda size: F.concat_ws(
+        "|", level.cast("string"), subset_hashes(terms, size), subset_hashes(terms, size * 4)))
 
-    return F.when(F.size(terms) == 0, F.concat(F.lit("w|"), F.hex(whole))).otherwise(let(terms, of))
+
+def used_terms(words: Column) -> Column:
+    """(size, level, terms, whole) of all terms of a text: of the terms only those that fall into a subset."""
+    hashed = F.array_sort(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
+    return let(hashed, lambda every: let(level_of(F.size(every)), lambda level: let(share_of(level), lambda size: F.struct(
+        F.size(every).alias("size"), level.alias("level"), F.filter(every, lambda t: F.pmod(t, size) < SUBSETS).alias("terms"),
+        F.xxhash64(every).alias("whole")))))
+
+
+def fingerprint(terms: Column, every: Column) -> Column:
+    """The text's lexicon terms in two levels, or w|hash of all terms; ~ and all terms in two levels where few are in the lexicon."""
+    known = F.when(F.size(terms) == 0, F.concat(F.lit("w|"), F.hex(every["whole"]))).otherwise(
+        let(terms, lambda own: let(level_of(F.size(own)), lambda level: two_levels(own, level))))
+    few = F.size(terms) * FEW < every["size"]
+    return F.when(few, F.concat(known, F.lit("~"), let(every, lambda e: two_levels(e["terms"], e["level"])))).otherwise(known)
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -87,8 +114,13 @@ def likeness(one: Column, other: Column) -> Column:
                       lambda pairs: F.size(F.filter(pairs, lambda p: p == 2)) / F.nullif(F.size(F.filter(pairs, lambda p: p > 0)), F.lit(0)))
         return F.when(words | (F.abs(la - lb) > 1), 0.0).otherwise(F.coalesce(counted, F.lit(0.0)))
 
+    def part(print_: Column, n: int) -> Column:
+        return F.split(F.split_part(print_, F.lit("~"), F.lit(n)), r"\|")
+
+    both = one.contains("~") & other.contains("~")
+    sides = F.when(both, F.array(part(one, 2), part(other, 2))).otherwise(F.array(part(one, 1), part(other, 1)))
     return F.when(one.isNull() | other.isNull(), 0.0).when(one == other, 1.0).otherwise(
-        let(F.split(one, r"\|"), lambda a: let(F.split(other, r"\|"), lambda b: compared(a, b)))).cast("double")
+        let(sides, lambda s: compared(s[0], s[1]))).cast("double")
 
 
 def neighbours(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
@@ -143,15 +175,17 @@ def fingerprints(rows: DataFrame, terms: DataFrame, key: str, texts: tuple[str,
     kept = [F.col(c) for c in rows.columns if c not in texts]
     versions = F.array(*[F.struct(F.lit(n).alias("version"), distinct_terms(F.col(t)).alias("words")) for n, t in enumerate(texts)])
     each = rows.select(*kept, F.explode(versions).alias("v"))
-    # the hash of all words is made before the words are exploded, not once per word
-    each = each.select(*kept, "v.version", "v.words", F.xxhash64(F.array_sort("v.words")).alias("whole"))
-    each = each.select(*kept, "version", "whole", F.explode(F.concat("words", F.array(F.lit(None)))).alias("word"))
-    found = each.where("word is null or word <> ''").withColumn(
-        "term", F.when(F.col("word").isNull(), F.lit(_MARK)).otherwise(F.xxhash64("word"))).drop("word")
+    # what is made of all words is made before they are exploded, and travels with the mark alone
+    each = each.select(*kept, "v.version", "v.words", used_terms(F.col("v.words")).alias("every"))
+    each = each.select(*kept, "version", "every", F.explode(F.concat("words", F.array(F.lit(None)))).alias("word"))
+    marked = F.col("word").isNull()
+    found = each.where(marked | (F.col("word") != "")).withColumns({
+        "term": F.when(marked, F.lit(_MARK)).otherwise(F.xxhash64("word")), "every": F.when(marked, F.col("every"))}).drop("word")
     found = found.join(F.broadcast(known) if small else known, "term")
     names = [c for c in rows.columns if c not in texts]
-    sets = found.groupBy(*names, "version", "whole").agg(F.array_sort(F.collect_list("term")).alias("terms"))
-    made = sets.select(*names, "version", fingerprint(F.array_remove("terms", F.lit(_MARK).cast("long")), F.col("whole")).alias("fp"))
+    sets = found.groupBy(*names, "version").agg(
+        F.array_sort(F.collect_list("term")).alias("terms"), F.first("every", ignorenulls=True).alias("every"))
+    made = sets.select(*names, "version", fingerprint(F.array_remove("terms", F.lit(_MARK).cast("long")), F.col("every")).alias("fp"))
     return made.groupBy(*names).agg(*[F.max(F.when(F.col("version") == n, F.col("fp"))).alias(f"fp_{t}") for n, t in enumerate(texts)])
 
 
