@@ -48,6 +48,32 @@ def test_score_of_a_text_does_not_depend_on_its_batch(network):
     assert np.allclose(together, alone, atol=1e-4)
 
 
+def plain_logit(network, text):
+    """The network on one text, word by word and filter by filter."""
+    vectors = dict(zip(network.keys.tolist(), network.vectors[:-1].astype(float), strict=True))
+    words = [w for w in text.encode().split() if w]
+    zero = np.zeros(network.vectors.shape[1])
+    embedded = [sum((vectors.get(int(h), zero) for h in toxicity.features(words_of([w]))[:, 0]), zero) for w in words]
+    pooled = []
+    for weights, bias in zip(network.filters, network.biases, strict=True):
+        for f in range(weights.shape[2]):
+            peak = 0.0
+            for at in range(len(words)):
+                inside = [embedded[at + k] @ weights[k, :, f] for k in range(len(weights)) if at + k < len(words)]
+                peak = max(peak, sum(inside) + bias[f])
+            pooled.append(peak)
+    return float(np.dot(pooled, network.out) + network.bias)
+
+
+def test_scores_equal_a_plain_forward_pass(spark, network):
+    texts = [t for _, t, _, _ in toxic_rows(25, seed=11)] + ["", " ", "clown", "you moron", "trash.\nclowns\tw1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(docs, network, lang=None).collect()}
+    for i, text in enumerate(texts):
+        want = 1 / (1 + np.exp(-(network.slope * plain_logit(network, text) + network.offset)))
+        assert got[i] == pytest.approx(want, abs=1e-4), text
+
+
 def test_toxicity_of_odd_rows(spark, network):
     docs = spark.createDataFrame(
         [(1, None, "en", 7), (2, "", None, 7), (2, "", None, 7), (None, "you clown clown moron", "xx", 7), (3, "fine words " * 60000, "en", 7)],
@@ -134,6 +160,70 @@ def test_site_posteriors_by_hand(spark):
     assert own[("a", "x")] > means["a"] > own[("a", "y")]
 
 
+def plain_statistics(text):
+    import regex
+
+    n, space = max(len(text), 1), r"[ \t\n\x0b\f\r]"
+    words, lines = regex.split(space + "+", text), text.split("\n")
+    return [
+        min(np.log1p(len(text)) / 10, 1.5), len(regex.findall(r"[^\p{L}\p{N} \t\n\x0b\f\r.,;:!?'\"()-]", text)) / n,
+        len(regex.findall(r"\p{Lu}", text)) / n, len(regex.findall(r"\p{N}", text)) / n, sum(c in "!?|" for c in text) / n,
+        len(set(words)) / len(words), len(set(lines)) / len(lines), min(n / len(words) / 20, 2.0), min(len(lines) / len(words), 1.0)]
+
+
+def plain_weight(groups):
+    """Method of moments over (good, n, mean) of groups of two or more."""
+    some = [(g, n, m) for g, n, m in groups if n >= 2]
+    if len(some) < 2:
+        return 10.0
+    spread = sum((g - n * m) ** 2 / n for g, n, m in some)
+    single, weighted = sum(m * (1 - m) for _, _, m in some), sum(n * m * (1 - m) for _, n, m in some)
+    rho = (spread - single) / (weighted - single)
+    return float(np.clip(1 / rho - 1, 1, 1000)) if rho > 0 else 1000.0
+
+
+def test_quality_scores_equal_a_plain_computation(spark):
+    from collections import Counter
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        host, path = rng.choice(["a", "a", "a", "b", "c", None]), rng.choice(["x", "y", None])
+        good = rng.random() < {"a": 0.8, "b": 0.2}.get(host, 0.5)
+        words = [rng.choice(["Haus", "tree", "Fluß", "go"]) if good or rng.random() < 0.6 else rng.choice(["!!!", "9|9", "BUY", "$$"])
+                 for _ in range(rng.randrange(3, 60))]
+        rows.append((i, host, path, rng.choice([" ", "\n"]).join(words), int(good)))
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, source string, lang string, text string")
+    known = [r for r in rows if r[0] % 3]
+    labels = spark.createDataFrame([(r[0], r[4]) for r in known], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.score(docs, labels).collect()}
+
+    x = np.array([plain_statistics(r[3]) for r in known])
+    y = np.array([r[4] for r in known], float)
+    w, mean, spread = quality.fit_logistic(x, y)
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+    slope = z.T @ (1 / (1 + np.exp(-z @ w)) - y) + np.array([1.0] * quality.N_STATISTICS + [1e-6]) * w
+    assert np.abs(slope).max() < 1e-6  # the fit is the optimum of the penalised likelihood
+    good, n = Counter(), Counter()
+    for _, host, path, _, label in known:
+        for cell in (host, (host, path)):
+            n[cell] += 1
+            good[cell] += label
+    overall = (y.sum() + 1) / (len(y) + 2)
+    hosts = [c for c in n if not isinstance(c, tuple)]
+    weight = plain_weight([(good[h], n[h], overall) for h in hosts])
+    site = {h: (good[h] + weight * overall) / (n[h] + weight) for h in hosts}
+    cells = [c for c in n if isinstance(c, tuple)]
+    inner = plain_weight([(good[c], n[c], site[c[0]]) for c in cells])
+    site.update({c: (good[c] + inner * site[c[0]]) / (n[c] + inner) for c in cells})
+    base = np.log(y.mean() / (1 - y.mean()))
+    for i, host, path, text, _ in rows:
+        prior = site.get((host, path), site.get(host, overall))
+        odds = (np.array(plain_statistics(text)) - mean) / spread @ w[:-1] + w[-1] - base + np.log(prior / (1 - prior))
+        assert got[i].site_prior == pytest.approx(prior, rel=1e-9)
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-np.clip(odds, -30, 30))), abs=1e-6)
+
+
 def test_quality_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, None, None, 1), (2, "", "s", "en", 1), (2, "", "s", "en", 1), (None, "a b", "s", None, 1), (3, "word " * 100000, "t", "de", 1)],
