@@ -98,6 +98,26 @@ def test_parts_of_different_rows_never_link(spark):
     assert sorted(len(r.spans) for r in rows) == [0, 1]
 
 
+def test_links_equal_all_pairs(spark):
+    import random
+
+    rng, reach, spans = random.Random(4), 40, set()
+    for row in range(200):
+        for _ in range(rng.randrange(0, 12)):
+            start = rng.randrange(0, 400)
+            spans.add((row, rng.randrange(0, 6), start, start + rng.randrange(1, 60)))
+    wanted = set()
+    for row, kind, a, b in spans:
+        if kind not in (1, 3):
+            continue
+        scope = [s for s in spans if s[0] == row and s[1] not in (1, 3) and a - reach <= s[2] <= b + reach and (s[3] <= a or s[2] >= b)]
+        if any(s[1] in (0, 2, 4) for s in scope):
+            wanted |= {s for s in scope if s[1] in (4, 5)} | ({(row, kind, a, b)} if kind == 3 else set())
+    rows = spark.createDataFrame(sorted(spans), "row long, kind int, start long, stop long")
+    found = [tuple(r) for r in secrets.linked(rows, "row", reach).collect()]
+    assert len(found) == len(set(found)) and set(found) == wanted and len(wanted) > 50
+
+
 def test_many_candidates_in_one_text(spark):
     text = " ".join(f"user=name{k} {KEY}{k}" for k in range(3000))
     got = reported(spark, [(1, text)])
