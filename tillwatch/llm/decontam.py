@@ -2,10 +2,12 @@
 
 Benchmark items, long ones in passages, are TF-IDF vectors over their own words, with document frequencies counted over all
 documents. A randomised singular value decomposition, whose products with the matrix are Spark jobs over
-the item rows, gives the latent space of a block of passages. It has a dimension per passage, so that none
-loses a part of its norm in it, and blocks are small. Every document is cut into overlapping windows of three lengths;
-a window's latent vector is a sum of word vectors. Words are lowered runs between ASCII punctuation
-and white space, so shouting and scattered marks hide nothing. Windows near an item in the latent space are candidates; the longest
+the item rows, gives the truncated latent space of a block of items. Every document is cut into overlapping windows of three
+lengths; a window's latent vector is a sum of word vectors. Words are lowered runs between ASCII punctuation
+and white space, so shouting and scattered marks hide nothing.
+
+A segment of a document is searched for an item only if it and its neighbours hold enough of the item's rarest words for
+the last check, so this loses nothing. There, windows near a passage in the latent space are candidates; the longest
 common subsequence of the item's words and the words around the window decides, with a weaker limit where
 the item's answer (its last words) stands there as well.
 """
@@ -30,32 +32,39 @@ WINDOWS = (2, 4, 7)
 ANSWER_WORDS = 5
 #: Items of more words are cut into equal passages, for a window holds little of a long item's norm.
 PASSAGE = 64
+#: Words of a segment, the unit in which rare words are counted.
+SEGMENT = 256
+#: A passage of which the space keeps less than this part is a candidate wherever its item is searched for.
+KEPT = 0.15
 _ITEM = struct_of(("item_id", T.LongType()), ("words", T.ArrayType(T.LongType())))
 
 
 @dataclass
 class Index:
-    """The latent space of one block of items.
+    """The latent space of one block of items, and their rare words.
 
-    terms: sorted word hashes; weights: their idf; space: (terms, dims) right singular vectors;
-    items: (passages, dims) unit vectors; owner: the item of each passage, as its place in ids and words,
-    which hold whole items.
+    terms: sorted word hashes; weights: their idf, and 0 for other words; space: (terms + 1, dims) right singular
+    vectors times the idf; passages: (passages, dims) unit vectors, zero where too little of them is kept; first: the
+    passages of each item; holders, held_by: the items that have a term among their rare words, by term; least: how many
+    rare words an item's surroundings hold at least; reach: over how many segments they stretch.
     """
 
     terms: np.ndarray
     weights: np.ndarray
     space: np.ndarray
-    items: np.ndarray
-    owner: np.ndarray
+    passages: np.ndarray
+    first: np.ndarray
+    holders: np.ndarray
+    held_by: np.ndarray
+    least: np.ndarray
+    reach: np.ndarray
     ids: list[int]
     words: list[np.ndarray]
     near: float
     share: float
     share_with_answer: float
     lookup: Lookup | None = None
-    masks: list[dict[int, int]] | None = None
-    member: np.ndarray | None = None  # (items, terms + 1): which terms an item holds
-    complete: np.ndarray | None = None  # whether all of an item's passages are in this block
+    masks: dict[int, dict[int, int]] | None = None
 
 
 def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -155,27 +164,61 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
     return (basis @ turned[:, kept]).astype(np.float32) if basis.shape[1] == turned.shape[0] else basis[:, :dims].astype(np.float32)
 
 
-def fit(passages: DataFrame, rows: list, whole: dict, weight_of: tuple[np.ndarray, np.ndarray], dims: int | None = None,
-        near: float = 0.42, share: float = 0.7, share_with_answer: float = 0.5) -> Index:
-    """The index of one block of passages; its size is that of the block, whatever the number of documents.
+def rare_words(words: np.ndarray, rate: np.ndarray, need: int) -> tuple[np.ndarray, int]:
+    """The rarest words of an item (as places) and how many of them stand wherever ``need`` of its words do.
 
-    rows: the rows of ``passages``; whole: (id, words) of the items by row; weight_of: sorted word hashes, the
-    block's among them, and their idf. dims: by default one per passage, with which the space is exact.
+    Of an item's n words at most n - need are missing there, so of its m rarest at least m - (n - need) are not. Of the
+    possible m that one is taken which texts reach by chance the least (the Poisson tail's bound, with ``rate`` the
+    words' shares of documents).
+    """
+    places, times = np.unique(words, return_counts=True)
+    order = np.argsort(rate[places], kind="stable")
+    left = np.cumsum(times[order]) - (len(words) - need)
+    chance = np.maximum(2.0 * np.cumsum(rate[places[order]]), 1e-9)
+    usable = np.maximum(left, 1)
+    score = np.where(usable > chance, usable * np.log(usable / chance) - usable + chance, 0.0)
+    best = int(np.argmax(np.where(left > 0, score, -1.0)))
+    return places[order[:best + 1]], int(left[best])
+
+
+def fit(passages: DataFrame, items: list[tuple[int, np.ndarray]], weight_of: tuple[np.ndarray, np.ndarray, np.ndarray],
+        dims: int = 128, near: float = 0.35, share: float = 0.7, share_with_answer: float = 0.5) -> Index:
+    """The index of one block of items; its size is that of the block, whatever the number of documents.
+
+    items: (id, words) in the order of ``passages``; weight_of: sorted word hashes, the block's among them, their idf and
+    their share of documents. Blocks of at most ``dims`` passages have an exact space, others a truncated one.
     """
-    words = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in rows]
+    words = [own for _, own in items]
     terms = np.unique(np.concatenate(words))
-    weights = np.append(weight_of[1][np.searchsorted(weight_of[0], terms)], 0.0)
-    space = latent_space(passages, terms, weights, dims or len(words))
-    space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
+    at = np.searchsorted(weight_of[0], terms)
+    weights, rate = np.append(weight_of[1][at], 0.0), weight_of[2][at]
+    parts = [-(-len(own) // PASSAGE) for own in words]
+    first = np.concatenate(([0], np.cumsum(parts)))
+    space = latent_space(passages, terms, weights, min(dims, int(first[-1])))
     lookup = Lookup(terms)
-    vectors = np.zeros((len(words), space.shape[1]), np.float32)
-    for n_item, own in enumerate(words):
+    vectors = np.zeros((int(first[-1]), space.shape[1]), np.float32)
+    rare, least = [], []
+    for n, own in enumerate(words):
         place = lookup(own)
-        vectors[n_item] = weights[place] @ space[place]
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    owners, owner = np.unique([r["row"] for r in rows], return_inverse=True)
-    return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, owner, *map(list, zip(
-        *(whole[n] for n in owners.tolist()), strict=True)), near, share, share_with_answer)
+        for k in range(parts[n]):
+            part, times = np.unique(place[len(own) * k // parts[n]:len(own) * (k + 1) // parts[n]], return_counts=True)
+            whole = times * weights[part]
+            vector = whole @ space[part]
+            length = np.linalg.norm(vector)
+            if length > KEPT * np.linalg.norm(whole):
+                vectors[first[n] + k] = vector / length
+        few, at_least = rare_words(place, rate, max(1, int(np.ceil(min(share, share_with_answer) * len(own) - 1e-9))))
+        rare.append(few)
+        least.append(at_least)
+    owners = np.repeat(np.arange(len(words)), [len(few) for few in rare])
+    places = np.concatenate(rare)
+    order = np.argsort(places, kind="stable")
+    holders = np.searchsorted(places[order], np.arange(len(terms) + 2))
+    size = np.array([len(own) for own in words])
+    reach = -(-(6 * size + 64 + 2 * STEP) // SEGMENT) + 1  # the longest stretch that merged() gives, and words around it
+    space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
+    return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, first, holders, owners[order],
+                 np.array(least), reach, [i for i, _ in items], words, near, share, share_with_answer)
 
 
 def bits_of(item: np.ndarray) -> dict[int, int]:
@@ -212,17 +255,52 @@ def stands_in(answer: np.ndarray, words: np.ndarray) -> bool:
     return bool(np.lib.stride_tricks.sliding_window_view(words, n).__eq__(answer).all(axis=1).any())
 
 
+def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of numbers: which range each number belongs to, and the numbers, one range after the other."""
+    size = last - first
+    owner = np.repeat(np.arange(len(first)), size)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[owner]
+
+
+def searched(index: Index, place: np.ndarray, segment: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, item) pairs in order of segments: where enough of an item's rare words are within its reach.
+
+    segment: that of each word; stop: for each segment where those of its text end.
+    """
+    n = len(stop)
+    hit, holder = ranges(index.holders[place], index.holders[place + 1])
+    keys, times = np.unique(index.held_by[holder] * n + segment[hit], return_counts=True)
+    total = np.concatenate(([0], np.cumsum(times)))
+    item, begin = keys // n, keys % n
+    end = np.minimum(begin + index.reach[item], stop[begin])
+    enough = total[np.searchsorted(keys, item * n + end)] - total[:-1] >= index.least[item]
+    run, inside = ranges(begin[enough], end[enough])
+    pairs = np.unique(inside * len(index.ids) + item[enough][run])
+    return pairs // len(index.ids), pairs % len(index.ids)
+
+
 def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
     """(text, item, first, last) in order: spans of word numbers whose windows are near a passage of the item.
 
     place: the words' places among the index's terms.
     """
-    known = np.flatnonzero(index.weights[place] > 0)
-    if not len(known):
-        return np.zeros((0, 4), np.int64)
-    text = found.text_of()[known]
+    nothing = np.zeros((0, 4), np.int64)
+    sizes = np.diff(found.first)
+    texts = found.text_of()
+    base = np.concatenate(([0], np.cumsum(-(-sizes // SEGMENT))))
+    stop = np.repeat(base[1:], np.diff(base))
+    segment = base[texts] + (np.arange(len(texts)) - found.first[texts]) // SEGMENT
+    seg, item = searched(index, place, segment, stop)
+    if not len(seg):
+        return nothing
+    pair, passage = ranges(index.first[item], index.first[item + 1])
+    seg = seg[pair]
+    alive = np.zeros(len(sizes), bool)
+    alive[np.searchsorted(base, seg, side="right") - 1] = True
+    known = np.flatnonzero(alive[texts] & (index.weights[place] > 0))
+    text = texts[known]
     own = known - found.first[text]
-    steps = -(-np.diff(found.first) // STEP) + 2 * max(WINDOWS)  # empty steps before and after
+    steps = -(-sizes // STEP) + 2 * max(WINDOWS)  # empty steps before and after
     offset = np.concatenate(([0], np.cumsum(steps)))
     cell = offset[text] + own // STEP + (max(WINDOWS) - 1)
     cells, start = np.unique(cell, return_index=True)
@@ -236,16 +314,23 @@ def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
         begins = np.unique(begins.ravel()) * stride
         low, high = np.searchsorted(cells, begins), np.searchsorted(cells, begins + width)
         begins, low, high = begins[low < high], low[low < high], high[low < high]
-        for at in range(0, len(begins), 8192):
-            part = slice(at, at + 8192)
-            window = (vectors[high[part]] - vectors[low[part]]).astype(np.float32)
+        t = text[start[low]]
+        first = (begins - offset[t] - (max(WINDOWS) - 1)) * STEP
+        inside = base[t] + np.clip(first, 0, sizes[t] - 1) // SEGMENT
+        left, right = np.searchsorted(seg, inside), np.searchsorted(seg, inside, side="right")
+        cuts = np.cumsum(right - left) // 32768  # windows that share a number are compared together
+        for group in np.split(np.arange(len(begins)), np.flatnonzero(np.diff(cuts)) + 1):
+            group = group[left[group] < right[group]]
+            if not len(group):
+                continue
+            window = (vectors[high[group]] - vectors[low[group]]).astype(np.float32)
             length = np.linalg.norm(window, axis=1)
-            cosine = window @ index.items.T
-            n, item = np.nonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None])
-            t = text[start[low[part][n]]]
-            first = (begins[part][n] - offset[t] - (max(WINDOWS) - 1)) * STEP
-            out.append(np.stack([t, index.owner[item], first, first + width * STEP], axis=1))
-    every = np.concatenate(out)
+            w, k = ranges(left[group], right[group])
+            vector = index.passages[passage[k]]
+            near = (np.einsum("ij,ij->i", window[w], vector) >= index.near * length[w]) | ~vector.any(axis=1)
+            w, k = group[w[near]], pair[k[near]]
+            out.append(np.stack([t[w], item[k], first[w], first[w] + width * STEP], axis=1))
+    every = np.concatenate(out) if out else nothing
     return every[np.lexsort(every.T[::-1])]
 
 
@@ -265,72 +350,86 @@ def merged(index: Index, spans: np.ndarray) -> Iterator[tuple[int, int, int, int
 
 def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
     """For each text the items found in it, with the largest share of the item's words in order."""
+    return leaks_in(index, words_of(texts, IS_BREAK))
+
+
+def leaks_in(index: Index, found) -> list[dict[int, float]]:
+    """As ``leaks``, of texts whose words are found already."""
     if index.lookup is None:
-        index.lookup, index.masks = Lookup(index.terms), [bits_of(own) for own in index.words]
-        index.member = np.zeros((len(index.words), len(index.terms) + 1), bool)
-        for n, own in enumerate(index.words):
-            index.member[n, index.lookup(own)] = True
-        index.complete = ~index.member[:, -1]
-    found = words_of(texts, IS_BREAK)
+        index.lookup, index.masks = Lookup(index.terms), {}
     word = found.words()
     place = index.lookup(word)
     bounds = found.first.tolist()
-    out: list[dict[int, float]] = [{} for _ in texts]
+    out: list[dict[int, float]] = [{} for _ in bounds[1:]]
+    marked = np.zeros(len(index.terms) + 1, bool)
     for t, item, a, b in merged(index, candidates(index, found, place)):
         own, first, last = index.words[item], bounds[t], bounds[t + 1]
         reach = len(own)
         part = slice(max(first + a - reach, first), min(first + b + reach, last))
         least = min(index.share, index.share_with_answer) * len(own)
+        terms = np.searchsorted(index.terms, own)
+        marked[terms] = True
+        inside = marked[place[part]]
+        marked[terms] = False
+        if np.count_nonzero(inside) < least:  # no more can be in order
+            continue
+        if item not in index.masks:
+            index.masks[item] = bits_of(own)
         near = word[part]
-        if index.complete[item]:
-            inside = index.member[item][place[part]]
-            if np.count_nonzero(inside) < least:  # no more can be in order
-                continue
-            share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
-        else:
-            share = common_subsequence(index.masks[item], len(own), near, least) / len(own)
-        answer = own[-ANSWER_WORDS:]
-        if share >= index.share or (share >= index.share_with_answer and stands_in(answer, near)):
+        share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
+        if share >= index.share or (share >= index.share_with_answer and stands_in(own[-ANSWER_WORDS:], near)):
             out[t][index.ids[item]] = max(out[t].get(index.ids[item], 0.0), share)
     return out
 
 
+def blocks_of(items: DataFrame, block_items: int) -> list[tuple[int, int]]:
+    """Bounds of ``row``, both inclusive: runs of whole items with at most ``block_items`` passages, or one longer item."""
+    blocks: list[list[int]] = []
+    held = 0
+    for row, parts in items.orderBy("row").select("row", F.ceil(F.size("words") / F.lit(PASSAGE)).cast("int")).toLocalIterator():
+        held += parts
+        if blocks and held <= block_items:
+            blocks[-1][1] = row
+        else:
+            blocks.append([row, row])
+            held = parts
+    return [(a, b) for a, b in blocks]
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", items_name: str = "items",
-                  share_name: str = "share", block_items: int = 128, **options) -> DataFrame:
+                  share_name: str = "share", block_items: int = 2048, **options) -> DataFrame:
     """All columns of ``docs`` with the ids of the benchmark items found (sorted) and the largest share.
 
     An item is found where a latent candidate's surroundings hold at least ``share`` of its words in
     order, or ``share_with_answer`` and its last words in one piece. Whole texts are searched; null and
-    empty texts hold nothing. The benchmark is the query set; each block of at most ``block_items`` passages has a latent
-    space of as many dimensions. The documents are read once for all blocks' frequencies, and once for all blocks' search. Items that repeat are found under each of their ids; items without id or
-    words are left out. Added columns whose names are taken get underscores in front.
+    empty texts hold nothing. The benchmark is the query set, in blocks of whole items with at most ``block_items``
+    passages (a longer item is a block of its own), each with a latent space. The documents are read once for all
+    blocks' frequencies, and once for all blocks' search. Items that repeat are found under each of their ids; items
+    without id or words are left out. Added columns whose names are taken get underscores in front.
     """
     items_name = free_name(docs.columns, items_name)
     share_name = free_name([*docs.columns, items_name], share_name)
     items = written(item_words(benchmark).withColumn("row", F.monotonically_increasing_id()), "benchmark-items")
     spark = docs.sparkSession
-    whole = {r["row"]: (r["item_id"], np.array(r["words"], dtype=np.int64).view(np.uint64)) for r in items.collect()}
-    passages = written(passages_of(items), "benchmark-passages")
-    rows = passages.orderBy("row", "part").collect()
-    terms = np.unique(np.concatenate([words for _, words in whole.values()])) if whole else np.zeros(0, np.uint64)
-    weight_of = terms, idf(*document_counts(docs, terms, text)) if whole else np.zeros(0)
-    blocks = [rows[len(rows) * n // k:len(rows) * (n + 1) // k] for k in [-(-len(rows) // block_items)] for n in range(k)]
-    place = F.struct("row", "part")
-
-    def bound(row) -> Column:
-        return F.struct(F.lit(row["row"]).cast("long").alias("row"), F.lit(row["part"]).cast("int").alias("part"))
-
-    indexes = [spark.sparkContext.broadcast(fit(passages.where((place >= bound(own[0])) & (place <= bound(own[-1]))), own, whole, weight_of, **options))
-               for own in blocks]
+    known = items.select(F.explode("words").alias("term")).distinct().toPandas()["term"].to_numpy(np.int64)
+    terms = np.sort(known.view(np.uint64))
+    count, n_docs = document_counts(docs, terms, text) if len(terms) else (np.zeros(0, np.int64), 0)
+    weight_of = terms, idf(count, n_docs), count / max(n_docs, 1)
+    indexes = []
+    for a, b in blocks_of(items, block_items):
+        block = items.where(F.col("row").between(a, b))
+        own = [(r["item_id"], np.array(r["words"], dtype=np.int64).view(np.uint64)) for r in block.orderBy("row").collect()]
+        indexes.append(spark.sparkContext.broadcast(fit(passages_of(block), own, weight_of, **options)))
     schema = struct_of(*((f.name, f.dataType) for f in docs.schema.fields),
                        (items_name, T.ArrayType(T.LongType())), (share_name, T.DoubleType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, texts in pieces(batches, text, 1 << 18, lower=True):
             every: list[dict[int, float]] = [{} for _ in texts]
+            found = words_of(texts, IS_BREAK)
             for index in indexes:
-                for own, more in zip(every, leaks(index.value, texts), strict=True):
-                    for item, share in more.items():  # an item's passages may lie in two blocks
+                for own, more in zip(every, leaks_in(index.value, found), strict=True):
+                    for item, share in more.items():  # ids may repeat in other blocks
                         own[item] = max(own.get(item, 0.0), share)
             yield part.assign(**{items_name: [sorted(e) for e in every], share_name: [max(e.values(), default=0.0) for e in every]})
 
