@@ -45,8 +45,8 @@ class Index:
 
     terms: sorted word hashes; weights: their idf, and 0 for other words; space: (terms + 1, dims) right singular
     vectors times the idf; passages: (passages, dims) unit vectors, zero where too little of them is kept; first: the
-    passages of each item; holders, held_by: the items that have a term among their rare words, by term; least: how many
-    rare words an item's surroundings hold at least; reach: over how many segments they stretch.
+    passages of each item; holders, held_by: the items that have a term among their rare words, by term, and often: how
+    often they have it; least: how many rare words an item's surroundings hold at least; reach: over how many segments they stretch.
     """
 
     terms: np.ndarray
@@ -56,6 +56,7 @@ class Index:
     first: np.ndarray
     holders: np.ndarray
     held_by: np.ndarray
+    often: np.ndarray
     least: np.ndarray
     reach: np.ndarray
     ids: list[int]
@@ -164,8 +165,8 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
     return (basis @ turned[:, kept]).astype(np.float32) if basis.shape[1] == turned.shape[0] else basis[:, :dims].astype(np.float32)
 
 
-def rare_words(words: np.ndarray, rate: np.ndarray, need: int) -> tuple[np.ndarray, int]:
-    """The rarest words of an item (as places) and how many of them stand wherever ``need`` of its words do.
+def rare_words(words: np.ndarray, rate: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The rarest words of an item (as places), how often it has them, and how many of them stand wherever ``need`` of its words do.
 
     Of an item's n words at most n - need are missing there, so of its m rarest at least m - (n - need) are not. Of the
     possible m that one is taken which texts reach by chance the least (the Poisson tail's bound, with ``rate`` the
@@ -174,11 +175,12 @@ def rare_words(words: np.ndarray, rate: np.ndarray, need: int) -> tuple[np.ndarr
     places, times = np.unique(words, return_counts=True)
     order = np.argsort(rate[places], kind="stable")
     left = np.cumsum(times[order]) - (len(words) - need)
-    chance = np.maximum(2.0 * np.cumsum(rate[places[order]]), 1e-9)
+    chance = np.maximum(np.cumsum(times[order] * np.minimum(2.0 * rate[places[order]], 1.0)), 1e-9)
     usable = np.maximum(left, 1)
     score = np.where(usable > chance, usable * np.log(usable / chance) - usable + chance, 0.0)
     best = int(np.argmax(np.where(left > 0, score, -1.0)))
-    return places[order[:best + 1]], int(left[best])
+    kept = order[:best + 1]
+    return places[kept], times[kept], int(left[best])
 
 
 def fit(passages: DataFrame, items: list[tuple[int, np.ndarray]], weight_of: tuple[np.ndarray, np.ndarray, np.ndarray],
@@ -197,7 +199,7 @@ def fit(passages: DataFrame, items: list[tuple[int, np.ndarray]], weight_of: tup
     space = latent_space(passages, terms, weights, min(dims, int(first[-1])))
     lookup = Lookup(terms)
     vectors = np.zeros((int(first[-1]), space.shape[1]), np.float32)
-    rare, least = [], []
+    rare, often, least = [], [], []
     for n, own in enumerate(words):
         place = lookup(own)
         for k in range(parts[n]):
@@ -207,8 +209,9 @@ def fit(passages: DataFrame, items: list[tuple[int, np.ndarray]], weight_of: tup
             length = np.linalg.norm(vector)
             if length > KEPT * np.linalg.norm(whole):
                 vectors[first[n] + k] = vector / length
-        few, at_least = rare_words(place, rate, max(1, int(np.ceil(min(share, share_with_answer) * len(own) - 1e-9))))
+        few, times, at_least = rare_words(place, rate, max(1, int(np.ceil(min(share, share_with_answer) * len(own) - 1e-9))))
         rare.append(few)
+        often.append(times)
         least.append(at_least)
     owners = np.repeat(np.arange(len(words)), [len(few) for few in rare])
     places = np.concatenate(rare)
@@ -218,7 +221,7 @@ def fit(passages: DataFrame, items: list[tuple[int, np.ndarray]], weight_of: tup
     reach = -(-(6 * size + 64 + 2 * STEP) // SEGMENT) + 1  # the longest stretch that merged() gives, and words around it
     space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
     return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, first, holders, owners[order],
-                 np.array(least), reach, [i for i, _ in items], words, near, share, share_with_answer)
+                 np.concatenate(often)[order], np.array(least), reach, [i for i, _ in items], words, near, share, share_with_answer)
 
 
 def bits_of(item: np.ndarray) -> dict[int, int]:
@@ -267,10 +270,15 @@ def searched(index: Index, place: np.ndarray, segment: np.ndarray, stop: np.ndar
 
     segment: that of each word; stop: for each segment where those of its text end.
     """
-    n = len(stop)
+    n, n_terms = len(stop), len(index.terms) + 1
+    useful = index.holders[place] < index.holders[place + 1]
+    cell, count = np.unique(segment[useful] * n_terms + place[useful], return_counts=True)
+    segment, place = cell // n_terms, cell % n_terms
     hit, holder = ranges(index.holders[place], index.holders[place + 1])
-    keys, times = np.unique(index.held_by[holder] * n + segment[hit], return_counts=True)
-    total = np.concatenate(([0], np.cumsum(times)))
+    found = index.held_by[holder] * n + segment[hit]
+    order = np.argsort(found, kind="stable")
+    keys, begin = np.unique(found[order], return_index=True)
+    total = np.concatenate(([0], np.cumsum(np.minimum(count[hit], index.often[holder])[order])))[np.append(begin, len(order))]
     item, begin = keys // n, keys % n
     end = np.minimum(begin + index.reach[item], stop[begin])
     enough = total[np.searchsorted(keys, item * n + end)] - total[:-1] >= index.least[item]
