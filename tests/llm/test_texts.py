@@ -389,6 +389,26 @@ def test_large_benchmarks_lose_no_item(spark, size):
     assert {r.doc_id: set(r["items"]) & want[r.doc_id] for r in got} == want
 
 
+@pytest.mark.parametrize("size", [40, 400])
+def test_recall_of_paraphrases_with_the_answer(spark, size):
+    """Of 120 paraphrases with half or more of the words in order and the answer, nine in ten are found at least."""
+    rng = random.Random(size)
+    vocabulary = [f"{rng.choice('bcdfgh')}{k}" for k in range(4000)]
+    weights = [1 / (k + 5) for k in range(4000)]
+    items = [rng.choices(vocabulary, weights, k=rng.randrange(20, 60)) for _ in range(size)]
+    docs, want = [], {}
+    for k in range(120):
+        own = items[k % size]
+        kept = set(rng.sample(range(len(own) - 5), round(rng.uniform(0.55, 0.68) * len(own)) - 5))
+        passage = [w if n in kept or n >= len(own) - 5 else rng.choices(vocabulary, weights)[0] for n, w in enumerate(own)]
+        docs.append((k, " ".join([*rng.choices(vocabulary, weights, k=150), *passage, *rng.choices(vocabulary, weights, k=150)])))
+        assert longest(own, passage) >= len(own) / 2
+        want[k] = k % size
+    bench = spark.createDataFrame([(n, " ".join(own)) for n, own in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert sum(want[k] in got[k] for k in want) >= 0.9 * len(want)
+
+
 @pytest.mark.parametrize("block_items", [128, 7])
 def test_long_items_are_found(spark, block_items):
     rng = random.Random(14)
