@@ -227,7 +227,7 @@ def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
     cell = offset[text] + own // STEP + (max(WINDOWS) - 1)
     cells, start = np.unique(cell, return_index=True)
     vectors = np.zeros((len(cells) + 1, index.space.shape[1]))
-    np.cumsum(np.add.reduceat(index.space[place[known]], start, axis=0), axis=0, dtype=np.float64, out=vectors[1:])
+    np.cumsum(np.add.reduceat(index.space.take(place[known], axis=0), start, axis=0), axis=0, dtype=np.float64, out=vectors[1:])
     out: list[np.ndarray] = []
     for width in WINDOWS:
         # the longest windows begin at every other step; the empty steps keep texts apart
@@ -241,7 +241,7 @@ def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
             window = (vectors[high[part]] - vectors[low[part]]).astype(np.float32)
             length = np.linalg.norm(window, axis=1)
             cosine = window @ index.items.T
-            n, item = np.nonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None])
+            n, item = np.divmod(np.flatnonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None]), cosine.shape[1])
             t = text[start[low[part][n]]]
             first = (begins[part][n] - offset[t] - (max(WINDOWS) - 1)) * STEP
             out.append(np.stack([t, index.owner[item], first, first + width * STEP], axis=1))
@@ -273,7 +273,7 @@ def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
         index.complete = ~index.member[:, -1]
     found = words_of(texts, IS_BREAK)
     word = found.words()
-    place = index.lookup(word)
+    place = index.lookup(word).astype(np.intp)
     bounds = found.first.tolist()
     out: list[dict[int, float]] = [{} for _ in texts]
     for t, item, a, b in merged(index, candidates(index, found, place)):
@@ -283,7 +283,7 @@ def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
         least = min(index.share, index.share_with_answer) * len(own)
         near = word[part]
         if index.complete[item]:
-            inside = index.member[item][place[part]]
+            inside = index.member[item].take(place[part])
             if np.count_nonzero(inside) < least:  # no more can be in order
                 continue
             share = common_subsequence(index.masks[item], len(own), near[inside], least) / len(own)
