@@ -1,6 +1,7 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,21 @@ def test_a_failed_run_leaves_the_old_report(spark, frame, root):
     assert rows(reports.read_report(spark, "r", root)) == [("old", 1.5)]
 
 
+@pytest.mark.parametrize(("shared", "path", "fine"), [
+    ("file:///mnt/all", "file:///mnt/all/work-1/polled", True), ("/mnt/all/", "file:///mnt/all/r", True), ("file:///mnt/all", "/mnt/all", True),
+    ("file:///mnt/all", "file:///mnt/aller/r", False), ("file:///mnt/all", "/mnt/all/../own/r", False), ("hdfs://n/mnt/all", "/mnt/all/r", False),
+    (None, "/mnt/all/r", False), ("", "/mnt/all/r", False),
+])
+def test_a_cluster_takes_local_folders_in_the_shared_one_alone(spark, shared, path, fine):
+    conf = {"spark.master": "local-cluster[3,2,3000]"} | ({} if shared is None else {"spark.checkpoint.dir": shared})
+    cluster = SimpleNamespace(conf=conf, _jvm=spark._jvm, _jsc=spark._jsc)
+    if fine:
+        assert reports._Folder(cluster, path).markers() == []
+    else:
+        with pytest.raises(ValueError, match="all executors share"):
+            reports._Folder(cluster, path)
+
+
 def leftovers(root):
     return len(list(Path(root, "r", "versions").iterdir()))
 

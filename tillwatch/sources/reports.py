@@ -110,9 +110,17 @@ class _Folder:
         self._path = path
         self._files = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
         local = spark.conf.get("spark.master", "local").split("[")[0] == "local"
-        if self._files.getScheme() == "file" and not local:
+        if self._files.getScheme() == "file" and not local and not self._below(spark.conf.get("spark.checkpoint.dir", None)):
             raise ValueError(f"{path} is a folder of one machine; reports need one that all executors share")
 
+    def _below(self, shared: str | None) -> bool:
+        """Whether the folder lies in ``shared``: a mounted one, say, which has to be there for all executors."""
+        if not shared:
+            return False
+        where = self._at("").toUri().normalize().getPath()
+        root = self._jvm.org.apache.hadoop.fs.Path(shared).toUri()
+        return root.getScheme() in (None, "file") and f"{where}/".startswith(root.normalize().getPath().rstrip("/") + "/")
+
     def _at(self, child: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{child}" if child else self._path)
 
