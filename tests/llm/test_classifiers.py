@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tillwatch.llm import langid, quality, toxicity
 from tillwatch.llm.queries import op4_toxicity_cnn, op8_quality_bayes, op9_language_id
@@ -92,6 +93,41 @@ def test_toxicity_without_usable_labels(spark):
     assert [round(r.score, 3) for r in rows] == [0.01, 0.01]
 
 
+def test_every_labelled_text_is_trained_on_and_counted(spark):
+    rows = toxic_rows(4000, seed=5)
+    docs = spark.createDataFrame([(k, t, g) for k, t, _, g in rows] + [(k + 10**6, t, g) for k, t, _, g in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, y) for k, _, y, _ in rows] + [(7, 1), (7, 0)], "doc_id int, toxic int")
+    found = {r.doc_id: (r.text, r.label) for r in toxicity.labelled(docs, labels, "toxic", F.col("doc_id") != 9).collect()}
+    assert found == {k: (t, y) for k, t, y, _ in rows if k not in (7, 9)}
+    data = spark.createDataFrame([(t, y, g) for _, t, y, g in rows], "text string, label int, lang string")
+    share = sum(y for _, _, y, _ in rows) / len(rows)
+    keys, links = toxicity.telling_features(data.repartition(5), share, 4, 10**6)
+    every, n, bad = toxicity.feature_counts([t.encode() for _, t, _, _ in rows], np.array([y for _, _, y, _ in rows]))
+    assert keys.tolist() == every[n >= 4].tolist() and np.allclose(links, toxicity.link(n, bad, share)[n >= 4])
+    few, strong = toxicity.telling_features(data, share, 4, 50)
+    assert 0 < len(few) <= 50 and np.abs(strong).min() >= np.sort(np.abs(links))[-50] - 0.01
+    network = toxicity.fit(pd.DataFrame(rows[:300], columns=["doc_id", "text", "label", "lang"]))
+    assert toxicity.counted_logits(data, network)["n"].sum() == len(rows)
+
+
+def test_tasks_are_averaged_into_one_network(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TASK_ROWS", 300)
+    rows = toxic_rows(4000, seed=5)
+    docs = spark.createDataFrame([(k, t, g) for k, t, _, g in rows], "doc_id long, text string, lang string")
+    held = toxicity.averaged_round
+    tasks = []
+    monkeypatch.setattr(toxicity, "averaged_round", lambda own, *rest: (tasks.append(own.rdd.getNumPartitions()), held(own, *rest)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        network = toxicity.train(docs, spark.createDataFrame([(k, y) for k, _, y, _ in rows], "doc_id long, toxic int"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert min(tasks) > 1
+    new = toxic_rows(500, seed=9)
+    score = toxicity.sigmoid(network.slope * toxicity.logits(network, [t.encode() for _, t, _, _ in new]) + network.offset)
+    assert ((score >= 0.5) == np.array([y for _, _, y, _ in new])).mean() > 0.97 and set(network.thresholds) == {"en", "de"}
+
+
 def test_toxicity_query_on_held_out_documents(spark):
     rows = {r.doc_id: r for r in op4_toxicity_cnn(spark, SF).collect()}
     docs = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
