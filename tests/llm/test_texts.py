@@ -97,6 +97,15 @@ def test_shared_lines_of_articles_stay_but_link_lines_go(spark):
     assert got == {k: f"text {k} A motto." for k in range(3)}
 
 
+def test_pages_whose_lines_all_stay_are_aligned_too(spark):
+    page = "<article><p>text {0}</p><p>A motto.</p><p>end {0}</p></article>"
+    rows = [("a.org", f"/{k}", f"http://a.org/{k}", page.format(k)) for k in range(3)]
+    pages = spark.createDataFrame(rows, "host string, path string, u string, h string")
+    found = html_extract.deletions(html_extract.ordered_classes(pages)).collect()
+    assert [list(r["gone"]) for r in found] == [[1]] * 3
+    assert extracted(spark, [(k, r[2], r[3]) for k, r in enumerate(rows)]) == {k: f"text {k} A motto. end {k}" for k in range(3)}
+
+
 def section_pages(sections, each=10):
     page = "<body><div>Site</div><div>Section {0}</div><p>Text {0} {1}</p></body>"
     return [(s * each + k, f"http://hot.org/{s:04d}/{k}", page.format(s, k)) for s in range(sections) for k in range(each)]

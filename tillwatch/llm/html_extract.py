@@ -9,7 +9,7 @@ article are deleted only if they are nothing but links, for an article may share
 Pages of a host with the same lines are one class, and so have the same text. One page of each class stands in the order of
 paths, which is cut into blocks by position, whatever the size of a host; a block sees the ``REACH`` pages before
 and after it. A neighbour that shares most of its lines is a copy, and the next one is looked at instead. What is sorted and
-compared are hashes of lines. A page whose lines are all kept by their marks never leaves the task that reads it.
+compared are hashes of lines. Every page with a URL is compared, also one whose lines are all kept by their marks.
 """
 
 from __future__ import annotations
@@ -219,11 +219,6 @@ def shared_lines(one: Sequence, other: Sequence) -> set[int]:
     return found
 
 
-def is_open(page: list[Line]) -> bool:
-    """Whether differencing could delete a line of the page."""
-    return any(line.links or not line.inside for line in page)
-
-
 def shared_with_nearest(page: tuple, others: list[tuple]) -> set[int]:
     """Places of the lines that ``page`` shares with the first of ``others`` that is no copy of it.
 
@@ -285,11 +280,11 @@ def line_class(page: list[Line]) -> bytes:
 
 
 def ordered_classes(rows: DataFrame) -> DataFrame:
-    """(host, class, path, hashes, counts, open, place): one page of each class of lines of a host, numbered in order of paths.
+    """(host, class, path, hashes, counts, place): one page of each class of lines of a host, numbered in order of paths.
 
     Pages without a URL or without lines have no neighbours and are left out.
     """
-    schema = struct_of(("host", T.StringType()), ("path", T.StringType()), ("class", T.BinaryType()), ("open", T.BooleanType()),
+    schema = struct_of(("host", T.StringType()), ("path", T.StringType()), ("class", T.BinaryType()),
                        ("hashes", T.ArrayType(T.LongType())), ("counts", T.ArrayType(T.BooleanType())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,11 +294,11 @@ def ordered_classes(rows: DataFrame) -> DataFrame:
                 page = lines_of(source)
                 if page:
                     hashes = np.array([xxh3_64_intdigest(x.text.encode("utf-8", "surrogatepass")) for x in page], dtype=np.uint64).view(np.int64)
-                    out.append((host, path, line_class(page), is_open(page), hashes, [not x.links and not x.inside for x in page]))
+                    out.append((host, path, line_class(page), hashes, [not x.links and not x.inside for x in page]))
             yield pd.DataFrame(out, columns=schema.names)
 
     pages = rows.where("u is not null and h is not null").select("host", "path", "h").mapInPandas(run, schema)
-    first = F.min(F.struct("path", "open", "hashes", "counts")).alias("row")
+    first = F.min(F.struct("path", "hashes", "counts")).alias("row")
     classes = written(pages.groupBy("host", "class").agg(first).select("host", "class", "row.*"), "page-classes")
     placed = classes.repartitionByRange("host", "path", "class").sortWithinPartitions("host", "path", "class")
     placed = written(placed.withColumn("at", F.monotonically_increasing_id()), "page-order")
@@ -336,7 +331,7 @@ def deletions(classes: DataFrame) -> DataFrame:
         out = []
         for start, end in zip(edges, edges[1:], strict=False):
             for k in range(start, end):
-                if places[k] // BLOCK == key[0] and rows["open"][k]:
+                if places[k] // BLOCK == key[0]:
                     low, high = max(start, k - REACH), min(end, k + REACH + 1)
                     gone = shared_with_nearest(pages[k], [pages[n] for n in by_nearness(k, paths, low, high)])
                     if gone:
@@ -365,26 +360,23 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     lined = struct_of(("k", kind), ("u", T.StringType()), ("host", T.StringType()), ("class", T.BinaryType()),
                       ("lines", T.ArrayType(T.StringType())), ("loose", T.ArrayType(T.BooleanType())))
 
-    def settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for k, u, h in zip(batch["k"].array, batch["u"], batch["h"], strict=True):
-                page = lines_of(h) if isinstance(h, str) else []
-                if not isinstance(u, str) or not is_open(page):
-                    out.append((k, u, " ".join(x.text for x in page)))
+                out.append((k, u, " ".join(x.text for x in lines_of(h)) if isinstance(h, str) else ""))
             yield pd.DataFrame(out, columns=plain.names)
 
-    def loose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for k, u, h, host in zip(batch["k"].array, batch["u"], batch["h"], batch["host"], strict=True):
                 page = lines_of(h)
-                if is_open(page):
-                    out.append((k, u, host, line_class(page), [x.text for x in page], [x.links or not x.inside for x in page]))
+                out.append((k, u, host, line_class(page), [x.text for x in page], [x.links or not x.inside for x in page]))
             yield pd.DataFrame(out, columns=lined.names)
 
-    done = rows.select("k", "u", "h").mapInPandas(settled, plain)
-    rest = rows.where("u is not null and h is not null").select("k", "u", "h", "host").mapInPandas(loose, lined)
+    done = rows.where("u is null or h is null").select("k", "u", "h").mapInPandas(alone, plain)
+    rest = rows.where("u is not null and h is not null").select("k", "u", "h", "host").mapInPandas(compared, lined)
     kept = F.filter(F.transform("lines", lambda x, n: F.when(
         F.col("gone").isNull() | ~F.array_contains("gone", n) | ~F.get("loose", n), x)), lambda x: x.isNotNull())
     rest = rest.join(gone, ["host", "class"], "left").select(
