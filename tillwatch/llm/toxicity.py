@@ -359,7 +359,7 @@ def telling_features(rows: DataFrame, share: float, least_texts: int, most: int)
                 break
             least = row["s"]
         counts = counts.where(strength >= least) if least is not None else counts.limit(0)
-    found = counts.select("key", "z").toPandas()
+    found = counts.select("key", "z").toArrow().to_pandas()
     keys = found["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], found["z"].to_numpy(np.float64)[order]
@@ -401,7 +401,7 @@ def averaged_round(rows: DataFrame, training: Training, batch: int, seed: int) -
 
     schema = "row int, n long, speed double, " + ", ".join(f"{name} double" for name in names)
     changes = rows.select("text", "label").mapInPandas(run, schema)
-    mean = changes.groupBy("row").agg(*[(F.sum(c) / F.sum("n")).cast("float").alias(c) for c in ("speed", *names)]).toPandas()
+    mean = changes.groupBy("row").agg(*[(F.sum(c) / F.sum("n")).cast("float").alias(c) for c in ("speed", *names)]).toArrow().to_pandas()
     shared.destroy()
     row, values = mean["row"].to_numpy(), mean[names].to_numpy(np.float64)
     small = training.small()
@@ -422,7 +422,7 @@ def counted_logits(rows: DataFrame, network: Network) -> pd.DataFrame:
             yield part[["lang", "label"]].assign(step=np.rint(x / LOGIT_STEP).astype(np.int64))
 
     found = rows.select("text", "lang", "label").mapInPandas(run, "lang string, label int, step long")
-    found = found.groupBy("lang", "label", "step").agg(F.count("*").alias("n")).toPandas()
+    found = found.groupBy("lang", "label", "step").agg(F.count("*").alias("n")).toArrow().to_pandas()
     return found.assign(x=found["step"] * LOGIT_STEP)
 
 
