@@ -448,6 +448,51 @@ class Stretch(list):
         return self
 
 
+@pytest.mark.parametrize("block_items", [128, 6])
+def test_the_bound_leaves_out_nothing_that_the_search_confirms(spark, monkeypatch, block_items):
+    rng = random.Random(15)
+    vocabulary = [f"{rng.choice('bcdfgh')}{k}" for k in range(300)]
+    weights = [1 / (k + 2) for k in range(300)]
+    items = [rng.choices(vocabulary, weights, k=n) for n in [1, 2, 3, 4, 5, 6, 9, 63, 64, 65, 150, 400] + [rng.randrange(15, 60) for _ in range(28)]]
+    items += [items[9], ["same"] * 20]
+    texts = [[], ["same"] * 15]
+    for k in range(90):
+        own = items[k % len(items)]
+        kept = [w for w in own if rng.random() < rng.choice((0.5, 0.72, 0.9))] + own[-5:] * (k % 2)
+        texts.append(rng.choices(vocabulary, weights, k=rng.choice((0, 100, 900))) + kept + rng.choices(vocabulary, weights, k=rng.choice((0, 40, 1500))))
+    indexes, fit = [], decontam.fit
+    monkeypatch.setattr(decontam, "fit", lambda *args, **options: indexes.append(fit(*args, **options)) or indexes[-1])
+    got = decontam.decontaminate(spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1), spark.createDataFrame(
+        [(n, " ".join(own)) for n, own in enumerate(items)], "item_id long, text string"), block_items=block_items).collect()
+    want = []
+    for _, part in decontam.pieces([decontam.pd.DataFrame({"text": [" ".join(t) for t in texts]})], "text", 1 << 18):
+        every = [{} for _ in part]
+        for index in indexes:
+            for own, more in zip(every, decontam.leaks(index, part), strict=True):
+                for item, share in more.items():
+                    own[item] = max(own.get(item, 0.0), share)
+        want += every
+    assert {r.doc_id: (r["items"], r["share"]) for r in got} == {k: (sorted(w), max(w.values(), default=0.0)) for k, w in enumerate(want)}
+    assert sum(map(len, want)) > 100
+
+
+def test_few_texts_could_hold_an_item():
+    rng = random.Random(16)
+    vocabulary = [f"{rng.choice('bcdfgh')}{k}" for k in range(4000)]
+    weights = [1 / (k + 5) for k in range(4000)]
+    items = [rng.choices(vocabulary, weights, k=rng.randrange(15, 60)) for _ in range(150)]
+    texts = [rng.choices(vocabulary, weights, k=100) + (items[k] if k % 20 == 0 else []) + rng.choices(vocabulary, weights, k=100) for k in range(150)]
+    words = [words_of([" ".join(own).encode()], decontam.IS_BREAK).words() for own in items]
+    terms = decontam.np.unique(decontam.np.concatenate(words))
+    found = words_of([" ".join(t).encode() for t in texts], decontam.IS_BREAK)
+    place = decontam.np.searchsorted(terms, found.words()).clip(max=len(terms) - 1)
+    known = terms[place] == found.words()
+    pairs = decontam.np.unique(found.text_of()[known] * len(terms) + place[known])
+    weights = decontam.idf(decontam.np.bincount(pairs % len(terms), minlength=len(terms)), 150)
+    pairs = decontam.Screen(list(range(150)), words, (terms, weights))(found).tolist()
+    assert {(k, k) for k in range(0, 150, 20)} <= set(map(tuple, pairs)) and len(pairs) < 30  # of 22,500
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -8,6 +8,9 @@ a window's latent vector is a sum of word vectors. Words are lowered runs betwee
 and white space, so shouting and scattered marks hide nothing. Windows near an item in the latent space are candidates; the longest
 common subsequence of the item's words and the words around the window decides, with a weaker limit where
 the item's answer (its last words) stands there as well.
+
+Before the search an exact bound is taken: a text is searched for the items that could pass that decision by the words
+they share with a stretch of the text, or whose answer stands in it. Other items would be refused at the end.
 """
 
 from __future__ import annotations
@@ -22,12 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.llm.common import free_name, pieces, ship, struct_of, written
-from tillwatch.llm.textkit import IS_BREAK, Lookup, words_of
+from tillwatch.llm.textkit import IS_BREAK, Lookup, mix, words_of
 
 STEP = 8
 #: Windows in steps of eight words: the lengths cover short items and the middle of long ones.
 WINDOWS = (2, 4, 7)
 ANSWER_WORDS = 5
+SHARE = 0.7
 #: Items of more words are cut into equal passages, for a window holds little of a long item's norm.
 PASSAGE = 64
 _ITEM = struct_of(("item_id", T.LongType()), ("words", T.ArrayType(T.LongType())))
@@ -54,6 +58,7 @@ class Index:
     share_with_answer: float
     lookup: Lookup | None = None
     masks: list[dict[int, int]] | None = None
+    rows: np.ndarray | None = None  # the items' rows in the whole benchmark
     member: np.ndarray | None = None  # (items, terms + 1): which terms an item holds
     complete: np.ndarray | None = None  # whether all of an item's passages are in this block
 
@@ -156,7 +161,7 @@ def latent_space(items: DataFrame, terms: np.ndarray, weights: np.ndarray, dims:
 
 
 def fit(passages: DataFrame, rows: list, whole: dict, weight_of: tuple[np.ndarray, np.ndarray], dims: int | None = None,
-        near: float = 0.42, share: float = 0.7, share_with_answer: float = 0.5) -> Index:
+        near: float = 0.42, share: float = SHARE, share_with_answer: float = 0.5) -> Index:
     """The index of one block of passages; its size is that of the block, whatever the number of documents.
 
     rows: the rows of ``passages``; whole: (id, words) of the items by row; weight_of: sorted word hashes, the
@@ -175,7 +180,114 @@ def fit(passages: DataFrame, rows: list, whole: dict, weight_of: tuple[np.ndarra
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     owners, owner = np.unique([r["row"] for r in rows], return_inverse=True)
     return Index(terms, weights, (space * weights[:, None]).astype(np.float32), vectors, owner, *map(list, zip(
-        *(whole[n] for n in owners.tolist()), strict=True)), near, share, share_with_answer)
+        *(whole[n] for n in owners.tolist()), strict=True)), near, share, share_with_answer, rows=owners)
+
+
+class Bound:
+    """The items that enough of their rarest words occur in a stretch for.
+
+    An item with ``share`` of its n words in order lacks u = n - share * n of them at most, so that of any s of its words
+    s - u occur. The s rarest are taken, for they have few postings; repeated words count as often as the item has them.
+    """
+
+    def __init__(self, items: list[np.ndarray], numbers: list[int], weight_of: tuple[np.ndarray, np.ndarray], share: float):
+        self.numbers, self.need = np.array(numbers, dtype=np.int64), np.zeros(len(numbers), np.int64)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k, number in enumerate(numbers):
+            own = items[number]
+            lacking = len(own) - int(np.ceil(share * len(own) - 1e-9))
+            rarest = min(len(own), lacking + -(-len(own) // 3))
+            order = np.argsort(-weight_of[1][np.searchsorted(weight_of[0], own)], kind="stable")[:rarest]
+            words, times = np.unique(own[order], return_counts=True)
+            held.append((words, np.full(len(words), k), times))
+            self.need[k] = rarest - lacking
+        words, item, times = (np.concatenate(column) for column in zip(*held, strict=True))
+        order = np.argsort(words, kind="stable")
+        self.terms, self.first = np.unique(words[order], return_index=True)
+        self.first = np.append(self.first, len(words))
+        self.item, self.times = item[order], times[order]
+        self.lookup: Lookup | None = None
+
+    def __call__(self, word: np.ndarray, text: np.ndarray, first: np.ndarray, span: int | None) -> np.ndarray:
+        """(text, item number) of the items whose bound is met in a stretch of ``span`` words, or in a whole text.
+
+        Stretches are two spans long and begin at every span, so that any ``span`` words lie in one.
+        """
+        if self.lookup is None:
+            self.lookup = Lookup(self.terms)
+        place = self.lookup(word)
+        known = np.flatnonzero(place < len(self.terms))
+        place, text_of_known = place[known].astype(np.int64), text[known]
+        owner = np.arange(len(first) - 1)
+        if span is None:
+            pairs = text_of_known * len(self.terms) + place
+        else:
+            many = np.maximum(-(-np.diff(first) // span) - 1, 1)
+            begin, owner = np.cumsum(many) - many, np.repeat(owner, many)
+            part, last = (known - first[text_of_known]) // span, many[text_of_known] - 1
+            pairs = np.concatenate([(begin[text_of_known] + np.minimum(part, last)) * len(self.terms) + place,
+                                    (begin[text_of_known] + np.maximum(part - 1, 0)) * len(self.terms) + place])
+        stretch, term = np.divmod(np.unique(pairs), len(self.terms))
+        step = max(1, (1 << 22) // max(len(self.item), len(self.need)))
+        found = [np.zeros((0, 2), np.int64)]
+        for at in range(0, len(owner), step):
+            low, high = np.searchsorted(stretch, (at, at + step))
+            own = term[low:high]
+            count = self.first[own + 1] - self.first[own]
+            posting = np.repeat(self.first[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            n = min(step, len(owner) - at)
+            met = np.bincount(np.repeat(stretch[low:high] - at, count) * len(self.need) + self.item[posting],
+                              self.times[posting], n * len(self.need)).reshape(n, -1) >= self.need
+            where, item = np.nonzero(met)
+            found.append(np.stack([owner[at + where], self.numbers[item]], axis=1))
+        return np.concatenate(found)
+
+
+class Screen:
+    """Which items the texts could hold: all that ``leaks`` would confirm, and few more.
+
+    An item is confirmed with ``share`` of its words in order in a stretch of at most six times its length and 64 words
+    (``merged`` and the reach on both sides), or with fewer where its answer stands in the text.
+    """
+
+    def __init__(self, rows: list[int], items: list[np.ndarray], weight_of: tuple[np.ndarray, np.ndarray], share: float = SHARE):
+        self.rows = np.array(rows, dtype=np.int64)
+        self.bounds = []
+        for span, numbers in ((6 * PASSAGE + 64, [k for k, own in enumerate(items) if len(own) <= PASSAGE]),
+                              (None, [k for k, own in enumerate(items) if len(own) > PASSAGE])):
+            if numbers:
+                self.bounds.append((span, Bound(items, numbers, weight_of, share)))
+        self.answers = []
+        for length in sorted({min(len(own), ANSWER_WORDS) for own in items}):
+            numbers = np.array([k for k, own in enumerate(items) if min(len(own), ANSWER_WORDS) == length])
+            hashes = np.concatenate([runs(items[k][-length:], length) for k in numbers])
+            order = np.argsort(hashes, kind="stable")
+            keys, first = np.unique(hashes[order], return_index=True)
+            self.answers.append([length, keys, np.append(first, len(order)), numbers[order], None])
+
+    def __call__(self, found) -> np.ndarray:
+        """(text, item number) in order, once each; an item's number is its place in ``rows``."""
+        word, text = found.words(), found.text_of()
+        pairs = [np.zeros((0, 2), np.int64), *(bound(word, text, found.first, span) for span, bound in self.bounds)]
+        for answer in self.answers:
+            length, keys, first, numbers, lookup = answer
+            if lookup is None:
+                lookup = answer[-1] = Lookup(keys)
+            place = lookup(runs(word, length))
+            at = np.flatnonzero(place < len(keys))
+            for t, p in {(t, p) for t, p in zip(text[at].tolist(), place[at].tolist(), strict=True)}:
+                pairs.append(np.stack([np.full(first[p + 1] - first[p], t), numbers[first[p]:first[p + 1]]], axis=1))
+        text, item = np.concatenate(pairs).T
+        return np.stack(np.divmod(np.unique(text * len(self.rows) + item), max(len(self.rows), 1)), axis=1)
+
+
+def runs(word: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every ``length`` words that follow each other."""
+    n = max(len(word) - length + 1, 0)
+    rolled = np.zeros(n, dtype=np.uint64)
+    for k in range(length):
+        rolled += word[k:n + k] * np.uint64(2 * pow(7919, k + 1, 1 << 62) + 1)
+    return mix(rolled)
 
 
 def bits_of(item: np.ndarray) -> dict[int, int]:
@@ -212,10 +324,10 @@ def stands_in(answer: np.ndarray, words: np.ndarray) -> bool:
     return bool(np.lib.stride_tricks.sliding_window_view(words, n).__eq__(answer).all(axis=1).any())
 
 
-def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
+def candidates(index: Index, found, place: np.ndarray, possible: np.ndarray | None = None) -> np.ndarray:
     """(text, item, first, last) in order: spans of word numbers whose windows are near a passage of the item.
 
-    place: the words' places among the index's terms.
+    place: the words' places among the index's terms; possible: (texts, items), the items to search a text for (all).
     """
     known = np.flatnonzero(index.weights[place] > 0)
     if not len(known):
@@ -243,6 +355,9 @@ def candidates(index: Index, found, place: np.ndarray) -> np.ndarray:
             cosine = window @ index.items.T
             n, item = np.divmod(np.flatnonzero(cosine >= index.near * np.maximum(length, 1e-9)[:, None]), cosine.shape[1])
             t = text[start[low[part][n]]]
+            if possible is not None:
+                wanted = np.flatnonzero(possible[t, index.owner[item]])
+                n, item, t = n[wanted], item[wanted], t[wanted]
             first = (begins[part][n] - offset[t] - (max(WINDOWS) - 1)) * STEP
             out.append(np.stack([t, index.owner[item], first, first + width * STEP], axis=1))
     every = np.concatenate(out)
@@ -263,20 +378,27 @@ def merged(index: Index, spans: np.ndarray) -> Iterator[tuple[int, int, int, int
         yield tuple(held)
 
 
-def leaks(index: Index, texts: list[bytes]) -> list[dict[int, float]]:
-    """For each text the items found in it, with the largest share of the item's words in order."""
+def leaks(index: Index, texts: list[bytes], possible: np.ndarray | None = None, found=None) -> list[dict[int, float]]:
+    """For each text the items found in it, with the largest share of the item's words in order.
+
+    possible: (texts, items of the index), the items to search a text for; by default all. found: the texts' words, if known.
+    """
     if index.lookup is None:
         index.lookup, index.masks = Lookup(index.terms), [bits_of(own) for own in index.words]
         index.member = np.zeros((len(index.words), len(index.terms) + 1), bool)
         for n, own in enumerate(index.words):
             index.member[n, index.lookup(own)] = True
         index.complete = ~index.member[:, -1]
-    found = words_of(texts, IS_BREAK)
+    found = found or words_of(texts, IS_BREAK)
     word = found.words()
-    place = index.lookup(word).astype(np.intp)
+    if possible is None:
+        place = index.lookup(word).astype(np.intp)
+    else:  # windows lie as they would among all texts
+        place, searched = np.full(len(word), len(index.terms)), possible.any(axis=1)[found.text_of()]
+        place[searched] = index.lookup(word[searched])
     bounds = found.first.tolist()
     out: list[dict[int, float]] = [{} for _ in texts]
-    for t, item, a, b in merged(index, candidates(index, found, place)):
+    for t, item, a, b in merged(index, candidates(index, found, place, possible)):
         own, first, last = index.words[item], bounds[t], bounds[t + 1]
         reach = len(own)
         part = slice(max(first + a - reach, first), min(first + b + reach, last))
@@ -322,14 +444,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     indexes = [spark.sparkContext.broadcast(fit(passages.where((place >= bound(own[0])) & (place <= bound(own[-1]))), own, whole, weight_of, **options))
                for own in blocks]
+    in_order = sorted(whole)
+    screen = spark.sparkContext.broadcast(Screen(in_order, [whole[n][1] for n in in_order], weight_of, options.get("share", SHARE)))
     schema = struct_of(*((f.name, f.dataType) for f in docs.schema.fields),
                        (items_name, T.ArrayType(T.LongType())), (share_name, T.DoubleType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, texts in pieces(batches, text, 1 << 18, lower=True):
             every: list[dict[int, float]] = [{} for _ in texts]
-            for index in indexes:
-                for own, more in zip(every, leaks(index.value, texts), strict=True):
+            found = words_of(texts, IS_BREAK)
+            pairs = screen.value(found)
+            for index in indexes if len(pairs) else ():
+                of_block = np.searchsorted(screen.value.rows, index.value.rows)
+                mine = pairs[np.isin(pairs[:, 1], of_block)]
+                if not len(mine):
+                    continue
+                possible = np.zeros((len(texts), len(of_block)), bool)
+                possible[mine[:, 0], np.searchsorted(of_block, mine[:, 1])] = True
+                for own, more in zip(every, leaks(index.value, texts, possible, found), strict=True):
                     for item, share in more.items():  # an item's passages may lie in two blocks
                         own[item] = max(own.get(item, 0.0), share)
             yield part.assign(**{items_name: [sorted(e) for e in every], share_name: [max(e.values(), default=0.0) for e in every]})
