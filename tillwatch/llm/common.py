@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,13 +88,30 @@ def struct_of(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker lives as long as its executor, and the C library keeps what arrays used."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def lean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches; what was used for one goes back to the system before the next."""
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+
+
 def pieces(batches: Iterator[pd.DataFrame], column: str, limit: int = CHUNK_BYTES,
            lower: bool = False) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
     """Slices of the batches with the UTF-8 bytes of ``column``, of about ``limit`` bytes (null: empty).
 
     ``lower`` lowers all letters first, not only those of ASCII.
     """
-    for batch in batches:
+    for batch in lean(batches):
         texts, start, held = [], 0, 0
         for n, text in enumerate(batch[column]):
             text = text if isinstance(text, str) else ""

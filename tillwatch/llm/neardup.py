@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwatch.llm.common import pieces, ship, struct_of, written
+from tillwatch.llm.common import lean, pieces, ship, struct_of, written
 from tillwatch.llm.textkit import mix, shingle_sets
 
 BANDS, ROWS = 36, 6
@@ -39,6 +39,8 @@ REGISTERS = BANDS * ROWS
 FIRST_BANDS = 4
 #: Families of more rows are compared in blocks of so many.
 BLOCK = 128
+#: Pairs of sketches whose likelihoods a task holds at a time, and shared shingles of two blocks that it holds.
+HELD_PAIRS, HELD_SHARED = 1024, 1 << 19
 BASE, SCALE = 1.02, 20.0
 #: Registers are cut to 0..LIMIT: h down to b^-LIMIT, sets of more than 10^10 shingles.
 LIMIT = 1400
@@ -79,7 +81,7 @@ def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                        ("set_b", T.LongType()), ("registers", T.BinaryType()), ("bands", T.ArrayType(T.LongType())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, texts in pieces(batches, text):
+        for part, texts in pieces(batches, text, 1 << 18):
             sets = shingle_sets(texts, size)
             sketches = np.stack([registers(s) for s in sets])
             a = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
@@ -124,11 +126,12 @@ def promising(pairs: DataFrame, sketches: DataFrame, key: str, percent: int) ->
     kind = pairs.schema["a"].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                a, b = (np.frombuffer(b"".join(batch[f"r_{s}"]), dtype=np.int16).reshape(len(batch), -1) for s in "ab")
-                found = likeliest(a, b, batch["n_a"].to_numpy(float), batch["n_b"].to_numpy(float))
-                yield batch.loc[found >= percent / 100 - MARGIN, ["a", "b"]]
+        for batch in lean(batches):
+            for begin in range(0, len(batch), HELD_PAIRS):
+                part = batch.iloc[begin:begin + HELD_PAIRS]
+                a, b = (np.frombuffer(b"".join(part[f"r_{s}"]), dtype=np.int16).reshape(len(part), -1) for s in "ab")
+                found = likeliest(a, b, part["n_a"].to_numpy(float), part["n_b"].to_numpy(float))
+                yield part.loc[found >= percent / 100 - MARGIN, ["a", "b"]]
 
     return both.mapInPandas(run, struct_of(("a", kind), ("b", kind)))
 
@@ -145,7 +148,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_text, held_set = None, None
-        for batch in batches:
+        for batch in lean(batches):
             good = np.zeros(len(batch), dtype=bool)
             for n, (one, other) in enumerate(zip(batch["text_a"], batch["text_b"], strict=True)):
                 if one != held_text:  # the pairs of one hub follow each other
@@ -222,6 +225,26 @@ def row_pairs(at: DataFrame, outside: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
+def shared_counts(wanted: np.ndarray, owner_x: np.ndarray, n_x: int, values: np.ndarray, owner_y: np.ndarray, n_y: int) -> np.ndarray:
+    """(sets x, sets y): how many shingles two sets share; ``wanted`` and ``values`` are the sets' shingles, with their owners.
+
+    A shingle of ``wanted`` stands once for every set y that holds it, so few of them are taken at a time.
+    """
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owner_y[order]
+    low, high = np.searchsorted(values, wanted), np.searchsorted(values, wanted, side="right")
+    ends = np.cumsum(high - low)
+    shared, begin = np.zeros(n_x * n_y, dtype=np.int64), 0
+    while begin < len(wanted):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + HELD_SHARED, side="right")))
+        first, count = low[begin:end], high[begin:end] - low[begin:end]
+        place = np.repeat(first - (ends[begin:end] - count - before), count) + np.arange(count.sum())
+        shared += np.bincount(np.repeat(owner_x[begin:end], count) * n_y + owners[place], minlength=n_x * n_y)
+        begin = end
+    return shared.reshape(n_x, n_y)
+
+
 def block_links(outside: DataFrame, parts: DataFrame, big: DataFrame, docs: DataFrame, key: str, text: str, size: int,
                 percent: int) -> DataFrame:
     """Verified links (a, b) of the outside rows of large families with any of the family's rows.
@@ -244,7 +267,7 @@ def block_links(outside: DataFrame, parts: DataFrame, big: DataFrame, docs: Data
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in lean(batches):
             found: set[tuple] = set()
             for one, other in zip(batch["rows_x"], batch["rows_y"], strict=True):
                 sides = []
@@ -252,14 +275,7 @@ def block_links(outside: DataFrame, parts: DataFrame, big: DataFrame, docs: Data
                     sets = shingle_sets([(r["text"] or "").encode("utf-8", "surrogatepass") for r in side], size)
                     sides.append((sets, np.array([len(s) for s in sets]), np.repeat(np.arange(len(side)), [len(s) for s in sets])))
                 (sets_x, n_x, owner_x), (sets_y, n_y, owner_y) = sides
-                values, owners = np.concatenate(sets_y), owner_y
-                order = np.argsort(values, kind="stable")
-                values, owners = values[order], owners[order]
-                wanted = np.concatenate(sets_x)
-                low, high = np.searchsorted(values, wanted), np.searchsorted(values, wanted, side="right")
-                count = high - low
-                place = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-                shared = np.bincount(np.repeat(owner_x, count) * len(n_y) + owners[place], minlength=len(n_x) * len(n_y)).reshape(len(n_x), len(n_y))
+                shared = shared_counts(np.concatenate(sets_x), owner_x, len(n_x), np.concatenate(sets_y), owner_y, len(n_y))
                 for x, y in np.argwhere(100 * shared >= percent * (n_x[:, None] + n_y[None, :] - shared)).tolist():
                     if shared[x, y] and one[x]["id"] != other[y]["id"] and one[x]["out"] + other[y]["out"]:
                         found.add(tuple(sorted((one[x]["id"], other[y]["id"]))))

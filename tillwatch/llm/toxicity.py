@@ -77,7 +77,10 @@ def padded(found: Words) -> tuple[np.ndarray, np.ndarray]:
 def pooled(network: Network, places: np.ndarray, first: np.ndarray, rows: np.ndarray, total: int):
     """The largest activation of every filter in every text, and the embedded words."""
     embedded = np.zeros((total + PAD, network.vectors.shape[1]), dtype=np.float32)
-    embedded[places] = network.vectors[rows].sum(axis=0)
+    vectors = network.vectors[rows[0]]
+    for own in rows[1:]:
+        vectors += network.vectors[own]
+    embedded[places] = vectors
     outside = np.ones(total, dtype=bool)
     outside[places] = False
     columns, activations = [], []
@@ -343,7 +346,7 @@ def telling_features(rows: DataFrame, share: float, least_texts: int, most: int)
     hundredth at which they fit.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, texts in pieces(batches, "text", 1 << 22):
+        for part, texts in pieces(batches, "text"):
             keys, count, positive = feature_counts(texts, part["label"].to_numpy(), len(texts))
             yield pd.DataFrame({"key": keys.view(np.int64), "n": count.astype(np.int64), "positive": positive.astype(np.int64)})
 
